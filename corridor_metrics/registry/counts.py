@@ -399,7 +399,7 @@ def i01(t):
              w AS (SELECT g2.signalid, g2.CallPhase, g2.s AS green, 'g' AS part, g2.s AS ws, g2.e AS we FROM g2
                    UNION ALL SELECT g2.signalid, g2.CallPhase, g2.s, 'r', g2.e, g2.e + INTERVAL 5 SECOND FROM g2),
              b AS (SELECT w.signalid, w.CallPhase, w.green, w.part, w.ws, w.we, any_value(lanes) AS lanes,
-                          coalesce(sum(greatest(0, epoch_us(least(w.we, o.e)) - epoch_us(greatest(w.ws, o.s)))), 0) AS busy
+                          coalesce(sum(CASE WHEN o.s IS NOT NULL THEN epoch_us(least(w.we, o.e)) - epoch_us(greatest(w.ws, o.s)) END), 0) AS busy
                    FROM w JOIN l ON l.signalid = w.signalid AND l.CallPhase = w.CallPhase
                    LEFT JOIN o ON o.signalid = w.signalid AND o.CallPhase = w.CallPhase AND o.s < w.we AND o.e > w.ws
                    GROUP BY ALL),
