@@ -73,14 +73,14 @@ def _seconds_between(start_a: str, start_b: str, end_a: str, end_b: str) -> Colu
     return F.timestamp_diff("MICROSECOND", start, end) / F.lit(1e6)
 
 
-def _by_minute(df: DataFrame, start: str, end: str) -> DataFrame:
-    """One piece per minute that an interval touches, cut at the minute."""
-    minute = F.expr("interval 1 minute")
-    pieces = df.withColumn("_minute", F.explode(F.sequence(floor_minutes(start, 1), floor_minutes(end, 1), minute)))
-    return pieces.withColumns(
+def _pieces(df: DataFrame, start: str, end: str, minutes: int) -> DataFrame:
+    """One piece per time slot that an interval touches, cut at the slot."""
+    step = F.expr(f"interval {minutes} minutes")
+    slots = F.sequence(floor_minutes(start, minutes), floor_minutes(end, minutes), step)
+    return df.withColumn("_slot", F.explode(slots)).withColumns(
         {
-            f"_{start}": F.greatest(F.col(start), F.col("_minute")),
-            f"_{end}": F.least(F.col(end), F.col("_minute") + minute),
+            f"_{start}": F.greatest(F.col(start), F.col("_slot")),
+            f"_{end}": F.least(F.col(end), F.col("_slot") + step),
         }
     )
 
@@ -89,13 +89,14 @@ def split_failures(
     cycle: DataFrame, detections: DataFrame, det_config: DataFrame, interval_minutes: int = 60,
     green_code: int = 1, red_code: int = 10, on_code: int = 82, off_code: int = 81,
     share: float = SPLIT_FAILURE_SHARE, red_seconds: int = RED_SECONDS, max_green_minutes: int = 60,
+    slot_minutes: int = 1,
 ) -> DataFrame:
     """Cycles whose detectors stay occupied both through green and into red.
 
     ``cycle`` names its phase ``CallPhase``. A green runs to the next red of its
     phase; the start of red is its first seconds. Occupancy is the occupied part of
     a window, averaged over the detectors of the phase. Intervals meet by signal,
-    phase and minute, where each piece is cut to the minute, so that pieces add up.
+    phase and time slot, where each piece is cut to the slot, so that pieces add up.
     Greens longer than ``max_green_minutes`` are gaps in the log and do not count.
     """
     phase = ["signalid", "CallPhase"]
@@ -124,7 +125,9 @@ def split_failures(
     # a detector that reports "on" twice is occupied once, from the first report
     first_on = held.groupBy("signalid", "eventparam", F.col("end").alias("de")).agg(F.min("start").alias("ds"))
     occupied = checked_join(first_on, detectors, ["signalid", "eventparam"])
-    meet = _by_minute(windows, "ws", "we").join(_by_minute(occupied, "ds", "de"), [*phase, "_minute"])
+    meet = _pieces(windows, "ws", "we", slot_minutes).join(
+        _pieces(occupied, "ds", "de", slot_minutes), [*phase, "_slot"]
+    )
     shared = F.greatest(_seconds_between("_ws", "_ds", "_we", "_de"), F.lit(0.0))
     used = (
         meet.withColumn("_s", shared)

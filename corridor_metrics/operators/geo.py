@@ -187,9 +187,11 @@ def signal_layer(intersections: DataFrame, corridors: DataFrame) -> DataFrame:
 
 
 def map_layers(segments: DataFrame, intersections: DataFrame, corridors: DataFrame) -> dict[str, DataFrame]:
+    """Segment, subcorridor and signal layers; signals share the colour of their corridor."""
     lines = segment_layer(segments, corridors)
+    coloured = checked_join(corridors, corridor_colors(corridors), ["Corridor"], "left")
     return {
         "corridors": lines,
         "subcorridors": lines.where(F.col("Subcorridor").isNotNull()),
-        "signals": signal_layer(intersections, corridors),
+        "signals": signal_layer(intersections, coloured),
     }

@@ -412,5 +412,6 @@ SELECT signalid AS SignalID, CallPhase, date_trunc('hour', green) AS Timeperiod,
           "event_log cycle_events det_config")
 def i02(t):
     return delays.split_failures(
-        tv.cycle_events(t), tv.event_log(t), tv.det_config(t), 60, red_code=0, share=0.3, max_green_minutes=10_000
+        tv.cycle_events(t), tv.event_log(t), tv.det_config(t), 60, red_code=0, share=0.3, max_green_minutes=10_000,
+        slot_minutes=60,
     )

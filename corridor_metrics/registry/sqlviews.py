@@ -100,7 +100,7 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
                     WHEN 8 THEN 'Zone 6' WHEN 9 THEN 'Zone 9' END END AS District,
                CASE WHEN o_custkey % 11 <> 0 THEN n_name END AS Corridor,
                c_mktsegment AS Subcorridor, 'County' AS Agency, n_name AS main_street, o_orderpriority AS side_street,
-               o_totalprice AS Milepost, o_orderdate + to_seconds(o_orderkey % 86400) AS Asof,
+               o_totalprice AS Milepost, o_orderdate + to_seconds(o_orderkey % 86400) AS "Asof",
                o_orderkey % 5 <> 0 AS Include,
                CASE WHEN o_orderkey % 4 <> 0 THEN o_orderdate ELSE TIMESTAMP '1900-01-01 00:00:00' END AS Modified,
                CAST(o_custkey % 90 AS DOUBLE) AS Latitude, CAST(o_custkey % 180 AS DOUBLE) AS Longitude,
