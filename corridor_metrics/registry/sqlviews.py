@@ -62,7 +62,9 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
         FROM events"""),
     "readings": ((), """
         SELECT CAST(l_partkey AS VARCHAR) AS tmc_code,
-               l_shipdate + to_minutes(CAST(l_orderkey % 1440 AS BIGINT)) AS Minute,
+               TIMESTAMP '2024-01-01 00:00:00'
+                 + to_days(CAST((((CAST(l_shipdate AS DATE) - DATE '1995-01-01') % 90) + 90) % 90 AS INTEGER))
+                 + to_minutes(CAST(l_orderkey % 1440 AS BIGINT)) AS Minute,
                l_quantity AS speed, CAST(l_linenumber * 10 AS DOUBLE) AS reference_speed
         FROM lineitem"""),
     "segments": ((), """

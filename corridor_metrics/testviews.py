@@ -78,11 +78,16 @@ def corridors(t: Tables) -> DataFrame:
     )
 
 
+def _from_2024(days: int, minutes: Column) -> Column:
+    """A time in the first ``days`` of 2024, by ship date."""
+    day = F.pmod(F.datediff(F.to_date("l_shipdate"), F.lit("1995-01-01").cast("date")), F.lit(days))
+    start = F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")
+    return start + F.make_dt_interval(day, F.lit(0), minutes.cast("int"))
+
+
 def counts(t: Tables) -> DataFrame:
     """15-minute detector volumes."""
-    day = F.pmod(F.datediff(F.to_date("l_shipdate"), F.lit("1995-01-01").cast("date")), F.lit(30))
-    start = F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")
-    at = start + F.make_dt_interval(day, F.lit(0), ((F.col("l_partkey") % 96) * 15).cast("int"))
+    at = _from_2024(30, (F.col("l_partkey") % 96) * 15)
     line = F.col("l_linenumber")
     phase = F.when(line % 4 == 0, 2).when(line % 4 == 1, 6).when(line % 4 == 2, 4)
     return (
@@ -160,7 +165,7 @@ def encoder_log(t: Tables) -> DataFrame:
 
 def readings(t: Tables) -> DataFrame:
     """Speed readings of road segments, at a minute derived from the order."""
-    minute = F.col("l_shipdate") + F.make_dt_interval(F.lit(0), F.lit(0), (F.col("l_orderkey") % 1440).cast("int"))
+    minute = _from_2024(90, F.col("l_orderkey") % 1440)
     return t.lineitem.select(
         F.col("l_partkey").cast("string").alias("tmc_code"), minute.alias("measurement_tstamp"),
         F.col("l_quantity").alias("speed"), (F.col("l_linenumber") * 10).cast("double").alias("reference_speed"),
