@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -30,5 +33,5 @@ def relative_change(value: Column, previous: Column) -> Column:
 
 
 def drop_null_keys(df: DataFrame, *keys: str) -> DataFrame:
-    """Groups are built from complete keys only."""
-    return df.dropna(subset=list(keys))
+    """Groups are built from complete keys only; the conditions reach the Parquet scan."""
+    return df.where(reduce(and_, [F.col(k).isNotNull() for k in keys]))

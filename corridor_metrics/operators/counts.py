@@ -19,6 +19,7 @@ from corridor_metrics.operators.filters import day_gate, mainline, with_timeperi
 from corridor_metrics.operators.scale import checked_join, lag_over_frame, row_numbers
 
 VEHICLE_DETECTOR_ON = 82
+NO_PHASE = -1
 
 
 def detector_counts(
@@ -57,7 +58,8 @@ def with_flatline(counts: DataFrame) -> DataFrame:
     ``flatlined`` counts the rows so far that equal their predecessor; it never
     resets, and is NULL without a phase. Each detector-day is scanned on its own.
     A frame with one row per detector-day carries the last volume and the count
-    over midnight, so the history of a detector is never in one task.
+    over midnight, so the history of a detector is never in one task. Both use the
+    same shuffle of the rows: keys are complete and the phase travels as ``_phase``.
     """
     entity = ["signalid", "_phase", "eventparam"]
     keys = [*entity, "_day"]
@@ -66,9 +68,11 @@ def with_flatline(counts: DataFrame) -> DataFrame:
     history = Window.partitionBy(*entity).orderBy("_day")
     past = history.rowsBetween(Window.unboundedPreceding, -1)
 
+    keyed = counts.withColumns(
+        {"_phase": F.coalesce(F.col("CallPhase").cast("long"), F.lit(NO_PHASE)), "_day": F.to_date("timeperiod")}
+    )
     rows = (
-        counts.withColumn("_phase", F.coalesce(F.col("CallPhase").cast("long"), F.lit(-1)))
-        .withColumn("_day", F.to_date("timeperiod"))
+        drop_null_keys(keyed.drop("CallPhase"), *keys)
         .withColumn("_prev", F.lag("vol").over(day))
         .withColumn("_same", F.coalesce(F.col("vol") == F.col("_prev"), F.lit(False)).cast("long"))
     )
@@ -84,13 +88,15 @@ def with_flatline(counts: DataFrame) -> DataFrame:
         .withColumn("_base", F.coalesce(F.sum(F.col("_repeats") + F.col("_joins")).over(past), F.lit(0)))
         .select(*keys, "_yesterday", (F.col("_base") + F.col("_joins")).alias("_base"))
     )
-    first = F.row_number().over(day) == 1
+    phase_type = counts.schema["CallPhase"].dataType
+    known = F.col("_phase") != NO_PHASE
     return (
-        rows.withColumn("_first", first)
+        rows.withColumn("_first", F.row_number().over(day) == 1)
         .withColumn("_repeats", F.sum("_same").over(so_far))
         .join(carry, keys, "left")
+        .withColumn("CallPhase", F.when(known, F.col("_phase")).cast(phase_type))
         .withColumn("delta_vol", F.col("vol") - F.when(F.col("_first"), F.col("_yesterday")).otherwise(F.col("_prev")))
-        .withColumn("flatlined", F.when(F.col("CallPhase").isNotNull(), F.col("_repeats") + F.col("_base")))
+        .withColumn("flatlined", F.when(known, F.col("_repeats") + F.col("_base")))
         .select(*counts.columns, "delta_vol", "flatlined")
     )
 

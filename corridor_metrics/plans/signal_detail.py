@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corridor_metrics.operators.filters import of_signals
-from corridor_metrics.operators.scale import checked_join
 
 KEYS = ["SignalID", "Date", "Timeperiod", "Detector", "CallPhase"]
 # Fields of a nested detail record.
@@ -61,18 +61,21 @@ def unnest(df: DataFrame) -> DataFrame:
     return df.select("SignalID", F.inline("data"))
 
 
-def complete_days(*inputs: DataFrame) -> DataFrame:
-    """Dates that occur in every input."""
+def complete_days(*inputs: DataFrame) -> list[dt.date]:
+    """Dates that occur in every input: at most one value per calendar day."""
     days, *others = [df.select("Date").distinct() for df in inputs]
     for other in others:
         days = days.join(other, ["Date"])
-    return days
+    return [row["Date"] for row in days.collect()]
 
 
 def signal_details(
     raw: DataFrame, filtered: DataFrame, adjusted: DataFrame, signals: Iterable | DataFrame | None = None
 ) -> DataFrame:
-    """Raw, filtered and adjusted hourly counts, for the days that have all three."""
-    sides = [of_signals(df, signals) for df in (raw, filtered, adjusted)]
-    merged = checked_join(merged_counts(*sides), complete_days(raw, filtered, adjusted), ["Date"], "left_semi")
-    return nest(masked(merged))
+    """Raw, filtered and adjusted hourly counts, for the days that have all three.
+
+    The days are a short list, so they prune the partitions of all three inputs.
+    """
+    days = complete_days(raw, filtered, adjusted)
+    sides = [of_signals(df.where(F.col("Date").isin(days)), signals) for df in (raw, filtered, adjusted)]
+    return nest(masked(merged_counts(*sides)))

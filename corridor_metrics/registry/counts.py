@@ -305,16 +305,18 @@ SELECT SignalID, Date AS date, count(*) AS records, min(Detector) AS first_detec
        sum(CASE WHEN Good_Day = false THEN vol_ac END) AS vol_ac
 FROM j GROUP BY ALL""", "counts")
 def g01(t):
-    nested = signal_detail.signal_details(*three(t))
-    first = F.element_at("data", 1)
-    flat = signal_detail.unnest(nested).groupBy("SignalID", F.col("Date").alias("date")).agg(
-        F.count_if("bad_day").alias("bad"), F.sum("vol_rc").alias("vol_rc"), F.sum("vol_ac").alias("vol_ac")
-    )
-    heads = nested.select(
+    nested, first = signal_detail.signal_details(*three(t)), F.element_at("data", 1)
+
+    def sum_of(field: str):
+        """Sum of a record field; NULL when no record has it."""
+        values = F.array_compact(F.transform("data", lambda r: r[field]))
+        return F.when(F.size(values) > 0, F.aggregate(values, F.lit(0).cast("long"), lambda a, v: a + v))
+
+    return nested.select(
         "SignalID", "date", F.size("data").cast("long").alias("records"), first["Detector"].alias("first_detector"),
-        first["Hour"].alias("first_hour"),
+        first["Hour"].alias("first_hour"), F.size(F.filter("data", lambda r: r["bad_day"])).cast("long").alias("bad"),
+        sum_of("vol_rc").alias("vol_rc"), sum_of("vol_ac").alias("vol_ac"),
     )
-    return heads.join(flat, ["SignalID", "date"])
 
 
 @register("s19_nest_and_unnest", "SignalID,Date:d,Detector,CallPhase,vol_rc,Good_Day,vol_ac:i,bad_day,Hour",
