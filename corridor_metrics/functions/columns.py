@@ -91,9 +91,20 @@ def month_end(d: Column | str) -> Column:
 
 
 def naive_as_utc(ts: Column | str) -> Column:
-    """Instant whose UTC reading is the naive value."""
-    epoch = F.lit("1970-01-01 00:00:00").cast(T.TimestampNTZType())
-    return F.timestamp_micros(F.timestamp_diff("MICROSECOND", epoch, _col(ts)))
+    """Instant whose UTC reading is the naive value, whatever the session zone."""
+    ts = _col(ts)
+    return F.make_timestamp_ltz(
+        F.year(ts), F.month(ts), F.day(ts), F.hour(ts), F.minute(ts), F.date_part(F.lit("SECOND"), ts), F.lit("UTC")
+    )
+
+
+def micros_between(start: Column | str, end: Column | str) -> Column:
+    """Microseconds between two naive times; days always have 24 hours."""
+    return F.unix_micros(naive_as_utc(end)) - F.unix_micros(naive_as_utc(start))
+
+
+def seconds_between(start: Column | str, end: Column | str) -> Column:
+    return micros_between(start, end) / F.lit(1e6)
 
 
 def all_to_utc(df: DataFrame) -> DataFrame:

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from corridor_metrics.functions.columns import floor_minutes
+from corridor_metrics.functions.columns import floor_minutes, micros_between, seconds_between
 from corridor_metrics.functions.measures import ratio
 from corridor_metrics.operators.scale import checked_join
 
@@ -56,7 +56,7 @@ def ped_delay(
 ) -> DataFrame:
     """Average seconds from a button press to the next start of walk, by signal and day."""
     waits = next_event(events, start_code, end_code, keys).where(F.col("end").isNotNull())
-    micros = F.timestamp_diff("MICROSECOND", F.col("start"), F.col("end")) * F.col("n")
+    micros = micros_between("start", "end") * F.col("n")
     return (
         waits.withColumn("_us", micros)
         .groupBy(F.col("signalid").alias("SignalID"), F.to_date("start").alias("Date"))
@@ -64,15 +64,6 @@ def ped_delay(
     )
 
 
-def _seconds(start: str, end: str) -> Column:
-    return F.timestamp_diff("MICROSECOND", F.col(start), F.col(end)) / F.lit(1e6)
-
-
-def _seconds_between(start_a: str, start_b: str, end_a: str, end_b: str) -> Column:
-    start, end = F.greatest(start_a, start_b), F.least(end_a, end_b)
-    return F.timestamp_diff("MICROSECOND", start, end) / F.lit(1e6)
-
-
 def _pieces(df: DataFrame, start: str, end: str, minutes: int) -> DataFrame:
     """One piece per time slot that an interval touches, cut at the slot."""
     step = F.expr(f"interval {minutes} minutes")
@@ -101,7 +92,7 @@ def split_failures(
     """
     phase = ["signalid", "CallPhase"]
     green = next_event(cycle, green_code, red_code, phase).where(
-        F.col("end").isNotNull() & (F.col("end") > F.col("start")) & (_seconds("start", "end") <= 60 * max_green_minutes)
+        F.col("end").isNotNull() & (F.col("end") > F.col("start")) & (seconds_between("start", "end") <= 60 * max_green_minutes)
     )
     windows = green.select(
         *phase, F.col("start").alias("green"),
@@ -120,7 +111,7 @@ def split_failures(
     )
     lanes = detectors.groupBy(*phase).agg(F.count_distinct("eventparam").alias("lanes"))
     held = next_event(detections, on_code, off_code, ["signalid", "eventparam"]).where(
-        F.col("end").isNotNull() & (_seconds("start", "end") <= 60 * max_green_minutes)
+        F.col("end").isNotNull() & (seconds_between("start", "end") <= 60 * max_green_minutes)
     )
     # a detector that reports "on" twice is occupied once, from the first report
     first_on = held.groupBy("signalid", "eventparam", F.col("end").alias("de")).agg(F.min("start").alias("ds"))
@@ -128,14 +119,14 @@ def split_failures(
     meet = _pieces(windows, "ws", "we", slot_minutes).join(
         _pieces(occupied, "ds", "de", slot_minutes), [*phase, "_slot"]
     )
-    shared = F.greatest(_seconds_between("_ws", "_ds", "_we", "_de"), F.lit(0.0))
+    shared = F.greatest(seconds_between(F.greatest("_ws", "_ds"), F.least("_we", "_de")), F.lit(0.0))
     used = (
         meet.withColumn("_s", shared)
         .groupBy(*phase, "green", "part", "ws")
         .agg(F.sum("_s").alias("busy"))
     )
     whole = checked_join(windows.join(used, [*phase, "green", "part", "ws"], "left"), lanes, phase)
-    occupancy = ratio(F.coalesce("busy", F.lit(0.0)), _seconds("ws", "we") * F.col("lanes"))
+    occupancy = ratio(F.coalesce("busy", F.lit(0.0)), seconds_between("ws", "we") * F.col("lanes"))
     cycles = whole.withColumn("_o", occupancy).groupBy(*phase, "green").agg(
         F.max(F.when(F.col("part") == "g", F.col("_o"))).alias("green_occupancy"),
         F.max(F.when(F.col("part") == "r", F.col("_o"))).alias("red_occupancy"),

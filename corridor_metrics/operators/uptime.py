@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corridor_metrics.functions.columns import floor_minutes
+from corridor_metrics.functions.columns import floor_minutes, seconds_between
 from corridor_metrics.functions.measures import drop_null_keys
 
 GAP_MINUTES = 15
@@ -17,7 +17,7 @@ DAY_MINUTES = 60 * 24
 def gap_spans(stamps: DataFrame, keys: list[str]) -> DataFrame:
     """Minutes since the preceding stamp of the same keys, 0 unless above the gap limit."""
     w = Window.partitionBy(*keys).orderBy("Timestamp")
-    span = F.timestamp_diff("SECOND", F.lag("Timestamp").over(w), F.col("Timestamp")) / F.lit(60.0)
+    span = seconds_between(F.lag("Timestamp").over(w), F.col("Timestamp")) / F.lit(60.0)
     return stamps.withColumn("span", span).withColumn(
         "span", F.when(F.col("span") > GAP_MINUTES, F.col("span")).otherwise(F.lit(0.0))
     )
