@@ -3,14 +3,18 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corridor_metrics.context import cut_lineage
+from corridor_metrics.functions.measures import drop_null_keys
 
 BROADCAST_ROWS = 200_000
 SALTS = 32
+HOT_SHARE = 1000
 
 
 def fits(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
@@ -31,16 +35,38 @@ def checked_join(
 ) -> DataFrame:
     """Join a large side with a side that is broadcast only after a row check.
 
-    Beyond the limit both sides are shuffled on the keys plus a salt, so that a
-    key holding a large part of ``fact`` is spread over ``salts`` tasks. ``how``
-    is ``inner``, ``left``, ``left_semi`` or ``left_anti``.
+    Beyond the limit the sides are shuffled, with the hot keys of ``fact`` spread over
+    several tasks. ``how`` is ``inner``, ``left``, ``left_semi`` or ``left_anti``.
     """
-    on = list(on)
     if fits(dim, max_rows):
-        return fact.join(F.broadcast(dim), on, how)
-    salted = fact.withColumn("_salt", F.pmod(F.xxhash64(*fact.columns), F.lit(salts)))
-    copies = dim.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)).cast("array<bigint>")))
-    return salted.join(copies, [*on, "_salt"], how).drop("_salt")
+        return fact.join(F.broadcast(dim), list(on), how)
+    return spread_join(fact, dim, on, how, salts)
+
+
+def hot_keys(df: DataFrame, on: Sequence[str], share: int = HOT_SHARE) -> DataFrame:
+    """Keys that hold more than one ``share``-th of all rows: fewer than ``share`` of them."""
+    counts = drop_null_keys(df, *on).groupBy(*on).agg(F.count("*").alias("_n"))
+    return counts.where(F.col("_n") * share > df.agg(F.count("*")).scalar()).select(*on, F.lit(True).alias("_hot"))
+
+
+def spread_join(
+    fact: DataFrame, dim: DataFrame, on: Sequence[str], how: str = "inner", salts: int = SALTS, share: int = HOT_SHARE
+) -> DataFrame:
+    """Shuffled join in which every hot key of ``fact`` is spread over ``salts`` tasks.
+
+    Only the ``dim`` rows of hot keys are copied. The salt is a hash of the row, so a
+    task that runs again gives the same answer. Incomplete keys match nothing and are
+    spread as well.
+    """
+    on = list(on)
+    hot = F.broadcast(hot_keys(fact, on, share))
+    salt = F.pmod(F.xxhash64(*fact.columns), F.lit(salts).cast("long"))
+    lone = F.lit(0).cast("long")
+    incomplete = reduce(or_, [F.col(k).isNull() for k in on])
+    left = fact.join(hot, on, "left").withColumn("_salt", F.when(F.col("_hot") | incomplete, salt).otherwise(lone))
+    copies = F.when(F.col("_hot"), F.sequence(lone, F.lit(salts - 1).cast("long"))).otherwise(F.array(lone))
+    right = dim.join(hot, on, "left").withColumn("_salt", F.explode(copies))
+    return left.drop("_hot").join(right.drop("_hot"), [*on, "_salt"], how).drop("_salt")
 
 
 def _ranges(frame: DataFrame, keys: Sequence[str], parts: int) -> DataFrame:
