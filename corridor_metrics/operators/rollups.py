@@ -36,7 +36,7 @@ def with_delta(
 def in_corridors(df: DataFrame, corridors: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Rows of signals that belong to a corridor, with the wanted corridor columns."""
     dim = corridors.where(F.col("Corridor").isNotNull()).select("SignalID", *columns)
-    return checked_join(df, dim, ["SignalID"])
+    return checked_join(df, dim, ["SignalID"], bound=corridors)
 
 
 def weighted_mean_by_corridor(

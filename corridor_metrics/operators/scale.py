@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 from operator import or_
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -17,12 +18,18 @@ SALTS = 32
 HOT_SHARE = 1000
 
 
+_COUNTS: WeakKeyDictionary = WeakKeyDictionary()
+
+
 def fits(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
     """Whether ``df`` has at most ``max_rows`` rows.
 
-    The count is combined per task and needs no columns, so it is safe to ask of any frame.
+    The count is combined per task and needs no columns, so it is safe to ask of any
+    frame. It is remembered with the frame, which reads the same files each time.
     """
-    return df.count() <= max_rows
+    if df not in _COUNTS:
+        _COUNTS[df] = df.count()
+    return _COUNTS[df] <= max_rows
 
 
 def checked_join(
@@ -32,13 +39,16 @@ def checked_join(
     how: str = "inner",
     max_rows: int = BROADCAST_ROWS,
     salts: int = SALTS,
+    bound: DataFrame | None = None,
 ) -> DataFrame:
     """Join a large side with a side that is broadcast only after a row check.
 
     Beyond the limit the sides are shuffled, with the hot keys of ``fact`` spread over
     several tasks. ``how`` is ``inner``, ``left``, ``left_semi`` or ``left_anti``.
+    ``bound`` may name a frame that ``dim`` is a selection of; it is counted instead,
+    once for all its selections.
     """
-    if fits(dim, max_rows):
+    if fits(dim if bound is None else bound, max_rows):
         return fact.join(F.broadcast(dim), list(on), how)
     return spread_join(fact, dim, on, how, salts)
 

@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corridor_metrics.functions.columns import floor_minutes, seconds_between
+from corridor_metrics.functions.columns import floor_minutes
 from corridor_metrics.functions.measures import drop_null_keys
 
 GAP_MINUTES = 15
@@ -15,10 +15,14 @@ DAY_MINUTES = 60 * 24
 
 
 def gap_spans(stamps: DataFrame, keys: list[str]) -> DataFrame:
-    """Minutes since the preceding stamp of the same keys, 0 unless above the gap limit."""
+    """Minutes since the preceding stamp of the same keys, 0 unless above the gap limit.
+
+    ``keys`` include the date, so the time of day is enough.
+    """
+    seconds = F.hour("Timestamp") * 3600 + F.minute("Timestamp") * 60 + F.date_part(F.lit("SECOND"), "Timestamp").cast("double")
     w = Window.partitionBy(*keys).orderBy("Timestamp")
-    span = seconds_between(F.lag("Timestamp").over(w), F.col("Timestamp")) / F.lit(60.0)
-    return stamps.withColumn("span", span).withColumn(
+    gap = (seconds - F.lag(seconds).over(w)) / 60
+    return stamps.withColumn("span", gap).withColumn(
         "span", F.when(F.col("span") > GAP_MINUTES, F.col("span")).otherwise(F.lit(0.0))
     )
 

@@ -50,56 +50,64 @@ def stage_adjusted(filtered: DataFrame, start: dt.date, end: dt.date, mode: str
     return adjusted_counts(filtered.where(F.to_date("timeperiod").between(F.lit(start), F.lit(end))), mode)
 
 
+VOLUME = ["SignalID", "CallPhase", "Detector", "Timeperiod", "Date", "vol"]
+
+
+def dated(df: DataFrame, start: dt.date, end: dt.date) -> DataFrame:
+    """Counts of a date range under report names, with ``Date``."""
+    rows = report_names(df.where(F.to_date("timeperiod").between(F.lit(start), F.lit(end))))
+    return rows if "Date" in rows.columns else rows.withColumn("Date", F.to_date("Timeperiod"))
+
+
 def month_outputs(
-    counts_1hr: DataFrame, filtered_1hr: DataFrame, filtered_15min: DataFrame, month: dt.date, ctx: RunContext,
-    signals=None, mode: str = "as_coded",
+    filtered_1hr: DataFrame, filtered_15min: DataFrame, month: dt.date, ctx: RunContext, mode: str = "as_coded"
 ) -> dict[str, DataFrame]:
-    """Volumes, signal details and throughput of a month."""
+    """Adjusted counts, volumes and throughput of a month."""
     start, end = month_range(month, ctx.end_date)
+    hour = dated(stage_adjusted(filtered_1hr, start, end, mode), start, end).select(*VOLUME)
+    quarter = dated(stage_adjusted(filtered_15min, start, end, mode), start, end).select(*VOLUME)
+    return {
+        "adjusted_counts_1hr": hour,
+        "adjusted_counts_15min": quarter,
+        **volume_outputs(hour, quarter),
+    }
 
-    def in_month(df: DataFrame) -> DataFrame:
-        rows = report_names(df.where(F.to_date("timeperiod").between(F.lit(start), F.lit(end))))
-        return rows if "Date" in rows.columns else rows.withColumn("Date", F.to_date("Timeperiod"))
 
-    volume = ["SignalID", "CallPhase", "Detector", "Timeperiod", "Date", "vol"]
-    hour = in_month(stage_adjusted(filtered_1hr, start, end, mode)).select(*volume)
-    quarter = in_month(stage_adjusted(filtered_15min, start, end, mode)).select(*volume)
+def volume_outputs(hour: DataFrame, quarter: DataFrame) -> dict[str, DataFrame]:
+    """The measures that are built from adjusted counts."""
     return {
-        "adjusted_counts_1hr": hour,
-        "signal_details": signal_details(in_month(counts_1hr), in_month(filtered_1hr), hour, signals),
         "vehicles_pd": vehicles_per_day(hour),
         "vehicles_ph": vehicles_per_period(hour, "1 hour"),
-        "adjusted_counts_15min": quarter,
         "throughput": throughput(quarter),
         "vehicles_15min": vehicles_per_period(quarter, "15 min"),
     }
 
 
 def run_month(
-    counts_1hr: DataFrame, filtered_1hr: DataFrame, filtered_15min: DataFrame, month: dt.date, ctx: RunContext, **options
+    counts_1hr: DataFrame, filtered_1hr: DataFrame, filtered_15min: DataFrame, month: dt.date, ctx: RunContext,
+    signals=None, mode: str = "as_coded",
 ) -> list[str]:
     """Write the month's outputs by date.
 
-    The adjusted counts are written first, and the measures built from them read the
-    written table, so that they are computed once.
+    The adjusted counts are written first; the measures and the signal details read
+    the written tables, so that they are computed once.
     """
     spark = counts_1hr.sparkSession
-    outputs = month_outputs(counts_1hr, filtered_1hr, filtered_15min, month, ctx, **options)
-    write_by_date(outputs["adjusted_counts_1hr"], ctx.root, "adjusted_counts_1hr")
-    write_by_date(outputs["adjusted_counts_15min"], ctx.root, "adjusted_counts_15min")
     start, end = month_range(month, ctx.end_date)
+    staged = month_outputs(filtered_1hr, filtered_15min, month, ctx, mode)
+    adjusted = ["adjusted_counts_1hr", "adjusted_counts_15min"]
+    write_outputs({table: staged[table] for table in adjusted}, ctx.root)
 
     def stored(table: str) -> DataFrame:
         rows = spark.read.parquet(f"{ctx.root}/{table}").where(F.col("date").between(F.lit(start), F.lit(end)))
-        return rows.withColumns({c: F.col(c).cast("long") for c in ("SignalID", "Detector", "CallPhase")})
-
-    hour, quarter = stored("adjusted_counts_1hr"), stored("adjusted_counts_15min")
-    write_by_date(vehicles_per_day(hour), ctx.root, "vehicles_pd")
-    write_by_date(vehicles_per_period(hour, "1 hour"), ctx.root, "vehicles_ph")
-    write_by_date(throughput(quarter), ctx.root, "throughput")
-    write_by_date(vehicles_per_period(quarter, "15 min"), ctx.root, "vehicles_15min")
-    write_by_date(outputs["signal_details"].withColumnRenamed("date", "Date"), ctx.root, "signal_details")
-    return list(outputs)
+        keys = {c: F.col(c).cast("long") for c in ("SignalID", "Detector", "CallPhase")}
+        return rows.withColumns(keys).withColumnRenamed("date", "Date")
+
+    hour, quarter = (stored(table) for table in adjusted)
+    details = signal_details(dated(counts_1hr, start, end), dated(filtered_1hr, start, end), hour, signals)
+    measures = {**volume_outputs(hour, quarter), "signal_details": details.withColumnRenamed("date", "Date")}
+    write_outputs(measures, ctx.root)
+    return [*adjusted, *measures]
 
 
 def queue_spillback(events: DataFrame) -> dict[str, DataFrame]:

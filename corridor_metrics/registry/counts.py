@@ -344,7 +344,7 @@ def g14(t):
 def g15(t):
     counts = tv.counts(t)
     filtered = ops.filtered_counts(counts, "15 min", thresholds=tv.THRESHOLDS)
-    return counts_jobs.month_outputs(counts, filtered, filtered, dt.date(2024, 1, 1), RUN)["vehicles_pd"]
+    return counts_jobs.month_outputs(filtered, filtered, dt.date(2024, 1, 1), RUN)["vehicles_pd"]
 
 
 @register("g15_month_job_throughput", "SignalID,Date:d,vph:r",
@@ -354,7 +354,7 @@ SELECT SignalID, Date, 4 * quantile_cont(CAST(v AS DOUBLE), 0.95) AS vph FROM s
 def g15b(t):
     counts = tv.counts(t)
     filtered = ops.filtered_counts(counts, "15 min", thresholds=tv.THRESHOLDS)
-    return counts_jobs.month_outputs(counts, filtered, filtered, dt.date(2024, 1, 1), RUN)["throughput"]
+    return counts_jobs.month_outputs(filtered, filtered, dt.date(2024, 1, 1), RUN)["throughput"]
 
 
 @register("g16_adjusted_count_staging", ADJUSTED_COLUMNS,

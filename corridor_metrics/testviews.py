@@ -10,14 +10,34 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+# Columns of the benchmark tables that the views use.
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": (
+        "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+        "o_orderdate timestamp_ntz, o_orderpriority string"
+    ),
+    "lineitem": (
+        "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+        "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+        "l_shipdate timestamp_ntz"
+    ),
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "embeddings": "vec_id bigint, embedding array<float>, label int",
+}
+
+
 class Tables:
-    """Lazy readers of the benchmark tables of one folder."""
+    """Lazy readers of the benchmark tables of one folder; declared columns spare a look into the files."""
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
 
     def __getattr__(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self.spark.read.schema(SCHEMAS[name]).parquet(f"{self.folder}/{name}.parquet")
 
 
 def event_log(t: Tables) -> DataFrame:
