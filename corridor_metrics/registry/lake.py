@@ -159,8 +159,8 @@ def a12(t):
 
 
 @register("a13_add_next_month", "partition:d",
-          """SELECT DISTINCT CAST(date_trunc('month', o_orderdate) AS DATE) AS partition FROM orders
-             UNION SELECT CAST(date_trunc('month', max(o_orderdate)) + INTERVAL 1 MONTH AS DATE) FROM orders""")
+          """SELECT DISTINCT Month AS partition FROM mart
+             UNION SELECT CAST(date_trunc('month', max(o_orderdate)) + INTERVAL 1 MONTH AS DATE) FROM orders""", "mart")
 def a13(t):
     name = month_table(t)
     today = t.orders.agg(F.to_date(F.max("o_orderdate")).alias("d")).first()["d"]
@@ -170,8 +170,8 @@ def a13(t):
 
 
 @register("a14_drop_expired_months", "partition:d",
-          """SELECT DISTINCT CAST(date_trunc('month', o_orderdate) AS DATE) AS partition FROM orders
-             WHERE date_trunc('month', o_orderdate) > date_trunc('month', (SELECT max(o_orderdate) FROM orders)) - INTERVAL 8 MONTH""")
+          """SELECT DISTINCT Month AS partition FROM mart
+             WHERE Month > date_trunc('month', (SELECT max(o_orderdate) FROM orders)) - INTERVAL 8 MONTH""", "mart")
 def a14(t):
     name = month_table(t)
     today = t.orders.agg(F.to_date(F.max("o_orderdate")).alias("d")).first()["d"]
