@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -29,6 +31,13 @@ def _col(c: Column | str) -> Column:
 # --- time ---------------------------------------------------------------
 
 
+def naive(value: dt.datetime | dt.date) -> Column:
+    """Literal naive time; written as text, because a datetime literal depends on time zones."""
+    if not isinstance(value, dt.datetime):
+        value = dt.datetime.combine(value, dt.time())
+    return F.lit(value.isoformat(sep=" ")).cast(T.TimestampNTZType())
+
+
 def floor_minutes(ts: Column | str, minutes: int) -> Column:
     """Start of the ``minutes``-long slot; keeps TIMESTAMP_NTZ, whatever the session zone.
 
@@ -98,6 +107,11 @@ def naive_as_utc(ts: Column | str) -> Column:
     )
 
 
+def utc_as_naive(ts: Column | str) -> Column:
+    """Naive UTC reading of an instant, whatever the session zone."""
+    return F.convert_timezone(F.current_timezone(), F.lit("UTC"), _col(ts).cast(T.TimestampNTZType()))
+
+
 def micros_between(start: Column | str, end: Column | str) -> Column:
     """Microseconds between two naive times; days always have 24 hours."""
     return F.unix_micros(naive_as_utc(end)) - F.unix_micros(naive_as_utc(start))

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corridor_metrics.functions.columns import is_tue_wed_thu
+from corridor_metrics.functions.columns import is_tue_wed_thu, naive
 from corridor_metrics.operators.scale import checked_join
 
 MAINLINE_PHASES = (2, 6)
@@ -39,10 +39,7 @@ def events_between(
 ) -> DataFrame:
     """Raw events in ``[start, end + 1 day)``, optionally of some signals, codes, or Tue-Thu only."""
     stop = end + dt.timedelta(days=1)
-    out = df.where(
-        (F.col("timestamp") >= F.lit(dt.datetime.combine(start, dt.time())).cast("timestamp_ntz"))
-        & (F.col("timestamp") < F.lit(dt.datetime.combine(stop, dt.time())).cast("timestamp_ntz"))
-    )
+    out = df.where((F.col("timestamp") >= naive(start)) & (F.col("timestamp") < naive(stop)))
     if event_codes is not None:
         out = out.where(F.col("eventcode").isin(list(event_codes)))
     if twr_only:

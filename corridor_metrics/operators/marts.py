@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corridor_metrics.functions.columns import data_format, delta_text, highlight
+from corridor_metrics.functions.columns import data_format, delta_text, highlight, naive
 from corridor_metrics.functions.dates import add_months
 from corridor_metrics.operators.filters import zone_group_predicate
 from corridor_metrics.operators.scale import checked_join
@@ -55,9 +55,9 @@ def mart_predicate(
 
     if hourly and resolution == "monthly":
         last_hour = dt.datetime.combine(month_stop(month), dt.time(23))
-        cond = cond & (F.col("Hour") <= F.lit(last_hour).cast("timestamp_ntz"))
+        cond = cond & (F.col("Hour") <= naive(last_hour))
         if not upto:
-            cond = cond & (F.col("Hour") >= F.lit(dt.datetime.combine(month, dt.time())).cast("timestamp_ntz"))
+            cond = cond & (F.col("Hour") >= naive(month))
         return cond
     if resolution == "monthly":
         return cond & period("Month", month)

@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corridor_metrics.functions.columns import floor_minutes
+from corridor_metrics.functions.columns import floor_minutes, naive
 from corridor_metrics.functions.measures import drop_null_keys
 
 GAP_MINUTES = 15
@@ -45,9 +45,7 @@ def _with_bookends(events: DataFrame, start: dt.date, end_time: dt.datetime) ->
         .select(F.col("signalid").alias("SignalID"), floor_minutes("timestamp", 1).alias("Timestamp"))
         .distinct()
     )
-    ends = F.array(
-        F.lit(dt.datetime.combine(start, dt.time())).cast("timestamp_ntz"), F.lit(end_time).cast("timestamp_ntz")
-    )
+    ends = F.array(naive(start), naive(end_time))
     bookends = stamps.select("SignalID").distinct().select("SignalID", F.explode(ends).alias("Timestamp"))
     return stamps.unionByName(bookends).withColumn("Date", F.to_date("Timestamp"))
 

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from corridor_metrics.functions.columns import utc_as_naive
+
 VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
     "event_log": ((), """
         SELECT ts AS "timestamp", user_id AS signalid,
@@ -162,7 +164,7 @@ def _canonical(field: T.StructField, digits: int) -> Column:
     elif isinstance(field.dataType, T.DateType):
         c = c.cast("string")
     elif isinstance(field.dataType, T.TimestampType):
-        c = F.convert_timezone(F.current_timezone(), F.lit("UTC"), c.cast("timestamp_ntz"))
+        c = utc_as_naive(c)
     return c.alias(field.name)
 
 

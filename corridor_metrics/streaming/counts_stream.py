@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from corridor_metrics.functions.columns import naive_as_utc
+from corridor_metrics.functions.columns import naive_as_utc, utc_as_naive
 from corridor_metrics.operators.counts import VEHICLE_DETECTOR_ON
 
 # Window length per counting unit.
@@ -31,7 +31,7 @@ def stream_counts(
         hits.withWatermark("timestamp", delay)
         .groupBy(F.window("timestamp", WINDOWS[units]).alias("w"), "signalid", "eventparam")
         .agg(F.count("*").alias("vol"))
-        .select(F.col("w.start").alias("timeperiod"), "signalid", "eventparam", "vol")
+        .select(utc_as_naive("w.start").alias("timeperiod"), "signalid", "eventparam", "vol")
     )
 
 
