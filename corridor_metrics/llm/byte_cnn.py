@@ -41,8 +41,9 @@ class Settings:
     step: int = 960
     sample: int = 3000
     sample_bytes: int = 1 << 16
-    epochs: int = 12
-    batch: int = 48
+    epochs: int = 12  # or more, until `turns` batches are seen
+    turns: int = 800
+    batch: int = 16
     rate: float = 0.004
     seed: int = 7
 
@@ -147,12 +148,13 @@ class ByteCNN:
         first, second = ([np.zeros_like(p) for p in parameters] for _ in range(2))
         rng = np.random.default_rng(s.seed + 1)
         turn = 0
-        for epoch in range(s.epochs):
+        epochs = max(s.epochs, -(-s.turns * s.batch // len(rows)))
+        for epoch in range(epochs):
             order = rng.permutation(len(rows))
             for at in range(0, len(order), s.batch):
                 chosen = order[at : at + s.batch]
                 turn += 1
-                rate = s.rate * (0.5 if epoch >= s.epochs * 2 // 3 else 1.0)
+                rate = s.rate * (0.5 if epoch >= epochs * 2 // 3 else 1.0)
                 for p, g, m, v in zip(parameters, self._gradients([rows[i] for i in chosen], labels[chosen]), first, second):
                     m += 0.1 * (g - m)
                     v += 0.001 * (g * g - v)
