@@ -53,6 +53,11 @@ def gathered(batches: Iterator[pa.RecordBatch], column: str, target: int) -> Ite
         yield pa.Table.from_batches(held)
 
 
+def spread(files: DataFrame, key: str) -> DataFrame:
+    """A short list of files dealt out to as many tasks, however few bytes the list has."""
+    return files.repartition(max(1, files.count()), key)
+
+
 _SENT: set[str] = set()
 
 

@@ -22,21 +22,23 @@ import uuid
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs, ipc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from corridor_metrics.llm.common import gathered, payload
+from corridor_metrics.llm.common import gathered, payload, spread
 
 SEQUENCE = 1024
 ROWS = 1024  # sequences per batch
-CHUNK_BYTES = 2 << 20  # text encoded at a time
-MEMO = 800_000  # words remembered per worker
+CHUNK_BYTES = 6 << 20  # text encoded at a time
+MEMO = 1_350_000  # words remembered per worker
+MARK = b"~"  # stands between words that are encoded together
+LINE = 256  # words encoded together
 
 MANIFEST = "shard int, path string, n_docs long, n_tokens long"
 PLACED = "doc_id long, shard int, begin long, n_tokens long, ids_crc32 long"
@@ -55,20 +57,49 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.memo: dict[bytes, bytes] = {}
+        (self.mark,) = self._encode([MARK])[0].ids
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
 
-    def __call__(self, texts: list[bytes]) -> list[bytes]:
-        words = [t.split() for t in texts]
-        fresh = list(set(chain.from_iterable(words)).difference(self.memo))
-        if len(self.memo) + len(fresh) > MEMO:
-            self.memo = {}
-            fresh = list(set(chain.from_iterable(words)))
-        for at in range(0, len(fresh), 4096):
-            part = fresh[at : at + 4096]
-            found = self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in part], add_special_tokens=False)
-            self.memo.update((w, np.array(e.ids, self.dtype).tobytes()) for w, e in zip(part, found))
-        ids = self.memo.__getitem__
-        return [b"".join(map(ids, w)) for w in words]
+    def _encode(self, texts: list[bytes]) -> list:
+        return self.tokenizer.encode_batch_fast([t.decode("utf-8", "replace") for t in texts], add_special_tokens=False)
+
+    def _learn(self, words: list[bytes]) -> None:
+        """Of distinct words, new ones go to the library many to a line, with a mark between them that has an id of its own."""
+        memo = self.memo
+        fresh = [w for w in words if w not in memo]
+        if len(memo) + len(fresh) > MEMO:
+            memo.clear()
+            fresh = words
+        plain = [w for w in fresh if MARK not in w]
+        for at in range(0, len(plain), 32 * LINE):
+            lines = [plain[i : i + LINE] for i in range(at, min(at + 32 * LINE, len(plain)), LINE)]
+            found = self._encode([(b" " + MARK + b" ").join(line) for line in lines])
+            for line, encoded in zip(lines, found):
+                ids = np.array(encoded.ids, self.dtype)
+                cuts = np.flatnonzero(ids == self.mark) * ids.itemsize
+                data = ids.tobytes()
+                starts, stops = [0, *(cuts + ids.itemsize).tolist()], [*cuts.tolist(), len(data)]
+                self.memo.update((w, data[a:b]) for w, a, b in zip(line, starts, stops))
+        marked = [w for w in fresh if MARK in w]
+        self.memo.update((w, np.array(e.ids, self.dtype).tobytes()) for w, e in zip(marked, self._encode(marked)))
+
+    def __call__(self, texts: pa.Array) -> list[np.ndarray]:
+        """Ids of each text of a binary column: words are split and numbered by Arrow, and looked up once each."""
+        split = pc.ascii_split_whitespace(texts.cast(pa.large_binary()).cast(pa.large_string(), safe=False))
+        offsets = split.offsets.to_numpy() - split.offsets[0].as_py()
+        numbered = split.flatten().cast(pa.large_binary()).dictionary_encode()
+        words = numbered.dictionary.to_pylist()
+        self._learn(words)
+        known = [self.memo[w] for w in words]
+        sizes = np.fromiter(map(len, known), np.int64, len(known)) // self.dtype.itemsize
+        pool = np.frombuffer(b"".join(known), self.dtype)
+        code = numbered.indices.to_numpy()
+        count = sizes[code]
+        ends = np.cumsum(count)
+        begin = np.cumsum(sizes) - sizes
+        ids = pool[np.repeat(begin[code] - ends + count, count) + np.arange(ends[-1] if len(ends) else 0)]
+        edge = np.append(0, ends)[offsets]
+        return [ids[a:b] for a, b in zip(edge[:-1].tolist(), edge[1:].tolist())]
 
 
 @lru_cache(maxsize=1)
@@ -171,9 +202,9 @@ def _write(path: str, folder: str, end_id: int, length: int, rows: int):
             writer, index = SequenceWriter(sink, encode.dtype, length, rows), ipc.new_file(side, INDEX)
             for batch in gathered(batches, "text", CHUNK_BYTES):
                 places = []
-                for ids in encode(batch.column("text").to_pylist()):
+                for ids in encode(batch.column("text").combine_chunks()):
                     places.append(writer.n_tokens)
-                    writer.add(ids + end)
+                    writer.add(ids.tobytes() + end)
                 begin = np.array(places, np.int64)
                 count = np.diff(np.append(begin, writer.n_tokens))
                 docs = batch.column("doc").combine_chunks()
@@ -234,7 +265,7 @@ def read_token_files(manifest: DataFrame, folder: str) -> DataFrame:
     """Every document's place and checksum, read from the files: doc_id, shard, begin, start, n_tokens, ids_crc32."""
     before = Window.partitionBy(F.lit(0)).orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     bases = manifest.select("shard", F.coalesce(F.sum("n_tokens").over(before), F.lit(0)).alias("base"))
-    placed = manifest.select("shard", "path").repartition("shard").mapInArrow(_read(folder), PLACED)
+    placed = spread(manifest.select("shard", "path"), "shard").mapInArrow(_read(folder), PLACED)
     return placed.join(F.broadcast(bases), "shard").select(
         "doc_id", "shard", "begin", (F.col("base") + F.col("begin")).alias("start"), "n_tokens", "ids_crc32"
     )
