@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corridor_metrics.llm.common import payload
+from corridor_metrics.llm.common import payload, spread
 
 REVISIT_FROM = 1000
 DATE = "2024-01-01T00:00:00Z"
@@ -182,7 +182,7 @@ def normalise(captures: DataFrame, folder: str) -> DataFrame:
     """Rewrite archives record by record with an index; returns the stored list of files."""
     filesystem, base = fs.FileSystem.from_uri(folder)
     filesystem.create_dir(base, recursive=True)
-    captures.repartition("part").mapInArrow(_normalise(folder), FILES).write.mode("overwrite").parquet(f"{folder}/files")
+    spread(captures, "part").mapInArrow(_normalise(folder), FILES).write.mode("overwrite").parquet(f"{folder}/files")
     return captures.sparkSession.read.schema(FILES).parquet(f"{folder}/files")
 
 
@@ -228,4 +228,4 @@ def _read(folder: str):
 
 def read_records(files: DataFrame, folder: str) -> DataFrame:
     """Every record, read alone by its place in the index."""
-    return files.repartition("part").mapInArrow(_read(folder), RECORDS)
+    return spread(files, "part").mapInArrow(_read(folder), RECORDS)
