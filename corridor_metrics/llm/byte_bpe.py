@@ -8,7 +8,8 @@ The transducer reads bytes. Its state holds, for every place where a token may s
 open, the open token's node in the vocabulary trie and the ids decided on the way to that
 place but not yet emitted. Ids that all open places share are emitted, so the delay is
 bounded by the longest token. States are determinised when they are first reached, and kept
-in a bounded table.
+in a bounded table. A short match that leaves the stored states beyond its first bytes hardly
+recurs; it is run through the same transitions depth first, without getting states.
 
 Texts are split by the pattern of the vocabulary; results of words that recur are remembered.
 
@@ -20,6 +21,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -31,7 +33,9 @@ from pyspark.sql import functions as F
 from corridor_metrics.llm.common import gathered, payload
 
 STATES = 100_000  # transducer states kept
-MEMO = 400_000  # words remembered per worker
+MEMO = 1_000_000  # words, and pairs of tokens, remembered per worker
+SHORT = 64  # matches of up to so many bytes
+SHARED = 3  # get states for so many bytes; matches that leave them later are run without
 CHUNK_BYTES = 2 << 20
 
 ENCODED = "doc_id long, n_tokens long, ids binary"
@@ -61,7 +65,8 @@ class BpeTransducer:
             self.token_at[node] = rank
         self.bytes_of = {rank: token for token, rank in ranks.items()}
         self.fits: dict[tuple[int, int], bool] = {}
-        self.alone: dict[int, bool] = {}
+        self.halves: dict[int, tuple[int, ...] | None] = {}
+        self.prefix: dict[int, int] = {}
         self._reset()
 
     def _reset(self) -> None:
@@ -69,47 +74,70 @@ class BpeTransducer:
         self.states = [((0, (), -1),)]
         self.moves: list[dict[int, tuple[int, tuple[int, ...]]]] = [{}]
 
-    def merged(self, piece: bytes) -> list[int]:
-        """Merges by rank, used only to test single tokens and pairs."""
-        parts = [piece[i : i + 1] for i in range(len(piece))]
-        while len(parts) > 1:
-            pairs = [(self.ranks.get(a + b, 1 << 60), i) for i, (a, b) in enumerate(zip(parts, parts[1:]))]
-            rank, i = min(pairs)
-            if rank == 1 << 60:
-                break
-            parts[i : i + 2] = [parts[i] + parts[i + 1]]
-        return [self.ranks[p] for p in parts]
-
     def _stands(self, token: int) -> bool:
-        known = self.alone.get(token)
+        """Whether a token encodes to itself; remembers the two parts of its last merge."""
+        known = self.halves.get(token)
         if known is None:
-            known = self.alone[token] = self.merged(self.bytes_of[token]) == [token]
-        return known
+            whole = self.bytes_of[token]
+            parts = [whole[i : i + 1] for i in range(len(whole))]
+            while len(parts) > 2:
+                pairs = [(self.ranks.get(a + b, 1 << 60), i) for i, (a, b) in enumerate(zip(parts, parts[1:]))]
+                rank, i = min(pairs)
+                if rank == 1 << 60:
+                    break
+                parts[i : i + 2] = [parts[i] + parts[i + 1]]
+            known = self.halves[token] = () if len(parts) == 1 else tuple(self.ranks[p] for p in parts) if len(parts) == 2 else None
+        return known is not None
 
     def _follows(self, before: int, token: int) -> bool:
-        """Whether ``token`` can stand behind ``before`` (-1: at the start)."""
+        """Whether ``token`` can stand behind ``before`` (-1: at the start).
+
+        Merges next to the boundary are undone, the latest first. The pair fails if, at any
+        point, the pieces that touch would have merged before the merge undone last; equal
+        ranks merge from the left.
+        """
         if before < 0:
             return True
         known = self.fits.get((before, token))
         if known is None:
             if len(self.fits) > MEMO:
                 self.fits.clear()
-            known = self.fits[before, token] = self.merged(self.bytes_of[before] + self.bytes_of[token]) == [before, token]
+            left, right, bound, known = before, token, 1 << 60, True
+            while True:
+                joined = self.ranks.get(self.bytes_of[left] + self.bytes_of[right])
+                if joined is not None and joined < bound:
+                    known = False
+                    break
+                of_left = self.halves[left] if self._stands(left) else ()
+                of_right = self.halves[right] if self._stands(right) else ()
+                if of_left and (left > right or not of_right):
+                    bound, left = left, of_left[1]
+                elif of_right:
+                    bound, right = right + 1, of_right[0]
+                else:
+                    break
+            self.fits[before, token] = known
         return known
 
-    def _step(self, state: int, byte: int) -> tuple[int, tuple[int, ...]]:
-        """Next state and emitted ids. An open place is (trie node, undelivered ids, last id)."""
+    def _advance(self, places, byte: int) -> list[tuple[int, tuple[int, ...], int]]:
+        """Open places after one more byte: (trie node, undelivered ids, last id)."""
         live, ended = [], None
-        for node, waiting, last in self.states[state]:
-            nxt = self.children[node].get(byte)
+        children, token_at = self.children, self.token_at
+        for node, waiting, last in places:
+            nxt = children[node].get(byte)
             if nxt is None:
                 continue
-            token = self.token_at[nxt]
+            token = token_at[nxt]
             if token >= 0 and ended is None and self._stands(token) and self._follows(last, token):
                 ended = (0, (*waiting, token), token)
-            if self.children[nxt]:
+            if children[nxt]:
                 live.append((nxt, waiting, last))
         live.append(ended)
+        return live
+
+    def _step(self, state: int, byte: int) -> tuple[int, tuple[int, ...]]:
+        """Next state and emitted ids."""
+        live = self._advance(self.states[state], byte)
         shared = 0
         shortest = min(len(w) for _, w, _ in live)
         while shared < shortest and len({w[shared] for _, w, _ in live}) == 1:
@@ -126,15 +154,63 @@ class BpeTransducer:
                 self.moves.append({})
         return found, out
 
+    def _longest(self, piece: bytes, at: int) -> int:
+        """The longest token that starts at a place."""
+        node, found, children = 0, -1, self.children
+        for byte in piece[at:]:
+            node = children[node].get(byte)
+            if node is None:
+                break
+            if self.token_at[node] >= 0:
+                found = self.token_at[node]
+        return found
+
+    def _shorter(self, token: int) -> int:
+        """The next shorter token that starts a token, or -1."""
+        known = self.prefix.get(token)
+        if known is None:
+            whole = self.bytes_of[token]
+            known = self.prefix[token] = next((self.ranks[whole[:n]] for n in range(len(whole) - 1, 0, -1) if whole[:n] in self.ranks), -1)
+        return known
+
+    def _run(self, piece: bytes) -> list[int]:
+        """The one path through the transducer that reads a whole match, found depth first, long tokens first.
+
+        The path to any place is unique, so a place that leads nowhere is not tried again.
+        """
+        path: list[int] = []
+        at, last, dead = 0, -1, set()
+        token = self._longest(piece, 0)
+        while True:
+            while token >= 0:
+                end = at + len(self.bytes_of[token])
+                if end not in dead and self._stands(token) and self._follows(last, token):
+                    break
+                token = self._shorter(token)
+            if token >= 0:
+                path.append(token)
+                if end == len(piece):
+                    return path
+                at, last, token = end, token, self._longest(piece, end)
+                continue
+            dead.add(at)
+            token = path.pop()
+            at -= len(self.bytes_of[token])
+            last = path[-1] if path else -1
+            token = self._shorter(token)
+
     def __call__(self, piece: bytes) -> list[int]:
         """Ids of one pattern match."""
         whole = self.ranks.get(piece)
         if whole is not None:
             return [whole]
         state, result = 0, []
-        for byte in piece:
+        short = len(piece) <= SHORT
+        for i, byte in enumerate(piece):
             move = self.moves[state].get(byte)
             if move is None:
+                if short and i >= SHARED:  # too rare a path for a state of its own
+                    return self._run(piece)
                 size = len(self.states)
                 move = self._step(state, byte)
                 if len(self.states) >= size:  # otherwise the table was emptied and the state is gone
@@ -159,16 +235,19 @@ class TextEncoder:
 
     def _ids(self, words: list[str]) -> bytes:
         memo = self.memo
-        try:
-            return b"".join([memo[w] for w in words])
-        except KeyError:
-            pass
-        if len(memo) > MEMO:
-            memo.clear()
-        for word in words:
-            if word not in memo:
-                memo[word] = np.array([i for p in self.find(word) for i in self.piece(p.encode())], "<u4").tobytes()
-        return b"".join([memo[w] for w in words])
+        known = [memo.get(w) for w in words]
+        if None in known:
+            if len(memo) > MEMO:
+                memo.clear()
+            for i, value in enumerate(known):
+                if value is None:
+                    word = words[i]
+                    value = memo.get(word)
+                    if value is None:
+                        ids = [x for p in self.find(word) for x in self.piece(p.encode())]
+                        value = memo[word] = array("I", ids).tobytes()
+                    known[i] = value
+        return b"".join(known)
 
     def __call__(self, text: str) -> bytes:
         """A match never crosses a single space that stands before a word, so such words are looked up whole."""
