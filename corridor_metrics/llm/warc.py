@@ -77,7 +77,7 @@ def inflate(stream) -> Iterator[bytes]:
     while chunk := stream.read(STEP):
         while chunk:
             yield machine.decompress(chunk, STEP)
-            while machine.unconsumed_tail:
+            while machine.unconsumed_tail and not machine.eof:
                 yield machine.decompress(machine.unconsumed_tail, STEP)
             chunk = machine.unused_data
             if machine.eof and chunk:

@@ -348,7 +348,8 @@ def test_pipeline_against_brute_force(spark, small):
     assert [n for n, _ in corpus_pipeline.STAGES][0] == "quality classifier"
     stages, current = [], docs
     for _, stage in corpus_pipeline.STAGES:
-        current = spark.createDataFrame(stage(spark, current, small).collect() or [], stage(spark, current, small).schema)
+        kept = stage(spark, current, small)
+        current = spark.createDataFrame(kept.collect(), kept.schema)
         stages.append(current)
     assert all(s.columns == docs.columns for s in stages[:-1])
     scores = byte_cnn.score(byte_cnn.train(docs, spark.read.parquet(f"{small}/labels.parquet")), docs.text)
@@ -370,6 +371,6 @@ def test_pipeline_stages_take_edges(spark, edges, small):
     docs = edges.selectExpr("doc_id", "text", "lang", "cast(null AS string) AS source", "cast(null AS long) AS n_chars", "1 AS _id", "'x' AS _text_key")
     for name, stage in corpus_pipeline.STAGES:
         rows = stage(spark, docs, small).collect()
-        assert stage(spark, docs.where("false"), small).count() == 0
+        assert stage(spark, docs.where("false"), small).isEmpty()
         if name == "exact dedup":
             assert sorted((r.doc_id for r in rows), key=repr) == sorted((g[0] for g in equal_groups(pairs(docs)) if g[3]), key=repr)
