@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
@@ -79,8 +80,8 @@ def _pieces(df: DataFrame, start: str, end: str, minutes: int) -> DataFrame:
 def split_failures(
     cycle: DataFrame, detections: DataFrame, det_config: DataFrame, interval_minutes: int = 60,
     green_code: int = 1, red_code: int = 10, on_code: int = 82, off_code: int = 81,
-    share: float = SPLIT_FAILURE_SHARE, red_seconds: int = RED_SECONDS, max_green_minutes: int = 60,
-    slot_minutes: int = 1,
+    share: float = SPLIT_FAILURE_SHARE, red_seconds: int = RED_SECONDS,
+    slot_minutes: int = 1, until: dt.datetime | None = None,
 ) -> DataFrame:
     """Cycles whose detectors stay occupied both through green and into red.
 
@@ -88,11 +89,12 @@ def split_failures(
     phase; the start of red is its first seconds. Occupancy is the occupied part of
     a window, averaged over the detectors of the phase. Intervals meet by signal,
     phase and time slot, where each piece is cut to the slot, so that pieces add up.
-    Greens longer than ``max_green_minutes`` are gaps in the log and do not count.
+    A detector that is still on at the end of the log is occupied up to ``until``, if that is given.
+    Nothing is left out for its length.
     """
     phase = ["signalid", "CallPhase"]
     green = next_event(cycle, green_code, red_code, phase).where(
-        F.col("end").isNotNull() & (F.col("end") > F.col("start")) & (seconds_between("start", "end") <= 60 * max_green_minutes)
+        F.col("end").isNotNull() & (F.col("end") > F.col("start"))
     )
     windows = green.select(
         *phase, F.col("start").alias("green"),
@@ -110,9 +112,10 @@ def split_failures(
         "signalid", "eventparam", F.col("CallPhase").cast("long").alias("CallPhase")
     )
     lanes = detectors.groupBy(*phase).agg(F.count_distinct("eventparam").alias("lanes"))
-    held = next_event(detections, on_code, off_code, ["signalid", "eventparam"]).where(
-        F.col("end").isNotNull() & (seconds_between("start", "end") <= 60 * max_green_minutes)
-    )
+    held = next_event(detections, on_code, off_code, ["signalid", "eventparam"])
+    if until is not None:
+        held = held.withColumn("end", F.coalesce("end", F.lit(until).cast("timestamp_ntz")))
+    held = held.where(F.col("end").isNotNull() & (F.col("end") >= F.col("start")))
     # a detector that reports "on" twice is occupied once, from the first report
     first_on = held.groupBy("signalid", "eventparam", F.col("end").alias("de")).agg(F.min("start").alias("ds"))
     occupied = checked_join(first_on, detectors, ["signalid", "eventparam"])

@@ -391,11 +391,11 @@ def i01(t):
           """WITH g AS (SELECT c.signalid, c.CallPhase, c."timestamp" AS s, min(r."timestamp") AS e FROM cycle_events c
                 JOIN cycle_events r ON r.signalid = c.signalid AND r.CallPhase = c.CallPhase AND r."timestamp" >= c."timestamp"
                 WHERE c.eventcode = 1 AND r.eventcode = 0 GROUP BY ALL),
-             g2 AS (SELECT * FROM g WHERE e > s AND epoch_us(e) - epoch_us(s) <= 6e11),
+             g2 AS (SELECT * FROM g WHERE e > s),
              d AS (SELECT a.signalid, a.eventparam, a."timestamp" AS s, min(b."timestamp") AS e FROM event_log a
                 JOIN event_log b ON a.signalid = b.signalid AND a.eventparam = b.eventparam AND b."timestamp" >= a."timestamp"
                 WHERE a.eventcode = 82 AND b.eventcode = 81 GROUP BY ALL),
-             d2 AS (SELECT signalid, eventparam, e, min(s) AS s FROM d WHERE epoch_us(e) - epoch_us(s) <= 6e11 GROUP BY ALL),
+             d2 AS (SELECT signalid, eventparam, e, min(s) AS s FROM d GROUP BY ALL),
              o AS (SELECT d2.signalid, k.CallPhase, d2.s, d2.e FROM d2 JOIN det_config k USING (signalid, eventparam) WHERE k.CallPhase IS NOT NULL),
              l AS (SELECT signalid, CallPhase, count(DISTINCT eventparam) AS lanes FROM det_config WHERE CallPhase IS NOT NULL GROUP BY ALL),
              w AS (SELECT g2.signalid, g2.CallPhase, g2.s AS green, 'g' AS part, g2.s AS ws, g2.e AS we FROM g2
@@ -414,6 +414,5 @@ SELECT signalid AS SignalID, CallPhase, date_trunc('hour', green) AS Timeperiod,
           "event_log cycle_events det_config")
 def i02(t):
     return delays.split_failures(
-        tv.cycle_events(t), tv.event_log(t), tv.det_config(t), 60, red_code=0, share=0.3, max_green_minutes=10_000,
-        slot_minutes=60,
+        tv.cycle_events(t), tv.event_log(t), tv.det_config(t), 60, red_code=0, share=0.3, slot_minutes=60,
     )

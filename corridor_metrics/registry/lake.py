@@ -208,8 +208,8 @@ def a16(t):
     root = fresh(t)
     rows = tv.intersections(t).select("SignalID", "PrimaryName", "SecondaryName", "Latitude", "Longitude")
     older = rows.withColumn("Latitude", F.col("Latitude") + 1)
-    older.coalesce(1).write.csv(f"{root}/intersections_2024-01-01", header=True)
-    rows.coalesce(1).write.csv(f"{root}/intersections_2024-02-01", header=True)
+    older.write.csv(f"{root}/intersections_2024-01-01", header=True)
+    rows.repartition(4).write.csv(f"{root}/intersections_2024-02-01", header=True)
     return lake.latest_feed(lake.read_csv(t.spark, f"{root}/*", "intersections"))
 
 
@@ -314,11 +314,12 @@ def j01(t):
     corridors.withColumn("Name", F.lit("before")).write.parquet(f"{root}/in")
 
     def poll():
-        reactive.refresh_on_change(
-            t.spark, f"{root}/in", corridors.schema, f"{root}/out", f"{root}/state", interval_seconds=None
-        ).awaitTermination()
+        reactive.refresh(t.spark, f"{root}/in", corridors.schema, f"{root}/out", f"{root}/state")
 
     poll()
-    corridors.write.mode("append").parquet(f"{root}/in")
+    half = F.col("SignalID") % 2 == 0
+    corridors.where(half).write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{root}/in")
+    poll()
+    corridors.where(~half | half.isNull()).write.mode("append").parquet(f"{root}/in")
     poll()
     return t.spark.read.parquet(f"{root}/out")

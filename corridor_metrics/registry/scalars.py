@@ -97,7 +97,7 @@ def s10(t):
 @register("s11_path_parts", "event_id,date:d,SignalID",
           "SELECT event_id, CAST(ts AS DATE) AS date, user_id AS SignalID FROM events")
 def s11(t):
-    path = F.concat(F.lit("mark/atspm/date="), F.to_date("ts"), F.lit("/atspm_"), "user_id", F.lit("_x.parquet"))
+    path = F.concat(F.lit("lake/atspm/date="), F.to_date("ts"), F.lit("/atspm_"), "user_id", F.lit("_x.parquet"))
     return t.events.select("event_id", fn.path_date(path).alias("date"), fn.path_number(path, "atspm_").alias("SignalID"))
 
 

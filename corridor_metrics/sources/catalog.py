@@ -15,7 +15,6 @@ from corridor_metrics.functions.dates import add_months
 
 MONTHS_BACK = 10
 MONTHS_TO_KEEP = 8
-REPAIR_ABOVE = 10
 
 
 def create_mart_table(
@@ -69,11 +68,14 @@ def missing_dates(spark: SparkSession, existing: DataFrame, start: dt.date, end:
 
 
 def sync_dates(spark: SparkSession, table: str, start: dt.date, end: dt.date) -> int:
-    """Register the missing dates: one by one, or by a repair when there are many."""
-    days = [r["partition"] for r in missing_dates(spark, partitions(spark, table), start, end).collect()]
-    if len(days) > REPAIR_ABOVE:
-        spark.sql(f"MSCK REPAIR TABLE {table}")
-    else:
-        for day in days:
-            add_date_partition(spark, table, day)
+    """Register the dates of the range that lie in the table's folder and have no partition yet.
+
+    The rule is the same for one date and for many; one statement adds them all.
+    """
+    described = spark.sql(f"DESCRIBE FORMATTED {table}").where("col_name = 'Location'").first()["data_type"]
+    stored = spark.read.option("basePath", described).parquet(described).select(F.col("date").cast("date").alias("partition")).distinct()
+    absent = missing_dates(spark, partitions(spark, table), start, end)
+    days = sorted(r["partition"] for r in absent.join(stored, ["partition"], "left_semi").collect())
+    if days:
+        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS " + " ".join(f"PARTITION (date = DATE'{day}')" for day in days))
     return len(days)

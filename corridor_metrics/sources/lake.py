@@ -121,9 +121,13 @@ def read_csv(spark: SparkSession, path: str, kind: str) -> DataFrame:
 
 
 def latest_feed(df: DataFrame) -> DataFrame:
-    """Rows of the last file, by path, of a feed that is read with all its files."""
-    paths = df.select("*", F.col("_metadata.file_path").alias("_path"))
-    return paths.where(F.col("_path") == paths.agg(F.max("_path")).scalar()).drop("_path")
+    """Rows of the last feed of a source that is read with all its files.
+
+    A feed is a folder, with as many files as its writer made; the last one sorts last.
+    """
+    feed = F.regexp_replace("_metadata.file_path", "/[^/]*$", "")
+    feeds = df.select("*", feed.alias("_feed"))
+    return feeds.where(F.col("_feed") == feeds.agg(F.max("_feed")).scalar()).drop("_feed")
 
 
 def signals_in_paths(df: DataFrame, prefix: str) -> DataFrame:

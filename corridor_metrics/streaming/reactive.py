@@ -4,28 +4,55 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
+from corridor_metrics.context import cut_lineage
+from corridor_metrics.sources.lake import manifest
+
 POLL_SECONDS = 3600
 
 
-def refresh_on_change(
-    spark: SparkSession, source: str, schema: StructType, target: str, checkpoint: str,
-    interval_seconds: int | None = POLL_SECONDS, value: Callable[[DataFrame], DataFrame] = lambda df: df,
-) -> StreamingQuery:
-    """Poll a folder and rewrite ``target`` from the files that are new since the last poll.
+def _seen(spark: SparkSession, state: str, like: DataFrame) -> DataFrame:
+    """The files of the last refresh; none before the first."""
+    try:
+        return spark.read.schema(like.schema).parquet(state)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return like.limit(0)
+
+
+def refresh(
+    spark: SparkSession, source: str, schema: StructType, target: str, state: str,
+    value: Callable[[DataFrame], DataFrame] = lambda df: df,
+) -> bool:
+    """Rewrite ``target`` from the whole source if any of its files is new, gone or changed.
 
-    Without an interval, what is there now is handled once. ``value`` shapes the rows.
-    A poll without new files writes nothing.
+    Paths, lengths and times of the files are compared with those of the last refresh,
+    which ``state`` holds. Returns whether the target was written.
     """
-    stream = spark.readStream.schema(schema).parquet(source)
+    files = cut_lineage(manifest(spark, source).select("path", "length", "last_modified"))
+    seen = _seen(spark, state, files)
+    if files.exceptAll(seen).union(seen.exceptAll(files)).isEmpty():
+        return False
+    whole = spark.read.schema(schema).parquet(source)
+    value(whole).write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(target)
+    files.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(state)
+    return True
+
+
+def refresh_on_change(
+    spark: SparkSession, source: str, schema: StructType, target: str, state: str,
+    interval_seconds: int = POLL_SECONDS, value: Callable[[DataFrame], DataFrame] = lambda df: df,
+) -> StreamingQuery:
+    """Poll a folder and ``refresh`` the target; the stream is only the clock."""
 
-    def rewrite(batch: DataFrame, batch_id: int) -> None:
-        value(batch).write.mode("overwrite").parquet(target)
+    def poll(batch: DataFrame, batch_id: int) -> None:
+        refresh(spark, source, schema, target, f"{state}/files", value)
 
-    writer = stream.writeStream.foreachBatch(rewrite).option("checkpointLocation", checkpoint)
-    if interval_seconds is None:
-        return writer.trigger(availableNow=True).start()
+    clock = spark.readStream.format("rate").option("rowsPerSecond", 1).load()
+    writer = clock.writeStream.foreachBatch(poll).option("checkpointLocation", f"{state}/clock")
     return writer.trigger(processingTime=f"{interval_seconds} seconds").start()

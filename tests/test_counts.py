@@ -180,6 +180,11 @@ def test_split_failure_needs_both_occupancies(spark):
     assert values(out, "SignalID", "CallPhase", "cycles", "split_failures") == [(1, 2, 2, 1)]
     coarse = delays.split_failures(cycle, detections, config, 60, slot_minutes=60)
     assert values(coarse, "split_failures") == [(1,)]
+    busy = events(spark, [("2023-12-31 22:00:00", 1, 82, 9), ("2024-01-01 00:02:10", 1, 81, 9), ("2024-01-01 00:02:12", 1, 82, 9)])
+    held = delays.split_failures(cycle, busy, config, 60)  # over an hour on; the last "on" has no end yet
+    assert values(held, "cycles", "split_failures") == [(2, 1)]
+    to_end = delays.split_failures(cycle, busy, config, 60, until=dt.datetime(2024, 1, 1, 1))
+    assert values(to_end, "cycles", "split_failures") == [(2, 2)]
 
 
 def test_month_range():
