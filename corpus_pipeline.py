@@ -36,6 +36,7 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group of equal texts."""
     ship(spark)
+    docs = docs.select(*COLUMNS)
     groups = exact_dedup.duplicate_groups(docs)
     folded = F.translate(F.coalesce("text", F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
     return _keep(docs.withColumn("_text_key", F.sha2(folded, 256)), groups.where("kept"), "text_sha256")
@@ -44,6 +45,7 @@ def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates, that with the least id."""
     ship(spark)
+    docs = docs.select(*COLUMNS)
     found = simhash.near_duplicates(docs)
     kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
     rows = docs.join(kept.select(F.col("doc_id").alias("_id")), F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
