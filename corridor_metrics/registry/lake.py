@@ -222,11 +222,14 @@ def a17(t):
     return lake.signals_in_paths(t.spark.read.parquet(root), "atspm=")
 
 
-@register("a18_newest_file_time", "n,known", "SELECT count(*) AS n, true AS known FROM orders")
+@register("a18_newest_file_time", "n,newer", "SELECT count(*) AS n, 'second' AS newer FROM orders")
 def a18(t):
-    newest = lake.freshness(t.orders)
-    n = t.orders.agg(F.count("*").alias("n"))
-    return n.withColumn("known", F.lit(newest.first()["last_modified"] is not None))
+    root, newest = fresh(t), {}
+    for name in ("first", "second"):
+        t.orders.select("o_orderkey").write.parquet(f"{root}/{name}")
+        newest[name] = lake.freshness(t.spark.read.parquet(f"{root}/{name}")).first()["last_modified"]
+    later = t.spark.read.parquet(f"{root}/{max(newest, key=newest.get)}")
+    return later.agg(F.count("*").alias("n")).withColumn("newer", F.lit(max(newest, key=newest.get)))
 
 
 @register("a19_file_manifest")
