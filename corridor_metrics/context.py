@@ -9,6 +9,8 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
+from corridor_metrics.functions.dates import add_months
+
 # Quality thresholds per counting interval.
 COUNT_THRESHOLDS = {
     "1 hour": {"max_volume": 1200, "max_abs_delta": 200, "max_flat": 5},
@@ -41,6 +43,12 @@ class RunContext:
     def wk_calcs_start(self) -> dt.date:
         return self.wk_calcs_start_date or self.calcs_start
 
+    @property
+    def history_start(self) -> dt.date:
+        """First day to read, so that every saved period and the one before it are complete."""
+        monday = self.wk_calcs_start - dt.timedelta(days=self.wk_calcs_start.weekday() + 7)
+        return min(monday, add_months(self.calcs_start, -1))
+
     @property
     def peak_hours(self) -> list[int]:
         return sorted({*self.am_peak_hours, *self.pm_peak_hours})

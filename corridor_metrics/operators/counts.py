@@ -22,18 +22,23 @@ VEHICLE_DETECTOR_ON = 82
 NO_PHASE = -1
 
 
-def detector_counts(
-    events: DataFrame, det_config: DataFrame, units: str = "hours",
-    event_code: int = VEHICLE_DETECTOR_ON, twr_only: bool = False,
-) -> DataFrame:
-    """Actuations per period, signal and detector, with the phase of the detector."""
-    hits = day_gate(events.where(F.col("eventcode") == event_code), "timestamp", twr_only)
-    vol = (
+def period_counts(events: DataFrame, units: str = "hours", event_code: int = VEHICLE_DETECTOR_ON) -> DataFrame:
+    """Events of a code per period, signal and detector."""
+    hits = events.where(F.col("eventcode") == event_code)
+    return (
         drop_null_keys(hits, "timestamp", "signalid", "eventparam")
         .withColumn("timeperiod", floor_to_unit("timestamp", units))
         .groupBy("timeperiod", "signalid", "eventparam")
         .agg(F.count("*").alias("vol"))
     )
+
+
+def detector_counts(
+    events: DataFrame, det_config: DataFrame, units: str = "hours",
+    event_code: int = VEHICLE_DETECTOR_ON, twr_only: bool = False,
+) -> DataFrame:
+    """Actuations per period, signal and detector, with the phase of the detector."""
+    vol = period_counts(day_gate(events, "timestamp", twr_only), units, event_code)
     return with_phase(vol, det_config).select("signalid", "timeperiod", "eventparam", "CallPhase", "vol")
 
 
@@ -205,13 +210,12 @@ def throughput(counts: DataFrame, dedupe: bool = False) -> DataFrame:
 def detector_uptime(filtered: DataFrame) -> DataFrame:
     """Daily ``Good_Day`` (1/0) of each detector on a gapless calendar; missing days are 0."""
     days = filtered.select("SignalID", "Detector", "Date", F.col("Good_Day").cast("int").alias("Good_Day")).distinct()
-    first = filtered.agg(F.min("Date")).scalar()
-    last = filtered.agg(F.max("Date")).scalar()
+    span = days.agg(F.struct(F.min("Date").alias("first"), F.max("Date").alias("last"))).scalar()
     grid = (
         drop_null_keys(days, "SignalID", "Detector")
         .select("SignalID", "Detector")
         .distinct()
-        .withColumn("Date", F.explode(F.sequence(first, last)))
+        .withColumn("Date", F.explode(F.sequence(span["first"], span["last"])))
     )
     return grid.join(days, ["SignalID", "Detector", "Date"], "left").withColumn(
         "Good_Day", F.coalesce("Good_Day", F.lit(0))

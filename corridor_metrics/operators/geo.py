@@ -64,9 +64,9 @@ def _pruned(pairs: DataFrame) -> DataFrame:
     )
 
 
-def _refined_cells(signals: DataFrame, locations: DataFrame, cell: float) -> DataFrame:
+def _refined_cells(near: DataFrame, signals: DataFrame, locations: DataFrame, cell: float) -> DataFrame:
     """Candidate cell pairs on the finest grid, split and pruned level by level."""
-    pairs = _pruned(_neighbour_cells(signals, locations, cell))
+    pairs = _pruned(near)
     for level in range(1, LEVELS + 1):
         parents = pairs.toDF("spx", "spy", "lpx", "lpy")
         pairs = _pruned(
@@ -87,9 +87,10 @@ def nearest_location(
     smallest ``DB Id``. ``m`` is the distance in whole metres.
 
     Points meet through the cells of a grid as wide as the radius. Copies of a
-    coordinate count once. When the cells are so full that pairing them would grow
-    faster than the input, the pairs of cells are first split and pruned down to
-    cells of a fraction of a metre.
+    coordinate count once. Where a cell and its neighbours are so full that pairing
+    their points would take more than ``pairs_per_point`` pairs a point, the pairs of
+    cells are first split and pruned down to cells of a fraction of a metre. This is
+    decided for each cell inside the plan.
     """
     cell = radius_m / METRES_PER_DEGREE
     spots = signals.where(F.col("Longitude").isNotNull() & F.col("Latitude").isNotNull())
@@ -99,18 +100,21 @@ def nearest_location(
         .groupBy(F.col("Longitude").alias("x"), F.col("Latitude").alias("y"))
         .agg(F.min("DB Id").alias("DB Id"))
     )
-    near = _neighbour_cells(sig, loc, cell)
-    load = near.agg(F.sum(F.col("sn") * F.col("ln")).alias("pairs"), F.sum("sn").alias("points")).first()
-    refine = (load["pairs"] or 0) > pairs_per_point * (load["points"] or 1)
-    level = LEVELS if refine else 0
-    pairs = _refined_cells(sig, loc, cell) if refine else near.select("sx", "sy", "lx", "ly")
+    around = F.sum("ln").over(Window.partitionBy("sx", "sy"))
+    crowded = F.col("sn") * around > pairs_per_point * (F.col("sn") + around)
+    near = _neighbour_cells(sig, loc, cell).withColumn("_crowded", crowded)
 
-    def placed(points: DataFrame, side: str) -> DataFrame:
+    def placed(points: DataFrame, side: str, level: int) -> DataFrame:
         return points.withColumns(
             {f"{side}x": _cell("x", level, cell), f"{side}y": _cell("y", level, cell)}
         ).withColumnsRenamed({"x": f"{side}lon", "y": f"{side}lat"})
 
-    met = placed(sig, "s").join(pairs, ["sx", "sy"]).join(placed(loc, "l"), ["lx", "ly"])
+    def meet(pairs: DataFrame, level: int) -> DataFrame:
+        cells = pairs.select("sx", "sy", "lx", "ly")
+        return placed(sig, "s", level).join(cells, ["sx", "sy"]).join(placed(loc, "l", level), ["lx", "ly"])
+
+    refined = _refined_cells(near.where("_crowded"), sig, loc, cell)
+    met = meet(near.where(~F.col("_crowded")), 0).unionByName(meet(refined, LEVELS))
     met = met.withColumn("_d", _degrees(F.col("slon"), F.col("slat"), F.col("llon"), F.col("llat")))
     best = met.groupBy("slon", "slat").agg(F.min(F.struct("_d", "DB Id")).alias("_b"))
     close = best.select(

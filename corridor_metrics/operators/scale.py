@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from corridor_metrics.context import cut_lineage
 from corridor_metrics.functions.measures import drop_null_keys
 
-BROADCAST_ROWS = 200_000
+WINDOW_ROWS = 200_000
+RANGE_ROWS = 1_000_000
 SALTS = 32
 HOT_SHARE = 1000
 
@@ -21,36 +22,28 @@ HOT_SHARE = 1000
 _COUNTS: WeakKeyDictionary = WeakKeyDictionary()
 
 
-def fits(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Whether ``df`` has at most ``max_rows`` rows.
+def counted(df: DataFrame) -> int:
+    """Number of rows, before they may be ordered in one task.
 
     The count is combined per task and needs no columns, so it is safe to ask of any
     frame. It is remembered with the frame, which reads the same files each time.
     """
     if df not in _COUNTS:
         _COUNTS[df] = df.count()
-    return _COUNTS[df] <= max_rows
+    return _COUNTS[df]
 
 
-def checked_join(
-    fact: DataFrame,
-    dim: DataFrame,
-    on: Sequence[str],
-    how: str = "inner",
-    max_rows: int = BROADCAST_ROWS,
-    salts: int = SALTS,
-    bound: DataFrame | None = None,
-) -> DataFrame:
-    """Join a large side with a side that is broadcast only after a row check.
+def checked_join(fact: DataFrame, dim: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join a large side with a side of any size; building the plan runs no job.
 
-    Beyond the limit the sides are shuffled, with the hot keys of ``fact`` spread over
-    several tasks. ``how`` is ``inner``, ``left``, ``left_semi`` or ``left_anti``.
-    ``bound`` may name a frame that ``dim`` is a selection of; it is counted instead,
-    once for all its selections.
+    Adaptive execution measures the finished stages: it broadcasts ``dim`` if its bytes
+    are below the broadcast threshold, and otherwise splits the skewed partitions of
+    ``fact``. Where it is switched off, hot keys are spread by hand. ``how`` is
+    ``inner``, ``left``, ``left_semi`` or ``left_anti``.
     """
-    if fits(dim if bound is None else bound, max_rows):
-        return fact.join(F.broadcast(dim), list(on), how)
-    return spread_join(fact, dim, on, how, salts)
+    if fact.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true":
+        return fact.join(dim, list(on), how)
+    return spread_join(fact, dim, on, how)
 
 
 def hot_keys(df: DataFrame, on: Sequence[str], share: int = HOT_SHARE) -> DataFrame:
@@ -79,23 +72,24 @@ def spread_join(
     return left.drop("_hot").join(right.drop("_hot"), [*on, "_salt"], how).drop("_salt")
 
 
-def _ranges(frame: DataFrame, keys: Sequence[str], parts: int) -> DataFrame:
-    """Cut a frame into key ranges of like size; the checkpoint fixes the cut."""
-    return cut_lineage(frame.repartitionByRange(parts, *keys).withColumn("_range", F.spark_partition_id()))
+def _ranges(frame: DataFrame, key: str, parts: int | None) -> DataFrame:
+    """Cut a frame into key ranges of about ``RANGE_ROWS`` rows; the checkpoint fixes the cut."""
+    parts = parts or max(2, counted(frame) // RANGE_ROWS)
+    return cut_lineage(frame.repartitionByRange(parts, key).withColumn("_range", F.spark_partition_id()))
 
 
 def previous_in_order(
-    frame: DataFrame, key: str, value: str, name: str, max_rows: int = BROADCAST_ROWS, parts: int = 256
+    frame: DataFrame, key: str, value: str, name: str, max_rows: int = WINDOW_ROWS, parts: int | None = None
 ) -> DataFrame:
     """Value of the preceding row of a frame with one row per ``key``.
 
     A frame that fits is one small window. A larger one is cut into ranges: each
     range looks back inside itself, and its first row takes the last value of the
-    range before, found in a frame of at most ``parts`` rows.
+    range before, found in a frame with one row per range.
     """
-    if fits(frame, max_rows):
+    if counted(frame) <= max_rows:
         return frame.withColumn(name, F.lag(value).over(Window.partitionBy(F.lit(0)).orderBy(key)))
-    ranged = _ranges(frame, [key], parts)
+    ranged = _ranges(frame, key, parts)
     inside = Window.partitionBy("_range").orderBy(key)
     edges = (
         ranged.groupBy("_range")
@@ -113,12 +107,12 @@ def previous_in_order(
 
 
 def row_numbers(
-    frame: DataFrame, key: str, name: str, max_rows: int = BROADCAST_ROWS, parts: int = 256
+    frame: DataFrame, key: str, name: str, max_rows: int = WINDOW_ROWS, parts: int | None = None
 ) -> DataFrame:
     """1-based position of every row in the order of a unique ``key``."""
-    if fits(frame, max_rows):
+    if counted(frame) <= max_rows:
         return frame.withColumn(name, F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(key)).cast("long"))
-    ranged = _ranges(frame, [key], parts)
+    ranged = _ranges(frame, key, parts)
     before = Window.partitionBy(F.lit(0)).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         ranged.groupBy("_range")
@@ -137,25 +131,11 @@ def row_numbers(
 def lag_over_frame(df: DataFrame, order: Sequence[str], value: str, name: str, **limits: int) -> DataFrame:
     """Value of the preceding row in the total order ``order`` of the whole frame.
 
-    ``order`` must identify a row. There is no window over the whole frame: rows
-    look back within all but the last key, and only the first row of each such
-    group takes the last value of the group before it, found by the same rule one
-    level up on a frame with one row per group.
+    ``order`` must identify a row. Its columns form one key, so that ranges of rows are
+    cut inside the rows of a hot signal as well.
     """
-    *outer, inner = order
-    if not outer:
-        return previous_in_order(df, inner, value, name, **limits)
-    last, carry = f"_last{len(outer)}", f"_carry{len(outer)}"
-    group = Window.partitionBy(*outer).orderBy(inner)
-    ends = df.groupBy(*outer).agg(F.max_by(value, inner).alias(last))
-    carried = lag_over_frame(ends, outer, last, carry, **limits).select(*outer, carry)
-    return (
-        df.withColumn("_first", F.row_number().over(group) == 1)
-        .withColumn(name, F.lag(value).over(group))
-        .join(carried, outer, "left")
-        .withColumn(name, F.when(F.col("_first"), F.col(carry)).otherwise(F.col(name)))
-        .drop("_first", carry)
-    )
+    keyed = df.withColumn("_order", F.struct(*order))
+    return previous_in_order(keyed, "_order", value, name, **limits).drop("_order")
 
 
 def lag_in_blocks(

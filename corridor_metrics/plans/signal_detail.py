@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import datetime as dt
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame
@@ -15,25 +14,33 @@ KEYS = ["SignalID", "Date", "Timeperiod", "Detector", "CallPhase"]
 FIELDS = ["Date", "Detector", "CallPhase", "vol_rc", "Good_Day", "vol_ac", "bad_day", "Hour"]
 
 
-def merged_counts(raw: DataFrame, filtered: DataFrame, adjusted: DataFrame) -> DataFrame:
-    """Full outer join of the three counts on five keys; NULL phases match each other.
+SIDES = ["_raw", "_filtered", "_adjusted"]
 
-    Each input has one row per key, so one union and one grouping replace two joins
-    and their extra shuffle.
-    """
 
-    def side(df: DataFrame, column: str, name: str, kind: str) -> DataFrame:
-        return df.select(*KEYS, F.col(column).cast(kind).alias(name))
+def _merged_sides(raw: DataFrame, filtered: DataFrame, adjusted: DataFrame) -> DataFrame:
+    """The merged counts with a flag for each input that has the key."""
+
+    def side(df: DataFrame, column: str, name: str, kind: str, flag: str) -> DataFrame:
+        return df.select(*KEYS, F.col(column).cast(kind).alias(name), F.lit(True).alias(flag))
 
     sides = [
-        side(raw, "vol", "vol_rc", "long"),
-        side(filtered, "Good_Day", "Good_Day", "boolean"),
-        side(adjusted, "vol", "vol_ac", "double"),
+        side(raw, "vol", "vol_rc", "long", SIDES[0]),
+        side(filtered, "Good_Day", "Good_Day", "boolean", SIDES[1]),
+        side(adjusted, "vol", "vol_ac", "double", SIDES[2]),
     ]
     stacked = sides[0]
     for other in sides[1:]:
         stacked = stacked.unionByName(other, allowMissingColumns=True)
-    return stacked.groupBy(*KEYS).agg(*[F.max(c).alias(c) for c in ("vol_rc", "Good_Day", "vol_ac")])
+    return stacked.groupBy(*KEYS).agg(*[F.max(c).alias(c) for c in ("vol_rc", "Good_Day", "vol_ac", *SIDES)])
+
+
+def merged_counts(raw: DataFrame, filtered: DataFrame, adjusted: DataFrame) -> DataFrame:
+    """Full outer join of the three counts on five keys; NULL phases match each other.
+
+    Each input has one row per key, so one union and one grouping replace two joins
+    and their extra shuffle.
+    """
+    return _merged_sides(raw, filtered, adjusted).drop(*SIDES)
 
 
 def masked(merged: DataFrame) -> DataFrame:
@@ -61,21 +68,15 @@ def unnest(df: DataFrame) -> DataFrame:
     return df.select("SignalID", F.inline("data"))
 
 
-def complete_days(*inputs: DataFrame) -> list[dt.date]:
-    """Dates that occur in every input: at most one value per calendar day."""
-    days, *others = [df.select("Date").distinct() for df in inputs]
-    for other in others:
-        days = days.join(other, ["Date"])
-    return [row["Date"] for row in days.collect()]
-
-
 def signal_details(
     raw: DataFrame, filtered: DataFrame, adjusted: DataFrame, signals: Iterable | DataFrame | None = None
 ) -> DataFrame:
     """Raw, filtered and adjusted hourly counts, for the days that have all three.
 
-    The days are a short list, so they prune the partitions of all three inputs.
+    The days are found in the merged rows, whose shuffle is shared: no input is read twice.
     """
-    days = complete_days(raw, filtered, adjusted)
-    sides = [of_signals(df.where(F.col("Date").isin(days)), signals) for df in (raw, filtered, adjusted)]
-    return nest(masked(merged_counts(*sides)))
+    merged = _merged_sides(raw, filtered, adjusted)
+    seen = merged.groupBy("Date").agg(*[F.max(c).alias(c) for c in SIDES])
+    days = seen.where(F.col(SIDES[0]) & F.col(SIDES[1]) & F.col(SIDES[2])).select("Date")
+    rows = merged.drop(*SIDES).join(days, ["Date"], "left_semi")
+    return nest(masked(of_signals(rows, signals)))

@@ -11,6 +11,7 @@ from corridor_metrics.operators.filters import low_uptime
 from corridor_metrics.operators.rollups import (
     corridor_avg_by_day, corridor_uptime, daily_avg, period_avg_by_day, signal_uptime, subcorridors_of,
 )
+from corridor_metrics.operators.scale import checked_join
 from corridor_metrics.operators.uptime import daily_detector_uptime, ped_uptime, repair_ped_volumes
 from corridor_metrics.sources.sinks import save_mart, write_by_date
 
@@ -54,21 +55,36 @@ def ped_pushbutton_marts(pau: DataFrame, corridors: DataFrame) -> Marts:
     return marts
 
 
-def save_marts(marts: Marts, ctx: RunContext, metric: str) -> list[str]:
-    """Write the marts; weekly ones may start earlier than the others."""
+PLACE = ["Zone_Group", "Zone", "Corridor", "Subcorridor"]
+
+
+def with_place(df: DataFrame, corridors: DataFrame) -> DataFrame:
+    """Signal rows with the place they are read by; signals without one stay."""
+    return checked_join(df, corridors.select("SignalID", *PLACE), ["SignalID"], "left")
+
+
+def save_marts(marts: Marts, corridors: DataFrame, ctx: RunContext, metric: str) -> list[str]:
+    """Write the marts; weekly ones may start earlier than the others. Signal marts get their place."""
     return [
-        save_mart(df, ctx.root, level, per, metric, ctx.wk_calcs_start if per == "wk" else ctx.calcs_start)
+        save_mart(
+            with_place(df, corridors) if level == "sig" else df,
+            ctx.root, level, per, metric, ctx.wk_calcs_start if per == "wk" else ctx.calcs_start,
+        )
         for (level, per), df in marts.items()
     ]
 
 
 def run_detector_uptime(uptime: DataFrame, corridors: DataFrame, ctx: RunContext) -> list[str]:
-    """Read once, aggregate to signal-days on disk, then build the marts from that small table."""
+    """Read once, aggregate to signal-days on disk, then build the marts from that small table.
+
+    The days go back far enough that the first saved week and month, and those before
+    them, are complete: change is never taken against a part of a period.
+    """
     spark = uptime.sparkSession
-    in_range = uptime.where(F.col("Date").between(F.lit(ctx.wk_calcs_start), F.lit(ctx.end_date)))
+    in_range = uptime.where(F.col("Date").between(F.lit(ctx.history_start), F.lit(ctx.end_date)))
     stage = f"{ctx.root}/stage_detector_uptime"
     daily_detector_uptime(in_range).write.mode("overwrite").parquet(stage)
-    return save_marts(detector_uptime_marts(spark.read.parquet(stage), corridors), ctx, "du")
+    return save_marts(detector_uptime_marts(spark.read.parquet(stage), corridors), corridors, ctx, "du")
 
 
 def run_ped_pushbutton_uptime(counts: DataFrame, corridors: DataFrame, ctx: RunContext) -> list[str]:
@@ -78,4 +94,4 @@ def run_ped_pushbutton_uptime(counts: DataFrame, corridors: DataFrame, ctx: RunC
     ped_pushbutton_uptime(counts, ctx).write.mode("overwrite").parquet(path)
     pau = spark.read.parquet(path)
     write_by_date(low_uptime(pau, ctx.calcs_start), ctx.root, "bad_ped_detectors")
-    return save_marts(ped_pushbutton_marts(pau, corridors), ctx, "pau")
+    return save_marts(ped_pushbutton_marts(pau, corridors), corridors, ctx, "pau")

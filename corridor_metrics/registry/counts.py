@@ -69,6 +69,15 @@ def d10b(t):
     return ops.detector_counts(tv.event_log(t), tv.det_config(t), "15min")
 
 
+@register("d10_detector_counts_of_few_signals", "timeperiod,signalid,eventparam,CallPhase,vol",
+          """SELECT h.*, d.CallPhase FROM (SELECT date_trunc('hour', "timestamp") AS timeperiod, signalid % 20 AS signalid, eventparam,
+             count(*) AS vol FROM event_log WHERE eventcode = 82 GROUP BY ALL) h LEFT JOIN det_config d
+             ON h.signalid = d.signalid AND h.eventparam = d.eventparam""", "event_log det_config")
+def d10c(t):
+    dense = tv.event_log(t).withColumn("signalid", F.col("signalid") % 20)
+    return ops.detector_counts(dense, tv.det_config(t), "hours")
+
+
 @register("c02_join_detector_config", "signalid,timeperiod,eventparam,vol,CallPhase",
           """SELECT c.signalid, timeperiod, c.eventparam, vol, d.CallPhase
              FROM counts c LEFT JOIN det_config d ON c.signalid = d.signalid AND c.eventparam = d.eventparam""",

@@ -295,19 +295,36 @@ def g13(t):
     return sinks.read_back(t.spark, ctx.root, "bad_ped_detectors")
 
 
-@register("j02_streamed_hourly_counts", "timeperiod,signalid,eventparam,vol",
-          """WITH h AS (SELECT * FROM event_log WHERE eventcode = 82),
-             w AS (SELECT max("timestamp") - INTERVAL 1 HOUR AS mark FROM h)
----
-SELECT date_trunc('hour', "timestamp") AS timeperiod, signalid, eventparam, count(*) AS vol FROM h
-WHERE date_trunc('hour', "timestamp") + INTERVAL 1 HOUR <= (SELECT mark FROM w) GROUP BY ALL""", "event_log")
-def j02(t):
+STREAMED = """SELECT h.*, d.CallPhase FROM (SELECT date_trunc('hour', "timestamp") AS timeperiod, {signal} AS signalid, eventparam,
+    count(*) AS vol FROM event_log WHERE eventcode = 82 GROUP BY ALL) h LEFT JOIN det_config d ON h.signalid = d.signalid
+    AND h.eventparam = d.eventparam"""
+
+
+def streamed(t, events):
+    """The later half of the month arrives first, in several files and batches."""
     root = fresh(t, "stream")
-    events = tv.event_log(t)
-    events.write.parquet(f"{root}/in")
-    stream = counts_stream.event_stream(t.spark, f"{root}/in", events.schema)
-    counts_stream.run_available(counts_stream.stream_counts(stream), f"{root}/out", f"{root}/state").awaitTermination()
-    return t.spark.read.parquet(f"{root}/out").drop("date")
+    half = F.lit("2024-01-15 00:00:00").cast("timestamp_ntz")
+
+    def arrive(rows):
+        rows.repartition(2).write.mode("append").parquet(f"{root}/in")
+        stream = counts_stream.event_stream(t.spark, f"{root}/in", events.schema, files_per_trigger=1)
+        counts_stream.run_available(stream, f"{root}/out", f"{root}/state").awaitTermination()
+
+    arrive(events.where(F.col("timestamp") >= half))
+    arrive(events.where((F.col("timestamp") < half) | F.col("timestamp").isNull()))
+    return counts_stream.streamed_counts(t.spark, f"{root}/out", tv.det_config(t)).drop("date")
+
+
+@register("j02_streamed_hourly_counts", "timeperiod,signalid,eventparam,CallPhase,vol", STREAMED.format(signal="signalid"),
+          "event_log det_config")
+def j02(t):
+    return streamed(t, tv.event_log(t))
+
+
+@register("j02_streamed_counts_of_few_signals", "timeperiod,signalid,eventparam,CallPhase,vol",
+          STREAMED.format(signal="signalid % 20"), "event_log det_config")
+def j02b(t):
+    return streamed(t, tv.event_log(t).withColumn("signalid", F.col("signalid") % 20))
 
 
 @register("j01_refresh_on_change", "SignalID,Zone_Group,Zone,Corridor,Subcorridor,Name", "SELECT * FROM corridors", "corridors")

@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 import datetime as dt
+from dataclasses import replace
 
 from pyspark.sql import functions as F
 
 from corridor_metrics import testviews as tv
-from corridor_metrics.context import RunContext
+from corridor_metrics.context import RunContext, scratch_path
 from corridor_metrics.operators import counts, filters, uptime
 from corridor_metrics.operators.counts import detector_counts
 from corridor_metrics.operators.filters import report_names
+from corridor_metrics.operators.marts import dashboard_slices, query_mart
 from corridor_metrics.plans import camera_jobs, counts_jobs, uptime_reports
 from corridor_metrics.registry import register
 from corridor_metrics.registry.rollups import DELTA
@@ -187,3 +189,83 @@ def g12(t):
 SELECT *, """ + DELTA.format(v="uptime", w="PARTITION BY SignalID ORDER BY Week") + " FROM a", "daily_metric")
 def g12b(t):
     return uptime_reports.detector_uptime_marts(tv.daily_metric(t), tv.corridors(t))["sig", "wk"]
+
+
+REPORT = RunContext(dt.date(1996, 3, 1), dt.date(1997, 12, 31), dt.date(1998, 1, 1), wk_calcs_start_date=dt.date(1996, 2, 14))
+DU = {"table": "du"}
+REPORT_SQL = """WITH d AS (SELECT SignalID, Date, avg(uptime) AS uptime FROM daily_metric
+        WHERE Date BETWEEN DATE '1996-02-01' AND DATE '1997-12-31' GROUP BY ALL),
+    w AS (SELECT SignalID, CAST(date_trunc('week', Date) AS DATE) AS Date, avg(uptime) AS uptime, count(*) AS ones FROM (
+            SELECT SignalID, Date, avg(uptime) AS uptime FROM daily_metric
+            WHERE Date BETWEEN DATE '1996-02-01' AND DATE '1997-12-31' GROUP BY ALL) GROUP BY ALL),
+    place AS (SELECT * FROM corridors WHERE Zone IS NOT NULL AND Corridor IS NOT NULL),
+    subs AS (SELECT SignalID, Zone AS Zone_Group, Corridor AS Zone, Subcorridor AS Corridor FROM place WHERE Subcorridor IS NOT NULL)"""
+
+
+def report_root(t):
+    """The nine marts of detector uptime, written by the job."""
+    root = scratch_path(t.spark, "report")
+    uptime_reports.run_detector_uptime(tv.daily_metric(t), tv.corridors(t), replace(REPORT, root=root))
+    return root
+
+
+@register("g12_job_then_read_signal_weekly", "SignalID,Date:d,uptime:r,ones:r,delta:r,Zone_Group,Zone,Corridor,Subcorridor",
+          REPORT_SQL + ", x AS (SELECT *, " + DELTA.format(v="uptime", w="PARTITION BY SignalID ORDER BY Date") + """ FROM w)
+---
+SELECT x.*, Zone_Group, Zone, Corridor, Subcorridor FROM x JOIN corridors USING (SignalID)
+WHERE Zone_Group = 'RTOP1' AND Date BETWEEN DATE '1996-02-12' AND DATE '1997-05-31'""", "daily_metric corridors")
+def g12c(t):
+    return query_mart(t.spark, report_root(t), DU, "signal", "weekly", zone_group="RTOP1", month=dt.date(1997, 5, 1))
+
+
+CORRIDOR_WEEKS = REPORT_SQL + """, a AS (SELECT Zone_Group, Zone, Corridor, Date, avg(uptime) AS uptime, count(*) AS ones
+        FROM w JOIN place USING (SignalID) GROUP BY ALL),
+    x AS (SELECT *, """ + DELTA.format(v="uptime", w="PARTITION BY Zone_Group, Zone, Corridor ORDER BY Date") + " FROM a)\n---\n"
+
+
+@register("g12_job_then_read_corridor_weekly", "Zone_Group,Zone,Corridor,Date:d,uptime:r,ones:r,delta:r",
+          CORRIDOR_WEEKS + """SELECT * FROM x WHERE Zone_Group = 'RTOP1' AND Date BETWEEN DATE '1996-02-12' AND DATE '1997-05-31'""",
+          "daily_metric corridors")
+def g12d(t):
+    return query_mart(t.spark, report_root(t), DU, "corridor", "weekly", zone_group="RTOP1", month=dt.date(1997, 5, 1))
+
+
+@register("g12_job_then_read_corridor_monthly", "Zone_Group,Zone,Corridor,Month:d,uptime:r,ones:r,delta:r",
+          REPORT_SQL + """, a AS (SELECT Zone_Group, Zone, Corridor, CAST(date_trunc('month', Date) AS DATE) AS Month,
+        avg(uptime) AS uptime, count(*) AS ones FROM d JOIN place USING (SignalID) GROUP BY ALL),
+    x AS (SELECT *, """ + DELTA.format(v="uptime", w="PARTITION BY Zone_Group, Zone, Corridor ORDER BY Month") + """ FROM a)
+---
+SELECT * FROM x WHERE Zone_Group = 'RTOP1' AND Month BETWEEN DATE '1996-03-01' AND DATE '1997-05-01'""", "daily_metric corridors")
+def g12e(t):
+    return query_mart(t.spark, report_root(t), DU, zone_group="RTOP1", month=dt.date(1997, 5, 1))
+
+
+@register("g12_job_then_read_signal_monthly", "SignalID,Month:d,uptime:r,ones:r,delta:r,Zone_Group,Zone,Corridor,Subcorridor",
+          REPORT_SQL + """, a AS (SELECT SignalID, CAST(date_trunc('month', Date) AS DATE) AS Month, avg(uptime) AS uptime,
+        count(*) AS ones FROM d GROUP BY ALL),
+    x AS (SELECT *, """ + DELTA.format(v="uptime", w="PARTITION BY SignalID ORDER BY Month") + """ FROM a)
+---
+SELECT x.*, Zone_Group, Zone, Corridor, Subcorridor FROM x LEFT JOIN corridors USING (SignalID)
+WHERE Month BETWEEN DATE '1996-03-01' AND DATE '1997-05-01'""", "daily_metric corridors")
+def g12f(t):
+    return query_mart(t.spark, report_root(t), DU, "signal", zone_group="All", month=dt.date(1997, 5, 1))
+
+
+@register("g12_job_then_read_subcorridor_daily", "Zone_Group,Zone,Corridor,Date:d,uptime:r,ones:r,delta:r",
+          REPORT_SQL + """, a AS (SELECT Zone_Group, Zone, Corridor, Date, avg(uptime) AS uptime, count(*) AS ones
+        FROM d JOIN subs USING (SignalID) GROUP BY ALL),
+    x AS (SELECT *, """ + DELTA.format(v="uptime", w="PARTITION BY Zone_Group, Zone, Corridor ORDER BY Date") + """ FROM a)
+---
+SELECT * FROM x WHERE Zone_Group = 'Zone 2' AND Date BETWEEN DATE '1996-03-01' AND DATE '1997-05-31'""", "daily_metric corridors")
+def g12g(t):
+    return query_mart(t.spark, report_root(t), DU, "subcorridor", "daily", zone_group="Zone 2", month=dt.date(1997, 5, 1))
+
+
+@register("g07_dashboard_of_job_marts", "Corridor,Date:d,var:r,col",
+          CORRIDOR_WEEKS + """SELECT Corridor, Date, uptime AS var, 1 AS col FROM x
+             WHERE Zone_Group = 'RTOP1' AND Date >= DATE '1996-02-12' AND Date < DATE '1997-05-31'""", "daily_metric corridors")
+def g07d(t):
+    root, month = report_root(t), dt.date(1997, 5, 1)
+    weekly = query_mart(t.spark, root, DU, resolution="weekly", zone_group="RTOP1", month=month)
+    monthly = query_mart(t.spark, root, DU, zone_group="RTOP1", month=month)
+    return dashboard_slices(weekly, monthly, "uptime", month, "RTOP1", "red")["week"]

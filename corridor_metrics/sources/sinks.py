@@ -55,10 +55,31 @@ def write_by_month(df: DataFrame, root: str, table: str, date: Column | str = "D
     _dynamic(rows.hint("rebalance", "month")).partitionBy("month").parquet(f"{root}/{table}")
 
 
+# The column that a stored mart is read by, per period.
+PERIOD_COLUMNS = {"dy": "Date", "wk": "Date", "mo": "Month", "qu": "Quarter"}
+
+
+def first_period(period: str, start: dt.date) -> dt.date | float:
+    """The day, Monday, month or quarter that holds the first calculated date."""
+    if period == "wk":
+        return start - dt.timedelta(days=start.weekday())
+    if period == "mo":
+        return start.replace(day=1)
+    if period == "qu":
+        return start.year + (start.month + 2) // 3 / 10
+    return start
+
+
 def save_mart(df: DataFrame, root: str, level: str, period: str, metric: str, calcs_start: dt.date | None = None) -> str:
-    """Write a mart; rows before the first calculated date are left out. Returns its path."""
-    if calcs_start is not None and "Date" in df.columns:
-        df = df.where(F.col("Date") >= F.lit(calcs_start))
+    """Write a mart; periods before that of the first calculated date are left out. Returns its path.
+
+    Weekly marts are stored with the Monday as ``Date``. Hourly rows are cut by ``Hour``.
+    """
+    if period == "wk" and "Date" not in df.columns:
+        df = df.withColumnRenamed("Week", "Date")
+    if calcs_start is not None:
+        column = next(c for c in ("Hour", PERIOD_COLUMNS[period], "Date") if c in df.columns)
+        df = df.where(F.col(column) >= F.lit(first_period(period, calcs_start)))
     path = f"{root}/{mart_name(level, period, metric)}"
     df.write.mode("overwrite").parquet(path)
     return path

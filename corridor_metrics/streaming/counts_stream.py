@@ -7,11 +7,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from corridor_metrics.functions.columns import naive_as_utc, utc_as_naive
-from corridor_metrics.operators.counts import VEHICLE_DETECTOR_ON
+from corridor_metrics.operators.counts import VEHICLE_DETECTOR_ON, period_counts, with_phase
 
-# Window length per counting unit.
-WINDOWS = {"hours": "1 hour", "15min": "15 minutes"}
+KEYS = ["timeperiod", "signalid", "eventparam"]
 
 
 def event_stream(spark: SparkSession, path: str, schema: StructType, files_per_trigger: int = 1000) -> DataFrame:
@@ -19,34 +17,34 @@ def event_stream(spark: SparkSession, path: str, schema: StructType, files_per_t
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(path)
 
 
-def stream_counts(
-    events: DataFrame, units: str = "hours", event_code: int = VEHICLE_DETECTOR_ON, delay: str = "1 hour"
-) -> DataFrame:
-    """Counts per period, signal and detector; events later than ``delay`` are dropped.
+def run_available(
+    events: DataFrame, out: str, checkpoint: str, units: str = "hours", event_code: int = VEHICLE_DETECTOR_ON
+) -> StreamingQuery:
+    """Count what has arrived and stop; the checkpoint remembers how far the stream got.
 
-    State holds one counter per open period and detector, and is freed by the watermark.
+    Every batch writes its own counts per period, signal and detector into the folder
+    of its number. A batch that runs again replaces that folder, so nothing counts
+    twice. No state is held and no watermark is needed: an event adds to its period
+    however late it comes, and open periods are there as well.
     """
-    hits = events.where(F.col("eventcode") == event_code).withColumn("timestamp", naive_as_utc("timestamp"))
+
+    def write(batch: DataFrame, number: int) -> None:
+        counts = period_counts(batch, units, event_code).withColumn("date", F.to_date("timeperiod"))
+        counts.hint("rebalance", "date").write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(
+            "date"
+        ).parquet(f"{out}/batch={number}")
+
     return (
-        hits.withWatermark("timestamp", delay)
-        .groupBy(F.window("timestamp", WINDOWS[units]).alias("w"), "signalid", "eventparam")
-        .agg(F.count("*").alias("vol"))
-        .select(utc_as_naive("w.start").alias("timeperiod"), "signalid", "eventparam", "vol")
+        events.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     )
 
 
-def run_available(counts: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
-    """Process what has arrived, append closed periods to a date-partitioned table, and stop.
+def streamed_counts(spark: SparkSession, out: str, det_config: DataFrame) -> DataFrame:
+    """The counts of all batches so far, added up, with the phase of the detector.
 
-    The checkpoint remembers how far the stream got, so the next run goes on from there.
+    Equal to ``detector_counts`` over all events that have arrived. A condition on
+    ``timeperiod`` may be put on ``date`` too, which prunes the folders.
     """
-    rows = counts.withColumn("date", F.to_date("timeperiod"))
-    return (
-        rows.writeStream.format("parquet")
-        .option("path", out)
-        .option("checkpointLocation", checkpoint)
-        .partitionBy("date")
-        .outputMode("append")
-        .trigger(availableNow=True)
-        .start()
-    )
+    parts = spark.read.parquet(out)
+    vol = parts.groupBy("date", *KEYS).agg(F.sum("vol").alias("vol"))
+    return with_phase(vol, det_config).select("signalid", "timeperiod", "eventparam", "CallPhase", "vol", "date")
