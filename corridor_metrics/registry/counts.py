@@ -267,10 +267,13 @@ def d22(t):
     return ops.bad_detectors(flagged(t))
 
 
-MERGED = FLAT.format(src="counts").strip() + ", g AS (" + FLAGS.format(flat=3, top=60, jump=40) + """),
-    rc AS (SELECT * FROM counts WHERE hour(timeperiod) < 18),
-    fc AS (SELECT signalid, timeperiod, eventparam, CallPhase, Good_Day FROM g WHERE hour(timeperiod) >= 2),
-    ac AS (SELECT signalid, timeperiod, eventparam, CallPhase, CAST(vol AS DOUBLE) AS vol FROM counts WHERE hour(timeperiod) <> 5),
+HOURS = """SELECT h.*, d.CallPhase FROM (SELECT date_trunc('hour', "timestamp") AS timeperiod, signalid % 5 AS signalid, eventparam,
+    count(*) AS vol FROM event_log WHERE eventcode = {code} GROUP BY ALL) h LEFT JOIN det_config d
+    ON h.signalid = d.signalid AND h.eventparam = d.eventparam"""
+MERGED = ("WITH rc AS (" + HOURS.format(code=82) + "), v AS (" + HOURS.format(code=81) + "), p AS (" + HOURS.format(code=1) + "), "
+          + FLAT.format(src="v").strip()[5:] + ", g AS (" + FLAGS.format(flat=5, top=1200, jump=200)) + """),
+    fc AS (SELECT signalid, timeperiod, eventparam, CallPhase, Good_Day FROM g),
+    ac AS (SELECT signalid, timeperiod, eventparam, CallPhase, CAST(vol AS DOUBLE) AS vol FROM p),
     m AS (SELECT coalesce(rc.signalid, fc.signalid) AS signalid, coalesce(rc.timeperiod, fc.timeperiod) AS timeperiod,
                  coalesce(rc.eventparam, fc.eventparam) AS eventparam, coalesce(rc.CallPhase, fc.CallPhase) AS CallPhase,
                  rc.vol AS vol_rc, fc.Good_Day
@@ -280,18 +283,23 @@ MERGED = FLAT.format(src="counts").strip() + ", g AS (" + FLAGS.format(flat=3, t
                  coalesce(m.timeperiod, ac.timeperiod) AS Timeperiod, coalesce(m.eventparam, ac.eventparam) AS Detector,
                  coalesce(m.CallPhase, ac.CallPhase) AS CallPhase, vol_rc, Good_Day, ac.vol AS vol_ac
           FROM m FULL OUTER JOIN ac ON m.signalid = ac.signalid AND m.timeperiod = ac.timeperiod
-               AND m.eventparam = ac.eventparam AND coalesce(m.CallPhase, -1) = coalesce(ac.CallPhase, -1))"""
+               AND m.eventparam = ac.eventparam AND coalesce(m.CallPhase, -1) = coalesce(ac.CallPhase, -1)),
+    days AS (SELECT CAST(timeperiod AS DATE) AS Date FROM rc INTERSECT SELECT CAST(timeperiod AS DATE) FROM fc
+             INTERSECT SELECT CAST(timeperiod AS DATE) FROM ac)"""
 
 
 def three(t):
-    """Raw, filtered and adjusted counts, each without some hours."""
-    hour = F.hour("Timeperiod")
-    rows = tv.report_counts(t)
-    return rows.where(hour < 18), flagged(t).where(hour >= 2), rows.where(hour != 5)
+    """Raw, filtered and adjusted hourly counts: of three event codes, so that their keys differ."""
+    dense = tv.event_log(t).withColumn("signalid", F.col("signalid") % 5)
+    raw, checked, adjusted = (ops.detector_counts(dense, tv.det_config(t), "hours", code) for code in (82, 81, 1))
+    checked = ops.filtered_counts(checked, thresholds=tv.THRESHOLDS)
+    return [
+        filters.report_names(df).withColumn("Date", F.to_date("Timeperiod")) for df in (raw, checked, adjusted)
+    ]
 
 
 @register("c03_full_outer_three_counts", "SignalID,Date:d,Timeperiod,Detector,CallPhase,vol_rc,Good_Day,vol_ac:r",
-          MERGED + "\n---\nSELECT * FROM j", "counts")
+          MERGED + "\n---\nSELECT * FROM j", "event_log det_config")
 def c03(t):
     return signal_detail.merged_counts(*three(t))
 
@@ -300,7 +308,7 @@ def c03(t):
           MERGED + """
 ---
 SELECT SignalID, Date, Timeperiod, Detector, CallPhase, vol_rc, Good_Day, coalesce(Good_Day = false, false) AS bad_day,
-       CASE WHEN Good_Day = false THEN vol_ac END AS vol_ac, hour(Timeperiod) AS Hour FROM j""", "counts")
+       CASE WHEN Good_Day = false THEN vol_ac END AS vol_ac, hour(Timeperiod) AS Hour FROM j""", "event_log det_config")
 def s20(t):
     return signal_detail.masked(signal_detail.merged_counts(*three(t)))
 
@@ -312,7 +320,7 @@ SELECT SignalID, Date AS date, count(*) AS records, min(Detector) AS first_detec
        arg_min(hour(Timeperiod), Detector * 100 + hour(Timeperiod)) AS first_hour,
        count(*) FILTER (WHERE Good_Day = false) AS bad, sum(vol_rc) AS vol_rc,
        sum(CASE WHEN Good_Day = false THEN vol_ac END) AS vol_ac
-FROM j GROUP BY ALL""", "counts")
+FROM j WHERE Date IN (SELECT Date FROM days) GROUP BY ALL""", "event_log det_config")
 def g01(t):
     nested, first = signal_detail.signal_details(*three(t)), F.element_at("data", 1)
 
@@ -332,7 +340,7 @@ def g01(t):
           MERGED + """
 ---
 SELECT SignalID, Date, Detector, CallPhase, vol_rc, Good_Day, coalesce(Good_Day = false, false) AS bad_day,
-       CASE WHEN Good_Day = false THEN vol_ac END AS vol_ac, hour(Timeperiod) AS Hour FROM j""", "counts")
+       CASE WHEN Good_Day = false THEN vol_ac END AS vol_ac, hour(Timeperiod) AS Hour FROM j""", "event_log det_config")
 def s19(t):
     nested = signal_detail.nest(signal_detail.masked(signal_detail.merged_counts(*three(t))))
     return signal_detail.unnest(nested)

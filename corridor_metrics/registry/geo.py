@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from corridor_metrics import testviews as tv
 from corridor_metrics.functions import columns as fn
-from corridor_metrics.functions.columns import PALETTE
 from corridor_metrics.operators import filters, geo
 from corridor_metrics.operators.scale import checked_join
 from corridor_metrics.registry import register
@@ -94,7 +93,7 @@ def s14(t):
 
 
 COLORS = """named AS (SELECT DISTINCT coalesce(Corridor, 'None') AS Corridor FROM corridors WHERE Zone LIKE 'Zone%'),
-    pal AS (SELECT Corridor, [""" + ", ".join(f"'{c}'" for c in PALETTE) + """][(row_number() OVER (ORDER BY Corridor) - 1) % 8 + 1] AS color FROM named),
+    pal AS (SELECT Corridor, ['#e41a1c', '#377eb8', '#4daf4a', '#984ea3', '#ff7f00', '#ffff33', '#a65628', '#f781bf'][(row_number() OVER (ORDER BY Corridor) - 1) % 8 + 1] AS color FROM named),
     colors AS (SELECT * FROM pal WHERE Corridor <> 'None' UNION ALL SELECT 'None', '#D0D0D0')"""
 
 
@@ -152,7 +151,7 @@ def g20b(t):
 def signal_places(t):
     """Corridors with colours, as the map knows them; some regions stand outside the zones."""
     colors = geo.corridor_colors(tv.corridors(t))
-    place = checked_join(tv.corridors(t), colors, ["Corridor"], "left").where(F.col("SignalID") % 3 != 0)
+    place = checked_join(tv.corridors(t), colors, ["Corridor"], "left")
     zone = F.when(F.col("Zone_Group") == "ASIA", F.lit("Outside")).otherwise(F.col("Zone"))
     text = F.when(F.col("SignalID") % 2 == 0, F.concat(F.lit("Known "), F.col("SignalID")))
     return place.select("SignalID", zone.alias("Zone"), "Corridor", text.alias("Description"), "color")
@@ -160,7 +159,7 @@ def signal_places(t):
 
 PLACES = """pl AS (SELECT CAST(SignalID AS VARCHAR) AS SignalID, CASE WHEN Zone_Group = 'ASIA' THEN 'Outside' ELSE Zone END AS Zone,
         k.Corridor, CASE WHEN SignalID % 2 = 0 THEN 'Known ' || SignalID END AS Description, color
-    FROM corridors k LEFT JOIN colors c ON k.Corridor = c.Corridor WHERE SignalID % 3 <> 0),
+    FROM corridors k LEFT JOIN colors c ON k.Corridor = c.Corridor),
     sig AS (SELECT i.SignalID, PrimaryName, SecondaryName, Zone, coalesce(Corridor, 'None') AS Corridor, color,
         coalesce(Description, i.SignalID || ': ' || PrimaryName || ' @ ' || SecondaryName) AS Description
     FROM intersections i LEFT JOIN pl ON i.SignalID = pl.SignalID WHERE Latitude <> 0 AND Longitude <> 0)"""

@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from corridor_metrics import testviews as tv
+from corridor_metrics.functions.columns import path_date
 from corridor_metrics.context import scratch_path
 from corridor_metrics.operators.filters import low_uptime
 from corridor_metrics.plans import camera_jobs, counts_jobs, travel_jobs, uptime_reports
@@ -179,27 +180,23 @@ def a14(t):
     return shown(t, name)
 
 
-def sparse_dates(t):
-    """Event dates of the even days only, so that there are gaps."""
-    return daily_events(t).where(F.dayofmonth("Date") % 2 == 0)
-
-
 @register("a15_sync_date_partitions", "partition:d",
-          """SELECT DISTINCT CAST(ts AS DATE) AS partition FROM events WHERE day(ts) % 2 = 0""")
+          """SELECT DISTINCT CAST(ts AS DATE) AS partition FROM events""")
 def a15(t):
     root, name = fresh(t), f"atspm_{uuid.uuid4().hex}"
-    sinks.write_by_date(sparse_dates(t).select("signalid", "Date"), root, "atspm")
+    sinks.write_by_date(daily_events(t).select("signalid", "Date"), root, "atspm")
     t.spark.sql(f"CREATE TABLE {name} (signalid BIGINT, date DATE) USING parquet PARTITIONED BY (date) LOCATION '{root}/atspm'")
-    catalog.sync_dates(t.spark, name, dt.date(2024, 1, 1), dt.date(2024, 1, 30))
+    catalog.sync_dates(t.spark, name, dt.date(2024, 1, 1), dt.date(2024, 1, 5))
+    catalog.sync_dates(t.spark, name, dt.date(2023, 12, 1), dt.date(2024, 2, 29))
     return shown(t, name)
 
 
 @register("f03_missing_dates", "partition:d",
-          """SELECT CAST(d AS DATE) AS partition FROM generate_series(DATE '2024-01-01', DATE '2024-01-30', INTERVAL 1 DAY) g(d)
-             EXCEPT SELECT CAST(ts AS DATE) FROM events WHERE day(ts) % 2 = 0""")
+          """SELECT CAST(d AS DATE) AS partition FROM generate_series(DATE '2023-12-15', DATE '2024-02-15', INTERVAL 1 DAY) g(d)
+             EXCEPT SELECT CAST(ts AS DATE) FROM events""")
 def f03(t):
-    existing = sparse_dates(t).select(F.col("Date").alias("partition"))
-    return catalog.missing_dates(t.spark, existing, dt.date(2024, 1, 1), dt.date(2024, 1, 30))
+    existing = daily_events(t).select(F.col("Date").alias("partition"))
+    return catalog.missing_dates(t.spark, existing, dt.date(2023, 12, 15), dt.date(2024, 2, 15))
 
 
 @register("a16_latest_feed", "SignalID,PrimaryName,SecondaryName,Latitude:r,Longitude:r",
@@ -232,10 +229,12 @@ def a18(t):
     return later.agg(F.count("*").alias("n")).withColumn("newer", F.lit(max(newest, key=newest.get)))
 
 
-@register("a19_file_manifest")
+@register("a19_file_manifest", "date:d,extension", "SELECT DISTINCT CAST(ts AS DATE) AS date, '.parquet' AS extension FROM events")
 def a19(t):
-    files = lake.manifest(t.spark, t.folder, [".parquet"])
-    return files.select(F.element_at(F.split("path", "/"), -1).alias("file"), "length", "extension")
+    root = fresh(t)
+    sinks.write_by_date(daily_events(t), root, "atspm")
+    files = lake.manifest(t.spark, f"{root}/atspm", [".parquet"])
+    return files.select(path_date("path").alias("date"), "extension").distinct()
 
 
 @register("a20_watchdog_snapshot", "SignalID,Detector,CallPhase,Date:d,papd:r,uptime:r,all",

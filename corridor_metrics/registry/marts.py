@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from corridor_metrics import testviews as tv
 from corridor_metrics.context import scratch_path
 from corridor_metrics.operators import marts as ops
-from corridor_metrics.operators.filters import ZONE7, zone_group_predicate
+from corridor_metrics.operators.filters import zone_group_predicate
 from corridor_metrics.plans import signal_detail
 from corridor_metrics.registry import register
 from corridor_metrics.registry.counts import MERGED, three
@@ -112,8 +112,7 @@ def g04b(t):
 
 
 @register("b10_zone_set_expansion", "Zone_Group,Corridor,Month:d,tp:r",
-          "WITH m AS (SELECT Zone AS Zone_Group, Corridor, Month, tp FROM mart)\n---\nSELECT * FROM m WHERE Zone_Group IN ("
-          + ", ".join(f"'{z}'" for z in ZONE7) + ")", "mart")
+          "WITH m AS (SELECT Zone AS Zone_Group, Corridor, Month, tp FROM mart)\n---\nSELECT * FROM m WHERE Zone_Group IN ('Zone 7m', 'Zone 7d')", "mart")
 def b10(t):
     return zoned_mart(t).where(zone_group_predicate("corridor", "Zone 7", None))
 
@@ -163,7 +162,19 @@ def g07c(t):
     return ops.dashboard_slices(daily_mart(t), mart(t), "tp", dt.date(2024, 1, 1), "RTOP1", "red", hourly)["hour"]
 
 
-GOAL_VALUES = ", ".join(f"('{m}', '{n}', '{g}', {v}, '{s}')" for m, n, g, v, s in ops.GOALS)
+# Metric, name, goal text, goal value, sign.
+GOAL_VALUES = """
+    ('du', 'Vehicle Detector Availability', '> 95%', 0.95, '>'),
+    ('pau', 'Ped Pushbutton Availability', '> 95%', 0.95, '>'),
+    ('cctvu', 'CCTV Availability', '> 95%', 0.95, '>'),
+    ('cu', 'Communications Uptime', '> 95%', 0.95, '>'),
+    ('tp', 'Traffic Volume (Throughput)', '< 5% dec. from prev. mo', -0.05, '>'),
+    ('aog', 'Arrivals on Green', '> 80%', 0.8, '>'),
+    ('qs', 'Queue Spillback Rate', '< 10%', 0.1, '<'),
+    ('sf', 'Split Failure', '< 5%', 0.05, '<'),
+    ('tti', 'Travel Time Index', '< 2.0', 2.0, '<'),
+    ('pti', 'Planning Time Index', '< 2.0', 2.0, '<'),
+    ('tasks', 'Outstanding Tasks', 'Dec. from prev. mo', 0.0, '<')"""
 
 
 @register("g08_goals_met", "metric,Corridor,Month:d,delta:r,name,goal,goal_value:r,sign,goal_met",
@@ -182,10 +193,10 @@ def g08(t):
 SELECT SignalID, Date AS date, hour(Timeperiod) AS hour, Detector, coalesce(CallPhase, 0) AS CallPhase, vol_rc,
        CASE WHEN Good_Day = false THEN vol_ac END AS vol_ac, coalesce(Good_Day = false, false) AS bad_day,
        date_trunc('hour', Timeperiod) AS Timeperiod
-FROM j WHERE SignalID = 7 AND Date BETWEEN DATE '2024-01-03' AND DATE '2024-01-20'""", "counts")
+FROM j WHERE SignalID = 3 AND Date BETWEEN DATE '2024-01-03' AND DATE '2024-01-20' AND Date IN (SELECT Date FROM days)""", "event_log det_config")
 def g02(t):
     details = signal_detail.signal_details(*three(t))
-    return ops.read_signal_data(details, 7, dt.date(2024, 1, 3), dt.date(2024, 1, 20))
+    return ops.read_signal_data(details, 3, dt.date(2024, 1, 3), dt.date(2024, 1, 20))
 
 
 @register("e08_last_modified_with_ties", "Month:d,Zone,LastModified,entry",

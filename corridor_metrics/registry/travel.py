@@ -17,10 +17,10 @@ TIME_COLUMNS = "tmc_code,Minute,speed:r,reference_speed:r,miles:r,Corridor,Subco
 
 
 @register("c04_join_segments", "tmc_code,Minute,speed:r,reference_speed:r,miles:r,Corridor,Subcorridor",
-          "SELECT * FROM speeds", "speeds")
+          """SELECT r.*, s.miles, s.Corridor, s.Subcorridor FROM readings r JOIN segments s ON r.tmc_code = s.tmc""", "readings segments")
 def c04(t):
     readings = tv.readings(t).withColumnRenamed("measurement_tstamp", "Minute")
-    segments = tv.segments(t).where(F.col("Subcorridor").isNotNull()).withColumnRenamed("tmc", "tmc_code")
+    segments = tv.segments(t).withColumnRenamed("tmc", "tmc_code")
     return scale.checked_join(readings, segments, ["tmc_code"])
 
 

@@ -269,3 +269,67 @@ def g07d(t):
     weekly = query_mart(t.spark, root, DU, resolution="weekly", zone_group="RTOP1", month=month)
     monthly = query_mart(t.spark, root, DU, zone_group="RTOP1", month=month)
     return dashboard_slices(weekly, monthly, "uptime", month, "RTOP1", "red")["week"]
+
+
+PERIOD = {"dy": ("daily", "Date", "Date"), "wk": ("weekly", "Week", "CAST(date_trunc('week', Date) AS DATE)"),
+          "mo": ("monthly", "Month", "CAST(date_trunc('month', Date) AS DATE)")}
+PLACES = """place AS (SELECT * FROM corridors WHERE Zone IS NOT NULL AND Corridor IS NOT NULL),
+    subs AS (SELECT SignalID, Zone AS Zone_Group, Corridor AS Zone, Subcorridor AS Corridor FROM place WHERE Subcorridor IS NOT NULL)"""
+
+
+def mart_sql(head: str, per: str, level: str, rows: str, weight: str) -> tuple[str, str]:
+    """Columns and statement of a mart from signal rows with the period, ``uptime`` and a weight."""
+    name = PERIOD[per][1]
+    if level == "sig":
+        keys, source = ["SignalID"], rows
+    else:
+        keys, source = ["Zone_Group", "Zone", "Corridor"], f"{rows} JOIN {'place' if level == 'cor' else 'subs'} USING (SignalID)"
+    names = ", ".join(keys)
+    body = f"""{head}, {PLACES}, a AS (SELECT {names}, {name}, sum(uptime * "{weight}") / sum("{weight}") AS uptime,
+        sum("{weight}") AS "{weight}" FROM {source} GROUP BY ALL)
+---
+SELECT *, """ + DELTA.format(v="uptime", w=f"PARTITION BY {names} ORDER BY {name}") + " FROM a"
+    return f"{','.join(keys)},{name}:d,uptime:r,{weight}:r,delta:r", body
+
+
+def register_detector_marts():
+    for level, long in (("sig", "signal"), ("cor", "corridor"), ("sub", "subcorridor")):
+        for per, (word, name, slot) in PERIOD.items():
+            if (level, per) in (("sub", "mo"), ("sig", "wk")):
+                continue  # registered above
+            head = "WITH d AS (SELECT SignalID, Date, avg(uptime) AS uptime, 1 AS ones FROM daily_metric GROUP BY ALL)"
+            rows = f"(SELECT SignalID, {slot} AS {name}, uptime, ones FROM d)"
+            if per == "wk":
+                rows = f"(SELECT SignalID, {slot} AS Week, avg(uptime) AS uptime, 1 AS ones FROM d GROUP BY ALL)"
+            columns, sql = mart_sql(head, per, level, rows, "ones")
+            if (level, per) == ("sig", "dy"):
+                columns, sql = "SignalID,Date:d,uptime:r", head + "\n---\nSELECT SignalID, Date, uptime FROM d"
+
+            def query(t, key=(level, per)):
+                return uptime_reports.detector_uptime_marts(tv.daily_metric(t), tv.corridors(t))[key]
+
+            register(f"g12_detector_uptime_report_{long}_{word}", columns, sql, "daily_metric corridors")(query)
+
+
+def register_ped_marts():
+    for level, long in (("sig", "signal"), ("cor", "corridor"), ("sub", "subcorridor")):
+        for per, (word, name, slot) in PERIOD.items():
+            if (level, per) == ("cor", "mo"):
+                continue  # registered above
+            weight = "all" if per == "mo" else "ones"
+            head = PAU.format(start="2023-07-01") + """,
+    d AS (SELECT SignalID, Date, avg(uptime) AS uptime, count(*) AS ones, sum("all") AS "all" FROM r GROUP BY ALL)"""
+            rows = f'(SELECT SignalID, {slot} AS {name}, uptime, "{weight}" FROM d)'
+            if per == "wk":
+                rows = f"(SELECT SignalID, {slot} AS Week, avg(uptime) AS uptime, count(*) AS ones FROM d GROUP BY ALL)"
+            columns, sql = mart_sql(head, per, level, rows, weight)
+
+            def query(t, key=(level, per)):
+                pau = uptime_reports.ped_pushbutton_uptime(presses(t), RUN)
+                return uptime_reports.ped_pushbutton_marts(pau, tv.corridors(t))[key]
+
+            register(f"g13_ped_report_{long}_{word}", columns, sql, "event_log det_config corridors")(query)
+
+
+register_detector_marts()
+register_ped_marts()

@@ -22,9 +22,9 @@ def text_keys(df: DataFrame) -> DataFrame:
 
 
 def write_date(df: DataFrame, root: str, table: str, day: dt.date, catalog_table: str | None = None) -> None:
-    """Replace one date partition, and register it when the table is in the catalog."""
-    rows = text_keys(df.drop("Date")).withColumn("date", F.lit(day))
-    _dynamic(rows).partitionBy("date").parquet(f"{root}/{table}")
+    """Replace one date partition, also by no rows, and register it when the table is in the catalog."""
+    rows = text_keys(df.drop("Date", "date"))
+    rows.write.mode("overwrite").parquet(f"{root}/{table}/date={day}")
     if catalog_table:
         from corridor_metrics.sources.catalog import add_date_partition
 

@@ -39,3 +39,19 @@ SPARSE = {"g03_mart_read_one_corridor_month", "c10_nearest_location", "e12_best_
 def test_query_matches_sql(spark, con, small, name):
     verdict, _ = check.compare(spark, con, name, QUERIES[name], ORACLES.get(name), small)
     assert verdict.startswith(("ok", "rows-only")) or (verdict == "EMPTY" and name in SPARSE), verdict
+
+
+LAZY = ["c10_nearest_location", "c13_config_of_the_same_date", "d10_detector_counts_hourly", "d21_detector_uptime_calendar",
+        "e05_adjusted_counts_by_share", "e08_last_modified_with_ties", "e13_group_totals_on_rows", "g01_signal_detail",
+        "g12_detector_uptime_report_signal_weekly", "g21_maintenance_match", "i02_split_failures"]
+
+
+@pytest.mark.parametrize("name", LAZY)
+def test_building_a_plan_runs_no_job(spark, small, name):
+    context = spark.sparkContext
+    context.setJobGroup(f"build-{name}", name)
+    try:
+        QUERIES[name](spark, small)
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    assert not context.statusTracker().getJobIdsForGroup(f"build-{name}")
