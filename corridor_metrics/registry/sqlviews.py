@@ -73,8 +73,8 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
         SELECT CAST(p_partkey AS VARCHAR) AS tmc, p_retailprice / 1000 AS miles, p_brand AS Corridor,
                CASE WHEN p_type <> 'PROMO' THEN p_type END AS Subcorridor FROM part"""),
     "speeds": (("readings", "segments"), """
-        SELECT DISTINCT r.*, s.miles, s.Corridor, coalesce(s.Subcorridor, 'None') AS Subcorridor
-        FROM readings r JOIN segments s ON r.tmc_code = s.tmc WHERE s.Corridor IS NOT NULL"""),
+        SELECT r.*, s.miles, s.Corridor, coalesce(s.Subcorridor, 'None') AS Subcorridor
+        FROM readings r JOIN segments s ON r.tmc_code = s.tmc"""),
     "speed_limits": ((), """
         SELECT DISTINCT p_brand AS Corridor, p_type AS Subcorridor,
                CAST(25 + 5 * (length(p_type) % 5) AS DOUBLE) AS "Speed Limit" FROM part

@@ -9,7 +9,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corridor_metrics.operators.travel import travel_times
 
 # Columns of the benchmark tables that the views use.
 SCHEMAS = {
@@ -202,7 +201,11 @@ def segments(t: Tables) -> DataFrame:
 
 def speeds(t: Tables) -> DataFrame:
     """Readings with corridor names, as stored by the travel-time job; no subcorridor is ``None``."""
-    return travel_times(readings(t), segments(t)).drop("reference_minutes")
+    seg = segments(t).withColumn("Subcorridor", F.coalesce("Subcorridor", F.lit("None")))
+    return (
+        readings(t).join(seg, F.col("tmc") == F.col("tmc_code")).drop("tmc")
+        .withColumnRenamed("measurement_tstamp", "Minute")
+    )
 
 
 def speed_limits(t: Tables) -> DataFrame:
