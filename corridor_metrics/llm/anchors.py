@@ -80,6 +80,7 @@ def runs(texts: list[bytes], width: int) -> Iterator[tuple[np.ndarray, ...]]:
 
     Small texts share a block; a long text is cut into overlapping blocks, so that memory
     does not depend on its length. A run may then be cut in two, which changes no window.
+    Blocks do not follow the order of the texts: small texts may wait while a long one passes.
     """
     pending: list[int] = []
     size = 0

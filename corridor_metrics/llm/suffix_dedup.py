@@ -135,8 +135,8 @@ def _emit_runs(width: int, buckets: int, hot: np.ndarray):
                 common = hot[np.minimum(np.searchsorted(hot, key), len(hot) - 1)] == key
                 single = _single_windows(texts, which[common], lo[common], hi[common], width)
                 which, lo, hi, key, run = (np.concatenate([a[~common], b]) for a, b in zip((which, lo, hi, key, run), single))
-                again = np.lexsort((lo, which))
-                which, lo, hi, key, run = which[again], lo[again], hi[again], key[again], run[again]
+            again = np.lexsort((lo, which))  # a long text's blocks come before the short texts in front of it
+            which, lo, hi, key, run = which[again], lo[again], hi[again], key[again], run[again]
             both = mix(key + mix(run))
             order = np.argsort(both, kind="stable")
             first = np.ones(len(order), bool)

@@ -105,6 +105,19 @@ def test_common_passages_by_their_own_hash(spark, monkeypatch):
     assert rows_of(suffix_dedup.drop_repeats(df)) == brute(rows)
 
 
+def test_short_document_before_a_long_one(spark):
+    """The long text passes the short one in its task, but the short one has the smaller id."""
+    rng = random.Random(6)
+    shared = "".join(rng.choice("abcdefgh ") for _ in range(1000))
+    long = "".join(rng.choice("ijklmnop ") for _ in range(600_000))
+    rows = [(1, "short " + shared + " end"), (2, long[:300_000] + shared + long[300_000:])]
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    docs = df.select(F.col("doc_id").alias("doc"), F.col("text").cast("binary").alias("text"))
+    assert len(suffix_dedup.hot_anchors(docs, 100)) == 0
+    got = rows_of(suffix_dedup.drop_repeats(df))
+    assert got == brute(rows) and [r[2] > 0 for r in got] == [False, True]
+
+
 def test_query_on_all_documents(spark, small):
     docs = spark.read.parquet(f"{small}/documents.parquet")
     got = sorted((tuple(r) for r in QUERIES["op3_suffix_dedup"](spark, small).collect()), key=repr)
