@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from corridor_metrics.context import shared_dir
 from corridor_metrics.llm import byte_bpe, byte_cnn, exact_dedup, simhash, wu_manber
-from corridor_metrics.llm.common import ship, table
+from corridor_metrics.llm.common import payload, ship, table
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -43,13 +43,15 @@ def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates, that with the least id."""
+    """One document of each group of near-duplicates: that with the least id, and of these the least SHA-256 of the text.
+
+    A NULL id stays only where the group has no other. Ids may repeat in other groups.
+    """
     ship(spark)
-    docs = docs.select(*COLUMNS)
-    found = simhash.near_duplicates(docs)
-    kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-    rows = docs.join(kept.select(F.col("doc_id").alias("_id")), F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
-    return rows.dropDuplicates(["doc_id"]).select(*COLUMNS)
+    docs = docs.select(*COLUMNS).withColumn("_text_key", F.sha2(payload("text"), 256))
+    found = simhash.near_duplicates(docs, carried=("_text_key",))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "_text_key")).alias("first")
+    return _keep(docs, found.groupBy("root").agg(first).select("first.doc_id", "first._text_key"), "_text_key")
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

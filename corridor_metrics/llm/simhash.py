@@ -57,19 +57,22 @@ def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
     return int(np.packbits(ones * 2 > n, bitorder="little").view("<u8")[0])
 
 
-def _prints(shingle: int):
+def _prints(shingle: int, carried: tuple[str, ...] = ()):
     def prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in gathered(batches, "text", 4 << 20):
             found = np.array([fingerprint(t, shingle) for t in batch.column("text").to_pylist()], np.uint64).view(np.int64)
-            yield pa.record_batch([batch.column("doc_id").combine_chunks(), pa.array(found)], names=["doc_id", "print"])
+            columns = [batch.column(c).combine_chunks() for c in ("doc_id", *carried)]
+            yield pa.record_batch([*columns, pa.array(found)], names=["doc_id", *carried, "print"])
 
     return prints
 
 
-def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE) -> DataFrame:
-    """doc_id, print (the fingerprint as a signed 64-bit number)."""
-    docs = df.select(F.col(id_col).cast("long").alias("doc_id"), payload(text_col).alias("text"))
-    return docs.mapInArrow(_prints(shingle), "doc_id long, print long")
+def fingerprints(
+    df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, carried: tuple[str, ...] = ()
+) -> DataFrame:
+    """doc_id, the ``carried`` string columns, print (the fingerprint as a signed 64-bit number)."""
+    docs = df.select(F.col(id_col).cast("long").alias("doc_id"), *carried, payload(text_col).alias("text"))
+    return docs.mapInArrow(_prints(shingle, carried), ", ".join(["doc_id long", *(f"{c} string" for c in carried), "print long"]))
 
 
 def block_masks(n: int, bits: int = BITS) -> list[int]:
@@ -190,18 +193,22 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def near_duplicates(
-    df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, bits: int = BITS, bucket: int = BUCKET
+    df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, bits: int = BITS, bucket: int = BUCKET,
+    carried: tuple[str, ...] = (),
 ) -> DataFrame:
-    """One row per row of ``df``: doc_id, print, component_id."""
-    prints = cut_lineage(fingerprints(df, id_col, text_col, shingle))
+    """One row per row of ``df``: doc_id, the ``carried`` string columns, print, component_id, root.
+
+    ``root`` is the least fingerprint of the component and names it; ids can be NULL or repeat.
+    """
+    prints = cut_lineage(fingerprints(df, id_col, text_col, shingle, carried))
     roots = components(close_links(prints, bits, bucket))
     least = prints.groupBy("print").agg(F.min("doc_id").alias("least"))
     rooted = cut_lineage(
         least.join(roots.withColumnRenamed("node", "print"), "print", "left").withColumn("root", F.coalesce("root", "print"))
     )
     ids = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = rooted.join(ids, "root").select("print", "component_id")
-    return prints.join(named, "print").select("doc_id", "print", "component_id")
+    named = rooted.join(ids, "root").select("print", "component_id", "root")
+    return prints.join(named, "print").select("doc_id", *carried, "print", "component_id", "root")
 
 
 def hex_print(column: str) -> Column:

@@ -365,6 +365,24 @@ def test_pipeline_against_brute_force(spark, small):
     assert listed(QUERIES.get("pipeline", corpus_pipeline.run)(spark, small)) == listed(stages[4])
 
 
+def test_near_dedup_leaves_one_row_of_each_component(spark, edges):
+    import corpus_pipeline
+
+    other = [(None, "nothing in common with the rest of these rows"), (None, "a second text without any id at all, on its own"), (20, "same id"), (20, "yet unlike words")]
+    docs = edges.select("doc_id", "text").union(spark.createDataFrame(other, "doc_id long, text string"))
+    docs = docs.selectExpr("*", "'en' AS lang", "cast(null AS string) AS source", "cast(null AS long) AS n_chars")
+    rows = pairs(docs)
+    found = simhash.near_duplicates(docs.selectExpr("*", "sha2(coalesce(text, ''), 256) AS digest"), carried=("digest",)).collect()
+    assert len(found) == len(rows)
+    groups = defaultdict(set)
+    for r in found:
+        groups[r.root].add((r.doc_id is None, r.doc_id or 0, r.digest))
+    want = sorted(min(g) for g in groups.values())
+    assert sum(w[0] for w in want) > 1 and len({w[:2] for w in want}) < len(want)
+    kept = pairs(corpus_pipeline.simhash_stage(spark, docs, ""))
+    assert sorted((d is None, d or 0, hashlib.sha256((t or "").encode()).hexdigest()) for d, t in kept) == want
+
+
 def test_pipeline_stages_take_edges(spark, edges, small):
     import corpus_pipeline
 
