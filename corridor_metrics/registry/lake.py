@@ -207,7 +207,7 @@ def a16(t):
     older = rows.withColumn("Latitude", F.col("Latitude") + 1)
     older.write.csv(f"{root}/intersections_2024-01-01", header=True)
     rows.repartition(4).write.csv(f"{root}/intersections_2024-02-01", header=True)
-    return lake.latest_feed(lake.read_csv(t.spark, f"{root}/*", "intersections"))
+    return lake.latest_feed(lake.read_csv(t.spark, f"{root}/*", "intersections"), root)
 
 
 @register("a17_signals_from_paths", "date:d,SignalID",

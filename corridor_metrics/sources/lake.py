@@ -120,12 +120,18 @@ def read_csv(spark: SparkSession, path: str, kind: str) -> DataFrame:
     return spark.read.csv(path, header=True, schema=CSV_SCHEMAS[kind], enforceSchema=True)
 
 
-def latest_feed(df: DataFrame) -> DataFrame:
+def _steps(path: Column) -> Column:
+    """Names along a path, without its scheme and host."""
+    return F.filter(F.split(F.regexp_replace(path, "^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", ""), "/"), lambda x: x != "")
+
+
+def latest_feed(df: DataFrame, source: str) -> DataFrame:
     """Rows of the last feed of a source that is read with all its files.
 
-    A feed is a folder, with as many files as its writer made; the last one sorts last.
+    A feed is one file right below the folder ``source``, or one folder there with as many files
+    as its writer made; the one whose name sorts last is the last one. ``source`` is an absolute path.
     """
-    feed = F.regexp_replace("_metadata.file_path", "/[^/]*$", "")
+    feed = F.element_at(_steps(F.col("_metadata.file_path")), F.size(_steps(F.lit(source))) + 1)
     feeds = df.select("*", feed.alias("_feed"))
     return feeds.where(F.col("_feed") == feeds.agg(F.max("_feed")).scalar()).drop("_feed")
 

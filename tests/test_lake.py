@@ -57,6 +57,30 @@ def test_read_object(spark, tmp_path):
     assert lake.read_object(spark, f"{root}/none").isEmpty()
 
 
+def test_latest_feed_of_files_and_of_folders(spark, tmp_path):
+    def line(i):
+        return f"SignalID,PrimaryName,SecondaryName,Latitude,Longitude\n{i},a,b,1,2\n"
+
+    flat, mixed = tmp_path / "flat files", tmp_path / "folders"
+    for name, ids in (("feed_2024-01-01.csv", (1,)), ("feed_2024-02-01.csv", (2,))):
+        flat.mkdir(exist_ok=True)
+        (flat / name).write_text("".join(line(i) for i in ids))
+    for name, ids in (("feed_2024-01-01", (1, 2)), ("feed_2024-02-01", (3, 4, 5))):
+        (mixed / name).mkdir(parents=True)
+        for i in ids:
+            (mixed / name / f"part-{i}.csv").write_text(line(i))
+    (mixed / "feed_2024-01-15.csv").write_text(line(9))
+
+    def last(folder, source):
+        return values(lake.latest_feed(lake.read_csv(spark, f"{folder}/feed*", "intersections"), source), "SignalID")
+
+    for prefix, slash in (("", ""), ("file:", ""), ("file://", "/")):
+        assert last(flat, f"{prefix}{flat}{slash}") == [("2",)]
+        assert last(mixed, f"{prefix}{mixed}{slash}") == [("3",), ("4",), ("5",)]
+    (mixed / "feed_2024-03-01.csv").write_text(line(7))
+    assert last(mixed, str(mixed)) == [("7",)]
+
+
 def test_month_read(spark, tmp_path):
     rows = [(1, dt.date(2024, 1, 31), 1), (1, dt.date(2024, 2, 1), 2), (1, dt.date(2024, 2, 29), 3), (1, dt.date(2024, 3, 1), 4)]
     sinks.write_by_date(table(spark, rows), str(tmp_path), "t")
