@@ -110,12 +110,18 @@ def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 def unequal_groups(df: DataFrame, prints: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Keys of groups in which texts differ although their fingerprints agree.
 
-    Texts that occur more than once are read again and compared chunk by chunk.
+    Texts that occur more than once are read again and compared chunk by chunk. Rows with a NULL
+    id meet their own fingerprint by the SHA-256 of the folded text as well, as they share no id.
     """
+    text_key = F.when(F.col("doc_id").isNull(), F.col("text_sha256"))
     several = prints.groupBy(*KEY).agg(F.count("*").alias("n")).where("n > 1 and n_bytes > 0").select(*KEY)
-    members = prints.join(several, KEY, "left_semi").groupBy("doc_id", *KEY).agg(F.count("*").alias("n")).drop("n")
+    members = prints.withColumn("text_key", text_key).join(several, KEY, "left_semi")
+    members = members.groupBy("doc_id", "text_key", *KEY).agg(F.count("*").alias("n")).drop("n")
     docs = df.select(F.col(id_col).cast("long").alias("doc_id"), payload(text_col).alias("text"))
-    texts = docs.withColumn("n_bytes", F.octet_length("text").cast("long")).join(members, ["doc_id", "n_bytes"])
+    folded = F.translate(F.col("text").cast("string"), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    docs = docs.select("*", F.octet_length("text").cast("long").alias("size"), F.when(F.col("doc_id").isNull(), F.sha2(folded, 256)).alias("sha"))
+    own = docs["doc_id"].eqNullSafe(members["doc_id"]) & (docs["size"] == members["n_bytes"]) & docs["sha"].eqNullSafe(members["text_key"])
+    texts = docs.join(members, own)
     chunks = texts.select(*KEY, "text").mapInArrow(_chunks, "n_bytes long, print_a long, print_b long, chunk long, data binary")
     ends = chunks.groupBy(*KEY, "chunk").agg(F.min("data").alias("least"), F.max("data").alias("most"))
     return ends.where("least != most").select(*KEY).distinct()

@@ -165,6 +165,15 @@ def test_equal_fingerprints_are_compared(spark, monkeypatch):
     assert listed(exact_dedup.duplicate_groups(df), "doc_id", "keep_id", "group_size", "kept") == [(1, 2, 2, False), (2, 2, 2, True), (3, 3, 1, True), (4, 4, 1, True)]
 
 
+def test_equal_fingerprints_without_ids_are_compared(spark, monkeypatch):
+    df = spark.createDataFrame([(None, "aaa"), (None, "AAA"), (None, "bbb"), (4, "ccc"), (None, "dddd")], "doc_id long, text string")
+    real = exact_dedup.fingerprints
+    monkeypatch.setattr(exact_dedup, "fingerprints", lambda *a: real(*a).selectExpr("doc_id", "n_bytes", "1L AS print_a", "1L AS print_b", "text_sha256"))
+    few = df.where("doc_id IS NULL")
+    assert exact_dedup.unequal_groups(few, exact_dedup.fingerprints(few)).count() == 1
+    assert listed(exact_dedup.duplicate_groups(df)) == equal_groups(pairs(df))
+
+
 # near duplicates
 
 
