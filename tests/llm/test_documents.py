@@ -347,6 +347,32 @@ def test_licence_query_finds_every_notice(spark, small):
         assert r.licence == (own[d] or above), (d, r)
 
 
+def test_licence_texts_and_wrapped_notices(spark):
+    from corridor_metrics.llm import licence_templates as lt
+
+    texts = {n: t for n, t in lt.all_templates({}) if len(t) > 5000}
+    mit = "MIT License\n\nCopyright (c) 2021 Some Person\n" + lt._MIT.split("Copyright (c)\n")[1]
+    bsd = "BSD 3-Clause License\n\nCopyright (c) 2019, A Company\nAll rights reserved.\n" + lt._CLAUSES + "\n3. " + lt._NAMES.strip() + "\n" + lt._DISCLAIMER
+    two = "Copyright 2011 B. Author\n" + lt._CLAUSES + lt._DISCLAIMER
+    gpl = lt.TEXTS["GPL-3.0"][1].split()
+    wrapped = [" ".join(gpl[i : i + 7]) for i in range(0, len(gpl), 7)]
+    inside = "This tool counts cars at junctions. " + licences.NOTICES["MPL-2.0"] + " Reports go to the district office every month."
+    prose = "The counts of the week were taken at the north gate, and all of the cars that came by in the morning were written down.\n" * 3
+    apache = lt.TEXTS["Apache-2.0"][1].split()
+    rows = [
+        (1, "a/LICENSE", mit, "MIT"), (2, "b/LICENSE", bsd, "BSD-3-Clause"), (3, "c/LICENSE", two, "BSD-2-Clause"), (4, "d/COPYING", texts["GPL-3.0"], "GPL-3.0"),
+        (5, "e/COPYING", texts["GPL-2.0"], "GPL-2.0"), (6, "f/COPYING", texts["LGPL-2.1"], "LGPL-2.1"), (7, "g/LICENSE", texts["Apache-2.0"], "Apache-2.0"),
+        (8, "h/x.py", "#!/bin/x\n" + "".join(f"# {w}\n" for w in wrapped) + "import os\nfrom sys import argv\nprint(argv)\n" * 5, "GPL-3.0"),
+        (9, "i/x.c", "/* A counter.\n\n" + "\n".join(" ".join(apache[i : i + 6]) for i in range(0, len(apache), 6)) + "\n*/\nint main(void) { return count(1); }\n", "Apache-2.0"),
+        (10, "j/x.md", inside, "MPL-2.0"), (11, "k/x.md", prose + inside.replace("Form is", "Form\nis") + "\n" + prose, "MPL-2.0"),
+        (12, "l/README", prose + "\n" + mit + "\n" + prose, "MIT"), (13, "m/y.txt", prose, None), (14, "n/y.txt", "He was given permission to sell the licence.\n" + prose, None),
+        (15, "o/x.c", "/*\n" + bsd + "*/\nint x;\n" * 30, "BSD-3-Clause"),
+    ]
+    df = spark.createDataFrame([r[:3] for r in rows], "doc_id long, path string, text string")
+    got = {r.doc_id: r.licence for r in licences.scan_licences(df).collect()}
+    assert got == {r[0]: r[3] for r in rows}
+
+
 # pipeline
 
 
