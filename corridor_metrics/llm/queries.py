@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from corridor_metrics.context import shared_dir
 from corridor_metrics.llm import (
-    byte_bpe, byte_cnn, exact_dedup, licences, ring, simhash, suffix_dedup, token_files, warc, wu_manber,
+    byte_bpe, byte_cnn, exact_dedup, filter_audit, licences, ring, secrets, simhash, suffix_dedup, token_files, warc, word_runs, wu_manber,
 )
 from corridor_metrics.llm.common import ship, table
 
@@ -154,6 +154,102 @@ def simhash_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_print("print").alias("fingerprint"), "component_id")
 
 
+def planted_runs(docs: DataFrame) -> DataFrame:
+    """(doc_id, text) in which every tenth text, by the hash of its id, repeats one period from some word on."""
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    seed = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.when(seed % 10 == 0, F.regexp_extract_all("text", F.lit(r"([^\x20\x09-\x0D]+)"), 1))
+    n, g = F.size("words"), F.floor(seed / 10)
+    rows = rows.withColumn("words", words).withColumn("first", F.when(n > 0, g % n).cast("int"))
+    period = (F.floor((n - F.col("first")) / (3 + g % 8)) + 1).cast("int")
+    tail = F.slice("words", F.col("first") + 1, F.col("period"))
+    times = F.ceil((n - F.col("first")) / F.col("period")).cast("int")
+    made = F.concat(F.slice("words", F.lit(1), F.col("first")), F.slice(F.flatten(F.array_repeat(tail, times)), F.lit(1), n - F.col("first")))
+    text = F.when(F.col("first").isNotNull(), F.array_join(made, " ")).otherwise(F.col("text"))
+    return rows.withColumn("period", F.when(n > 0, period)).select("doc_id", text.alias("text"))
+
+
+@query("op11_word_runs")
+def runs_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words of all documents, with planted ones."""
+    found = word_runs.find_runs(planted_runs(table(spark, sf_dir, "documents")))
+    best = F.reduce("runs", F.get("runs", 0), lambda best, run: F.when(run.length * best.period > best.length * run.period, run).otherwise(best))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r.start, r.length, r.period), F.lit("\n")))
+    return found.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.floor(F.col("best.length") * 1000 / F.col("best.period")).alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+@query("op12_secret_scan")
+def secrets_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in all documents."""
+    found = secrets.scan_secrets(table(spark, sf_dir, "documents"))
+
+    def of(*kinds):
+        return F.filter("spans", lambda s: s.kind.isin(*kinds))
+
+    def joined(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s.kind, s.start, s.end)), ",")
+
+    return found.select(
+        "doc_id", *[F.size(of(kind)).cast("long").alias(f"n_{kind}") for kind in secrets.PLAIN],
+        F.sha2(joined(of(*secrets.PLAIN)), 256).alias("base_sha256"), joined("spans").alias("spans"),
+    )
+
+
+@query(
+    "op13_filter_audit",
+    r"""
+    WITH texts AS (
+        SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t FROM documents
+    ), worded AS (
+        SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w FROM texts
+    ), failing AS (
+        SELECT doc_id, part,
+               CASE WHEN len(w) < 100 THEN 1 ELSE 0 END
+               + CASE WHEN 100 * len(list_distinct(w)) < 80 * len(w) THEN 2 ELSE 0 END
+               + CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 10 * length(t) THEN 4 ELSE 0 END
+               + CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 8 ELSE 0 END
+               + CASE WHEN coalesce(doc_id > min(doc_id) OVER (PARTITION BY t), false) THEN 16 ELSE 0 END AS mask
+        FROM worded
+    ), marks AS (
+        SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic
+        FROM labels GROUP BY doc_id
+    ), cells AS (
+        SELECT part, mask, count(*) AS n, sum(coalesce(good, 0)) AS good, sum(coalesce(toxic, 0)) AS toxic
+        FROM failing LEFT JOIN marks USING (doc_id) GROUP BY part, mask
+    ), letters AS (
+        SELECT * FROM (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)) v(letter, bit)
+    ), orders AS (
+        SELECT [a.bit, b.bit, c.bit, d.bit, e.bit] AS bits, a.letter || b.letter || c.letter || d.letter || e.letter AS filter_order
+        FROM letters a, letters b, letters c, letters d, letters e
+        WHERE a.bit + b.bit + c.bit + d.bit + e.bit = 31 AND len(list_distinct([a.bit, b.bit, c.bit, d.bit, e.bit])) = 5
+    ), steps AS (
+        SELECT filter_order, step, bits[step] AS bit, CAST(coalesce(list_sum(bits[1:step - 1]), 0) AS INTEGER) AS before
+        FROM orders, (SELECT CAST(unnest(range(1, 6)) AS INTEGER) AS step)
+    ), counted AS (
+        SELECT part, filter_order, step, bit,
+               sum(CASE WHEN mask & (before | bit) = 0 THEN n ELSE 0 END) AS kept,
+               sum(CASE WHEN mask & bit <> 0 AND mask & before = 0 THEN n ELSE 0 END) AS removed,
+               sum(CASE WHEN mask & bit <> 0 AND mask & before <> 0 THEN n ELSE 0 END) AS redundant,
+               sum(CASE WHEN mask = bit THEN n ELSE 0 END) AS unique_fails,
+               sum(CASE WHEN mask & bit <> 0 AND mask & before = 0 THEN good ELSE 0 END) AS good_lost,
+               sum(CASE WHEN mask & bit <> 0 AND mask & before = 0 THEN toxic ELSE 0 END) AS toxic_lost
+        FROM cells, steps GROUP BY part, filter_order, step, bit
+    )
+    SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant,
+           CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+           CAST(sum(removed) OVER (PARTITION BY part, bit) AS BIGINT) AS shapley
+    FROM counted
+    """,
+)
+def audit_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What five filters do to all documents, in every order."""
+    return filter_audit.audit_filters(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def load() -> tuple[dict[str, Callable[[SparkSession, str], DataFrame]], dict[str, str]]:
     """All queries and statements, with the pipeline at the top of the repository."""
     import corpus_pipeline
