@@ -4,10 +4,14 @@ from __future__ import annotations
 
 import datetime as dt
 import re
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+Span = tuple[dt.date, dt.date]  # first and last day
+DAY = dt.timedelta(days=1)
+
 
 def month_span(start: dt.date, end: dt.date) -> list[str]:
     """``YYYY-MM`` of every month from ``start`` to ``end``."""
@@ -27,26 +31,64 @@ def report_months(today: dt.date) -> list[dt.date]:
     return [add_months(last, i) for i in range(-12, 1)]
 
 
+def joined_spans(spans: Iterable[Span]) -> list[Span]:
+    """The same days as sorted spans with a gap between any two."""
+    out: list[Span] = []
+    for first, last in sorted(spans):
+        if out and first <= out[-1][1] + DAY:
+            out[-1] = out[-1][0], max(out[-1][1], last)
+        else:
+            out.append((first, last))
+    return out
+
+
+def spans_of(days: Iterable[dt.date]) -> list[Span]:
+    return joined_spans((day, day) for day in days)
+
+
+def without_spans(spans: Iterable[Span], others: Sequence[Span]) -> list[Span]:
+    """The days of ``spans`` that are in none of the others."""
+    out = joined_spans(spans)
+    for first, last in joined_spans(others):
+        pieces = []
+        for a, b in out:
+            if last < a or first > b:
+                pieces.append((a, b))
+                continue
+            pieces += [(a, first - DAY)] * (a < first) + [(last + DAY, b)] * (last < b)
+        out = pieces
+    return out
+
+
+def first_missing(days: Iterable[dt.date], today: dt.date) -> dt.date:
+    """Day after the newest of some days, but never later than yesterday."""
+    yesterday = today - DAY
+    newest = max(days, default=None)
+    return yesterday if newest is None else min(newest + DAY, yesterday)
+
+
 def first_missing_date(table: DataFrame, today: dt.date, date_col: str = "date") -> dt.date:
-    """Day after the newest partition, but never later than yesterday."""
-    yesterday = today - dt.timedelta(days=1)
+    """``first_missing`` of the dates in the rows of a table; of a stored table, ``listed_dates`` gives them without a read."""
     newest = table.agg(F.max(F.to_date(F.col(date_col))).alias("d")).first()["d"]
-    return yesterday if newest is None else min(newest + dt.timedelta(days=1), yesterday)
+    return first_missing([] if newest is None else [newest], today)
 
 
 def resolve_date(
-    text: str, today: dt.date, table: DataFrame | None = None, literal_plus_one: bool = False
+    text: str, today: dt.date, table: DataFrame | Iterable[dt.date] | None = None, literal_plus_one: bool = False
 ) -> dt.date | None:
     """``yesterday``, ``N days ago``, ``first_missing`` or a literal date.
 
-    ``literal_plus_one`` moves a literal date one day on, as some callers expect.
+    ``table`` is a frame with dates, or the dates themselves. ``literal_plus_one`` moves a literal date one day
+    on, as some callers expect.
     """
     if text == "yesterday":
-        return today - dt.timedelta(days=1)
+        return today - DAY
     ago = re.search(r"(\d+) days ago", text)
     if ago:
         return today - dt.timedelta(days=int(ago.group(1)))
     if text == "first_missing":
-        return None if table is None else first_missing_date(table, today)
+        if table is None:
+            return None
+        return first_missing_date(table, today) if isinstance(table, DataFrame) else first_missing(table, today)
     day = dt.date.fromisoformat(text[:10])
-    return day + dt.timedelta(days=1) if literal_plus_one else day
+    return day + DAY if literal_plus_one else day

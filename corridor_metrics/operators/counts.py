@@ -57,7 +57,7 @@ def signal_event_counts(events: DataFrame, interval: str = "hour") -> DataFrame:
     )
 
 
-def with_flatline(counts: DataFrame) -> DataFrame:
+def with_flatline(counts: DataFrame, history: bool = True) -> DataFrame:
     """Add ``delta_vol`` and ``flatlined`` per signal, phase and detector.
 
     ``flatlined`` counts the rows so far that equal their predecessor; it never
@@ -65,13 +65,14 @@ def with_flatline(counts: DataFrame) -> DataFrame:
     A frame with one row per detector-day carries the last volume and the count
     over midnight, so the history of a detector is never in one task. Both use the
     same shuffle of the rows: keys are complete and the phase travels as ``_phase``.
+    Without ``history`` a day starts anew: its first row has no ``delta_vol`` and the count begins at 0.
     """
     entity = ["signalid", "_phase", "eventparam"]
     keys = [*entity, "_day"]
     day = Window.partitionBy(*keys).orderBy("timeperiod")
     so_far = day.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    history = Window.partitionBy(*entity).orderBy("_day")
-    past = history.rowsBetween(Window.unboundedPreceding, -1)
+    days = Window.partitionBy(*entity).orderBy("_day")
+    past = days.rowsBetween(Window.unboundedPreceding, -1)
 
     keyed = counts.withColumns(
         {"_phase": F.coalesce(F.col("CallPhase").cast("long"), F.lit(NO_PHASE)), "_day": F.to_date("timeperiod")}
@@ -81,6 +82,13 @@ def with_flatline(counts: DataFrame) -> DataFrame:
         .withColumn("_prev", F.lag("vol").over(day))
         .withColumn("_same", F.coalesce(F.col("vol") == F.col("_prev"), F.lit(False)).cast("long"))
     )
+    if not history:
+        return (
+            rows.withColumn("CallPhase", F.when(F.col("_phase") != NO_PHASE, F.col("_phase")).cast(counts.schema["CallPhase"].dataType))
+            .withColumn("delta_vol", F.col("vol") - F.col("_prev"))
+            .withColumn("flatlined", F.when(F.col("_phase") != NO_PHASE, F.sum("_same").over(so_far)))
+            .select(*counts.columns, "delta_vol", "flatlined")
+        )
     carry = (
         rows.groupBy(*keys)
         .agg(
@@ -88,7 +96,7 @@ def with_flatline(counts: DataFrame) -> DataFrame:
             F.max_by("vol", "timeperiod").alias("_closing"),
             F.sum("_same").alias("_repeats"),
         )
-        .withColumn("_yesterday", F.lag("_closing").over(history))
+        .withColumn("_yesterday", F.lag("_closing").over(days))
         .withColumn("_joins", F.coalesce(F.col("_opening") == F.col("_yesterday"), F.lit(False)).cast("long"))
         .withColumn("_base", F.coalesce(F.sum(F.col("_repeats") + F.col("_joins")).over(past), F.lit(0)))
         .select(*keys, "_yesterday", (F.col("_base") + F.col("_joins")).alias("_base"))
@@ -114,17 +122,17 @@ def frame_delta(counts: DataFrame, name: str = "delta_vol") -> DataFrame:
 
 def filtered_counts(
     counts: DataFrame, interval: str = "1 hour", delta_scope: str = "detector",
-    thresholds: Mapping[str, Mapping[str, float]] = COUNT_THRESHOLDS,
+    thresholds: Mapping[str, Mapping[str, float]] = COUNT_THRESHOLDS, history: bool = True,
 ) -> DataFrame:
     """Counts with the flags flat, too high and jumping; ``Good_Day`` when none is set.
 
     ``delta_scope="frame"`` compares neighbouring rows of the sorted frame instead
-    of successive periods of a detector.
+    of successive periods of a detector. Without ``history`` every day is judged on its own.
     """
     if interval not in thresholds:
-        raise ValueError("Invalid interval. Use '1 hour' or '15 min'.")
+        raise ValueError(f"no thresholds for the interval {interval!r}; there are {sorted(thresholds)}")
     limit = thresholds[interval]
-    flagged = with_flatline(counts)
+    flagged = with_flatline(counts, history)
     if delta_scope == "frame":
         flagged = frame_delta(flagged.drop("delta_vol"))
 

@@ -13,6 +13,7 @@ from corridor_metrics.functions.columns import data_format, delta_text, highligh
 from corridor_metrics.functions.dates import add_months
 from corridor_metrics.operators.filters import zone_group_predicate
 from corridor_metrics.operators.scale import checked_join
+from corridor_metrics.sources.versions import read_table
 
 # Short names used in mart tables.
 RESOLUTIONS = {"quarterly": "qu", "monthly": "mo", "weekly": "wk", "daily": "dy"}
@@ -73,7 +74,7 @@ def query_mart(
 ) -> DataFrame:
     """Read one mart by level, resolution, zone group and period."""
     table = metric["hourly_table"] if hourly and "hourly_table" in metric else metric["table"]
-    df = spark.read.parquet(f"{root}/{mart_name(LEVELS[level], RESOLUTIONS[resolution], table)}")
+    df = read_table(spark, root, mart_name(LEVELS[level], RESOLUTIONS[resolution], table))
     out = df.where(mart_predicate(level, resolution, hourly, zone_group, month, quarter, upto))
     return out.where(F.col("Corridor") == corridor) if corridor else out
 
@@ -82,12 +83,12 @@ def query_health(
     spark: SparkSession, root: str, metric: str, level: str, zone_group: str, corridor: str | None, month: dt.date
 ) -> DataFrame:
     """Read a health mart for one month; zone groups widen to their zones."""
-    df = spark.read.parquet(f"{root}/{mart_name(HEALTH_LEVELS[level], 'mo', metric)}")
+    df = read_table(spark, root, mart_name(HEALTH_LEVELS[level], "mo", metric))
     return df.where(zone_group_predicate(level, zone_group, corridor) & (F.col("Month") == F.lit(month)))
 
 
 def query_user_delay(spark: SparkSession, root: str, zone_group: str, month: dt.date) -> DataFrame:
-    df = spark.read.parquet(f"{root}/cor_mo_hourly_udc")
+    df = read_table(spark, root, "cor_mo_hourly_udc")
     return df.where((F.col("Zone") == zone_group) & (F.col("Month") <= F.lit(month)))
 
 

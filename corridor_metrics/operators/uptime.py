@@ -7,11 +7,8 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corridor_metrics.functions.columns import floor_minutes, naive
 from corridor_metrics.functions.measures import drop_null_keys
-
-GAP_MINUTES = 15
-DAY_MINUTES = 60 * 24
+from corridor_metrics.operators.activity import GAP_MINUTES, minute_masks, uptime_of
 
 
 def gap_spans(stamps: DataFrame, keys: list[str]) -> DataFrame:
@@ -27,40 +24,12 @@ def gap_spans(stamps: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
-def _share_up(stamps: DataFrame, keys: list[str], name: str) -> DataFrame:
-    return (
-        gap_spans(stamps, keys)
-        .groupBy(*keys)
-        .agg((1 - F.sum("span") / F.lit(float(DAY_MINUTES))).alias(name))
-    )
-
-
-def _with_bookends(events: DataFrame, start: dt.date, end_time: dt.datetime) -> DataFrame:
-    """Distinct minute stamps per signal, plus the range's two end points for each signal.
-
-    After this step a signal-day has at most one row per minute.
-    """
-    stamps = (
-        drop_null_keys(events, "signalid", "timestamp")
-        .select(F.col("signalid").alias("SignalID"), floor_minutes("timestamp", 1).alias("Timestamp"))
-        .distinct()
-    )
-    ends = F.array(naive(start), naive(end_time))
-    bookends = stamps.select("SignalID").distinct().select("SignalID", F.explode(ends).alias("Timestamp"))
-    return stamps.unionByName(bookends).withColumn("Date", F.to_date("Timestamp"))
-
-
 def comm_uptime(events: DataFrame, start: dt.date, end_time: dt.datetime) -> dict[str, DataFrame]:
     """Share of the day without reporting gaps of more than 15 minutes.
 
     ``sig``: per signal and date. ``all``: per date, over the stamps of all signals.
     """
-    stamps = _with_bookends(events, start, end_time)
-    together = stamps.select("Date", "Timestamp").distinct()
-    return {
-        "sig": _share_up(stamps, ["SignalID", "Date"], "uptime"),
-        "all": _share_up(together, ["Date"], "uptime_all"),
-    }
+    return uptime_of(minute_masks(events), start, end_time)
 
 
 def camera_size_spread(images: DataFrame) -> DataFrame:

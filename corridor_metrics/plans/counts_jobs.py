@@ -4,42 +4,91 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corridor_metrics.context import RunContext
-from corridor_metrics.functions.dates import add_months
+from corridor_metrics.context import RunContext, scratch_path
+from corridor_metrics.functions.dates import Span, add_months, spans_of, without_spans
+from corridor_metrics.operators.activity import activity_counts, hour_masks, signal_activity, uptime_of
 from corridor_metrics.operators.counts import (
-    adjusted_counts, detector_counts, filtered_counts, signal_event_counts, throughput, vehicles_per_day,
-    vehicles_per_period,
+    adjusted_counts, filtered_counts, signal_event_counts, throughput, vehicles_per_day,
+    vehicles_per_period, with_phase,
 )
 from corridor_metrics.operators.delays import ped_delay, split_failures
 from corridor_metrics.operators.filters import report_names
-from corridor_metrics.operators.uptime import comm_uptime
 from corridor_metrics.plans.signal_detail import signal_details
-from corridor_metrics.sources.sinks import write_by_date
+from corridor_metrics.sources import versions
+from corridor_metrics.sources.lake import events_of, listed_dates
+from corridor_metrics.sources.sinks import text_keys, with_date, write_by_date
 
 
-def counts_outputs(events: DataFrame, det_config: DataFrame, ctx: RunContext, interval: str = "1 hour") -> dict[str, DataFrame]:
-    """Communications uptime, counts and filtered counts of a date range."""
+def _suffix(interval: str) -> str:
+    return {"1 hour": "1hr", "15 min": "15min"}[interval]
+
+
+COUNT_COLUMNS = ["signalid", "timeperiod", "eventparam", "CallPhase", "vol"]
+UNITS = {"1 hour": "hours", "15 min": "15min"}
+
+
+def counts_outputs(activity: DataFrame, det_config: DataFrame, ctx: RunContext, interval: str = "1 hour") -> dict[str, DataFrame]:
+    """Communications uptime, counts and filtered counts of a date range, all from the staged activity."""
     last = dt.datetime.combine(ctx.end_date, dt.time(23, 59))
-    suffix = "1hr" if interval == "1 hour" else "15min"
-    counts = detector_counts(events, det_config, interval)
+    counts = with_phase(activity_counts(activity), det_config).select(*COUNT_COLUMNS)
+    return {
+        "comm_uptime": uptime_of(hour_masks(activity), ctx.start_date, last)["sig"],
+        f"counts_{_suffix(interval)}": counts,
+        f"filtered_counts_{_suffix(interval)}": filtered_counts(counts, interval, thresholds=ctx.thresholds),
+    }
+
+
+def daily_outputs(activity: DataFrame, det_config: DataFrame, ctx: RunContext, interval: str = "1 hour") -> dict[str, DataFrame]:
+    """The same outputs with every day on its own, so that days can be computed in any order and division."""
+    counts = with_phase(activity_counts(activity), det_config).select(*COUNT_COLUMNS)
     return {
-        "comm_uptime": comm_uptime(events, ctx.start_date, last)["sig"],
-        f"counts_{suffix}": counts,
-        f"filtered_counts_{suffix}": filtered_counts(counts, interval, thresholds=ctx.thresholds),
+        "comm_uptime": uptime_of(hour_masks(activity))["sig"],
+        f"counts_{_suffix(interval)}": counts,
+        f"filtered_counts_{_suffix(interval)}": filtered_counts(counts, interval, thresholds=ctx.thresholds, history=False),
     }
 
 
+def staged_activity(events: DataFrame, interval: str) -> DataFrame:
+    """The activity of some events as a written table: the only scan of the events."""
+    spark = events.sparkSession
+    path = scratch_path(spark, "activity")
+    signal_activity(events, UNITS[interval]).write.parquet(path)
+    return spark.read.parquet(path)
+
+
 def run_counts(events: DataFrame, det_config: DataFrame, ctx: RunContext, interval: str = "1 hour") -> list[str]:
-    """Write the counts outputs by date; an empty output leaves its table as it is."""
-    outputs = counts_outputs(events, det_config, ctx, interval)
+    """Write the counts outputs by date; an empty output leaves its table as it is. The events are read once."""
+    outputs = counts_outputs(staged_activity(events, interval), det_config, ctx, interval)
     for table, df in outputs.items():
         write_by_date(report_names(df), ctx.root, table)
     return list(outputs)
 
 
+def continue_counts(
+    spark: SparkSession, lake_root: str, table: str, det_config: DataFrame, ctx: RunContext, interval: str = "1 hour"
+) -> list[Span]:
+    """Compute the dates of the run that the lake holds and no run before has finished; returns their spans.
+
+    The finished dates are kept as spans in the state that also names the current outputs, so a
+    date is finished if and only if all its outputs can be read. A run that fails leaves the state as it was. Dates that
+    come late, between finished ones, are computed by the next run, alone; ``versions.reopen`` makes it
+    compute dates again. A job that lost its state would start anew, from the dates of the lake.
+    """
+    state = versions.newest(spark, ctx.root)
+    held = spans_of(day for day in listed_dates(spark, f"{lake_root}/{table}") if ctx.start_date <= day <= ctx.end_date)
+    todo = without_spans(held, versions.finished(state))
+    if todo:
+        activity = staged_activity(events_of(spark, lake_root, table, todo), interval)
+        outputs = daily_outputs(activity, det_config, ctx, interval)
+        rows = {name: text_keys(with_date(report_names(df))).withColumnRenamed("Date", "date") for name, df in outputs.items()}
+        versions.publish_dates(spark, ctx.root, rows, todo)
+        versions.prune(spark, ctx.root)
+    return todo
+
+
 def month_range(month: dt.date, end: dt.date) -> tuple[dt.date, dt.date]:
     """First and last day of a month, cut at the end of the run."""
     return month.replace(day=1), min(add_months(month, 1) - dt.timedelta(days=1), end)

@@ -8,12 +8,14 @@ from pyspark.sql import functions as F
 from corridor_metrics.context import RunContext
 from corridor_metrics.operators.counts import daily_ped_activations
 from corridor_metrics.operators.filters import low_uptime
+from corridor_metrics.operators.marts import mart_name
 from corridor_metrics.operators.rollups import (
     corridor_avg_by_day, corridor_uptime, daily_avg, period_avg_by_day, signal_uptime, subcorridors_of,
 )
 from corridor_metrics.operators.scale import checked_join
 from corridor_metrics.operators.uptime import daily_detector_uptime, ped_uptime, repair_ped_volumes
-from corridor_metrics.sources.sinks import save_mart, write_by_date
+from corridor_metrics.sources.sinks import mart_rows, write_by_date
+from corridor_metrics.sources.versions import prune, publish_tables
 
 Marts = dict[tuple[str, str], DataFrame]
 
@@ -64,14 +66,20 @@ def with_place(df: DataFrame, corridors: DataFrame) -> DataFrame:
 
 
 def save_marts(marts: Marts, corridors: DataFrame, ctx: RunContext, metric: str) -> list[str]:
-    """Write the marts; weekly ones may start earlier than the others. Signal marts get their place."""
-    return [
-        save_mart(
-            with_place(df, corridors) if level == "sig" else df,
-            ctx.root, level, per, metric, ctx.wk_calcs_start if per == "wk" else ctx.calcs_start,
+    """Write the marts and make them current all at once; a failure on the way leaves all of them as they were.
+
+    Weekly marts may start earlier than the others. Signal marts get their place.
+    """
+    tables = {
+        mart_name(level, per, metric): mart_rows(
+            with_place(df, corridors) if level == "sig" else df, per, ctx.wk_calcs_start if per == "wk" else ctx.calcs_start
         )
         for (level, per), df in marts.items()
-    ]
+    }
+    spark = corridors.sparkSession
+    paths = publish_tables(spark, ctx.root, tables)
+    prune(spark, ctx.root)
+    return list(paths.values())
 
 
 def run_detector_uptime(uptime: DataFrame, corridors: DataFrame, ctx: RunContext) -> list[str]:

@@ -10,6 +10,7 @@ from corridor_metrics import testviews as tv
 from corridor_metrics.context import RunContext
 from corridor_metrics.operators import counts as ops
 from corridor_metrics.operators import delays, filters, scale
+from corridor_metrics.operators.activity import signal_activity
 from corridor_metrics.plans import counts_jobs, signal_detail
 from corridor_metrics.registry import register
 
@@ -352,7 +353,7 @@ def s19(t):
              x AS (SELECT h.signalid, timeperiod, h.eventparam, CallPhase, vol FROM h LEFT JOIN det_config USING (signalid, eventparam)), """
           + FLAT.format(src="x").strip()[5:] + "\n---\n" + FLAGS.format(flat=5, top=1200, jump=200), "event_log det_config")
 def g14(t):
-    return counts_jobs.counts_outputs(tv.event_log(t), tv.det_config(t), RUN)["filtered_counts_1hr"]
+    return counts_jobs.counts_outputs(signal_activity(tv.event_log(t)), tv.det_config(t), RUN)["filtered_counts_1hr"]
 
 
 @register("g15_month_job_volumes", "SignalID,CallPhase,Date:d,vpd:r",

@@ -16,7 +16,7 @@ from corridor_metrics.registry import register
 from corridor_metrics.registry.counts import RUN
 from corridor_metrics.registry.travel import TIMES, TIME_COLUMNS
 from corridor_metrics.registry.uptime import PAU, TODAY, presses
-from corridor_metrics.sources import catalog, lake, sinks
+from corridor_metrics.sources import catalog, lake, sinks, versions
 from corridor_metrics.streaming import counts_stream, reactive
 
 START, END = dt.date(2024, 1, 5), dt.date(2024, 1, 20)
@@ -300,20 +300,64 @@ STREAMED = """SELECT h.*, d.CallPhase FROM (SELECT date_trunc('hour', "timestamp
 
 
 def streamed(t, events):
-    """The later half of the month arrives first, in several files and batches."""
+    """The later half of the month arrives first, in several files and batches; every third batch is merged."""
     root = fresh(t, "stream")
     half = F.lit("2024-01-15 00:00:00").cast("timestamp_ntz")
 
     def arrive(rows):
         rows.repartition(2).write.mode("append").parquet(f"{root}/in")
         stream = counts_stream.event_stream(t.spark, f"{root}/in", events.schema, files_per_trigger=1)
-        counts_stream.run_available(stream, f"{root}/out", f"{root}/state").awaitTermination()
+        counts_stream.run_available(stream, f"{root}/out", f"{root}/state", merge_every=3).awaitTermination()
 
     arrive(events.where(F.col("timestamp") >= half))
     arrive(events.where((F.col("timestamp") < half) | F.col("timestamp").isNull()))
     return counts_stream.streamed_counts(t.spark, f"{root}/out", tv.det_config(t)).drop("date")
 
 
+def continued(t, lost):
+    """The daily job over a lake that lacks some dates, again when they have come, and once more."""
+    from dataclasses import replace
+
+    lake_root, ctx = fresh(t), replace(RUN, root=fresh(t, "daily"))
+    events = daily_events(t).where(F.col("Date").between(F.lit(RUN.start_date), F.lit(RUN.end_date)))
+    late = F.col("Date").isin(*[F.lit(day) for day in lost])
+    runs = []
+    for rows in (events.where(~late), events.where(late), None):
+        if rows is not None:
+            sinks.write_by_date(rows, lake_root, "atspm")
+        done = counts_jobs.continue_counts(t.spark, lake_root, "atspm", tv.det_config(t), ctx)
+        runs.append([(len(runs) + 1, first, last) for first, last in done])
+    return ctx, [span for run in runs for span in run]
+
+
+LOST = (dt.date(2024, 1, 9), dt.date(2024, 1, 10), dt.date(2024, 1, 17))
+
+
+@register("j02_continued_counts", "SignalID,Timeperiod,Detector,CallPhase,vol,date:d",
+          """WITH h AS (SELECT date_trunc('hour', "timestamp") AS timeperiod, signalid, eventparam, count(*) AS vol
+                FROM event_log WHERE eventcode = 82 GROUP BY ALL)
+---
+SELECT CAST(h.signalid AS VARCHAR) AS SignalID, timeperiod AS Timeperiod, CAST(h.eventparam AS VARCHAR) AS Detector,
+       CAST(CallPhase AS VARCHAR) AS CallPhase, vol, CAST(timeperiod AS DATE) AS date
+FROM h LEFT JOIN det_config USING (signalid, eventparam)
+WHERE CAST(timeperiod AS DATE) BETWEEN DATE '{start}' AND DATE '{end}'""".format(start=RUN.start_date, end=RUN.end_date), "event_log det_config")
+def j02c(t):
+    ctx, _ = continued(t, LOST)
+    return versions.read_table(t.spark, ctx.root, "counts_1hr")
+
+
+@register("j02_continued_spans", "run,first:d,last:d",
+          """WITH d AS (SELECT DISTINCT CAST("timestamp" AS DATE) AS day FROM event_log
+                WHERE CAST("timestamp" AS DATE) BETWEEN DATE '{start}' AND DATE '{end}'),
+          r AS (SELECT day, CASE WHEN day IN (DATE '2024-01-09', DATE '2024-01-10', DATE '2024-01-17') THEN 2 ELSE 1 END AS run FROM d),
+          i AS (SELECT *, day - CAST(row_number() OVER (PARTITION BY run ORDER BY day) AS INTEGER) AS island FROM r)
+---
+SELECT run, min(day) AS first, max(day) AS last FROM i GROUP BY run, island""".format(start=RUN.start_date, end=RUN.end_date), "event_log")
+def j02d(t):
+    _, spans = continued(t, LOST)
+    return t.spark.createDataFrame(spans, "run int, first date, last date")
+
+
 @register("j02_streamed_hourly_counts", "timeperiod,signalid,eventparam,CallPhase,vol", STREAMED.format(signal="signalid"),
           "event_log det_config")
 def j02(t):
@@ -333,7 +377,7 @@ def j01(t):
     corridors.withColumn("Name", F.lit("before")).write.parquet(f"{root}/in")
 
     def poll():
-        reactive.refresh(t.spark, f"{root}/in", corridors.schema, f"{root}/out", f"{root}/state")
+        reactive.refresh(t.spark, f"{root}/in", corridors.schema, f"{root}/out")
 
     poll()
     half = F.col("SignalID") % 2 == 0
@@ -341,4 +385,4 @@ def j01(t):
     poll()
     corridors.where(~half | half.isNull()).write.mode("append").parquet(f"{root}/in")
     poll()
-    return t.spark.read.parquet(f"{root}/out")
+    return reactive.current(t.spark, f"{root}/out")

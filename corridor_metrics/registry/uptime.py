@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from corridor_metrics import testviews as tv
 from corridor_metrics.context import RunContext, scratch_path
 from corridor_metrics.operators import counts, filters, uptime
+from corridor_metrics.operators.activity import signal_activity
 from corridor_metrics.operators.counts import detector_counts
 from corridor_metrics.operators.filters import report_names
 from corridor_metrics.operators.marts import dashboard_slices, query_mart
@@ -61,7 +62,7 @@ def e11(t):
 ---
 SELECT SignalID, Date, 1 - sum(CASE WHEN span > 15 THEN span ELSE 0 END) / 1440 AS uptime FROM g GROUP BY ALL""", "event_log")
 def i05(t):
-    return counts_jobs.counts_outputs(tv.event_log(t), tv.det_config(t), RUN)["comm_uptime"]
+    return counts_jobs.counts_outputs(signal_activity(tv.event_log(t)), tv.det_config(t), RUN)["comm_uptime"]
 
 
 @register("d15_camera_size_spread", "CameraID,Date:d,Size:r",

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corridor_metrics.functions.dates import add_months
+from corridor_metrics.sources.lake import listed_dates
 
 MONTHS_BACK = 10
 MONTHS_TO_KEEP = 8
@@ -70,12 +71,12 @@ def missing_dates(spark: SparkSession, existing: DataFrame, start: dt.date, end:
 def sync_dates(spark: SparkSession, table: str, start: dt.date, end: dt.date) -> int:
     """Register the dates of the range that lie in the table's folder and have no partition yet.
 
-    The rule is the same for one date and for many; one statement adds them all.
+    The rule is the same for one date and for many; one statement adds them all. The folder's dates are
+    taken from its listing.
     """
     described = spark.sql(f"DESCRIBE FORMATTED {table}").where("col_name = 'Location'").first()["data_type"]
-    stored = spark.read.option("basePath", described).parquet(described).select(F.col("date").cast("date").alias("partition")).distinct()
-    absent = missing_dates(spark, partitions(spark, table), start, end)
-    days = sorted(r["partition"] for r in absent.join(stored, ["partition"], "left_semi").collect())
+    known = {r["partition"] for r in partitions(spark, table).collect()}
+    days = [day for day in listed_dates(spark, described) if start <= day <= end and day not in known]
     if days:
         spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS " + " ".join(f"PARTITION (date = DATE'{day}')" for day in days))
     return len(days)

@@ -5,6 +5,8 @@ from __future__ import annotations
 import datetime as dt
 import re
 from collections.abc import Callable, Iterable, Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,7 +14,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corridor_metrics.functions.columns import all_to_utc, path_date, path_number
+from corridor_metrics.functions.dates import Span
 from corridor_metrics.operators.filters import dates_between, events_between, of_signals
+from corridor_metrics.sources.versions import names_in
 
 MISSING = {"PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"}
 
@@ -60,6 +64,22 @@ def read_dates(
     return all_to_utc(without_internal_columns(df)).transform(callback)
 
 
+def listed_dates(spark: SparkSession, path: str, column: str = "date") -> list[dt.date]:
+    """Dates of the partitions below a folder, sorted, by the names of the folders alone; no data file is opened."""
+    found = []
+    for name in names_in(spark, path):
+        key, _, value = name.partition("=")
+        if key == column and re.fullmatch(r"\d{4}-\d{2}-\d{2}", value):
+            found.append(dt.date.fromisoformat(value))
+    return found
+
+
+def events_of(spark: SparkSession, root: str, table: str, days: Sequence[Span]) -> DataFrame:
+    """Events of the lake in some spans of dates; other partitions are pruned."""
+    wanted = reduce(or_, [F.col("date").between(F.lit(first), F.lit(last)) for first, last in days], F.lit(False))
+    return lower_names(spark.read.parquet(f"{root}/{table}").where(wanted))
+
+
 def read_month(spark: SparkSession, root: str, table: str, month: dt.date) -> DataFrame:
     """All partitions of one month, as a date range so that the scan is pruned."""
     stop = (month.replace(day=28) + dt.timedelta(days=4)).replace(day=1)

@@ -70,18 +70,23 @@ def first_period(period: str, start: dt.date) -> dt.date | float:
     return start
 
 
-def save_mart(df: DataFrame, root: str, level: str, period: str, metric: str, calcs_start: dt.date | None = None) -> str:
-    """Write a mart; periods before that of the first calculated date are left out. Returns its path.
+def mart_rows(df: DataFrame, period: str, calcs_start: dt.date | None = None) -> DataFrame:
+    """A mart as it is stored; periods before that of the first calculated date are left out.
 
     Weekly marts are stored with the Monday as ``Date``. Hourly rows are cut by ``Hour``.
     """
     if period == "wk" and "Date" not in df.columns:
         df = df.withColumnRenamed("Week", "Date")
-    if calcs_start is not None:
-        column = next(c for c in ("Hour", PERIOD_COLUMNS[period], "Date") if c in df.columns)
-        df = df.where(F.col(column) >= F.lit(first_period(period, calcs_start)))
+    if calcs_start is None:
+        return df
+    column = next(c for c in ("Hour", PERIOD_COLUMNS[period], "Date") if c in df.columns)
+    return df.where(F.col(column) >= F.lit(first_period(period, calcs_start)))
+
+
+def save_mart(df: DataFrame, root: str, level: str, period: str, metric: str, calcs_start: dt.date | None = None) -> str:
+    """Write one mart, which then holds ``mart_rows``. Returns its path."""
     path = f"{root}/{mart_name(level, period, metric)}"
-    df.write.mode("overwrite").parquet(path)
+    mart_rows(df, period, calcs_start).write.mode("overwrite").parquet(path)
     return path
 
 

@@ -4,54 +4,52 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from corridor_metrics.context import cut_lineage
+from corridor_metrics.sources import versions
 from corridor_metrics.sources.lake import manifest
 
 POLL_SECONDS = 3600
+VALUE, FILES = "value", "files"
 
 
-def _seen(spark: SparkSession, state: str, like: DataFrame) -> DataFrame:
-    """The files of the last refresh; none before the first."""
-    try:
-        return spark.read.schema(like.schema).parquet(state)
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return like.limit(0)
+def current(spark: SparkSession, target: str) -> DataFrame:
+    """The rows of the last refresh. A refresh that runs meanwhile changes nothing for this reader."""
+    return versions.read_table(spark, target, VALUE)
 
 
 def refresh(
-    spark: SparkSession, source: str, schema: StructType, target: str, state: str,
+    spark: SparkSession, source: str, schema: StructType, target: str,
     value: Callable[[DataFrame], DataFrame] = lambda df: df,
 ) -> bool:
-    """Rewrite ``target`` from the whole source if any of its files is new, gone or changed.
+    """Publish a new version of ``target`` from the whole source if any of its files is new, gone or changed.
 
-    Paths, lengths and times of the files are compared with those of the last refresh,
-    which ``state`` holds. Returns whether the target was written.
+    Paths, lengths and times of the files are compared with those of the last refresh, which are
+    published together with the rows: a run that fails in between leaves both as they were.
+    Returns whether a version was published. Superseded versions are removed at the next but one.
     """
     files = cut_lineage(manifest(spark, source).select("path", "length", "last_modified"))
-    seen = _seen(spark, state, files)
+    state = versions.newest(spark, target)
+    seen = versions.read_table(spark, target, FILES, state) if FILES in state["tables"] else files.limit(0)
     if files.exceptAll(seen).union(seen.exceptAll(files)).isEmpty():
         return False
     whole = spark.read.schema(schema).parquet(source)
-    value(whole).write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(target)
-    files.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(state)
+    versions.publish_tables(spark, target, {VALUE: value(whole), FILES: files})
+    versions.prune(spark, target)
     return True
 
 
 def refresh_on_change(
     spark: SparkSession, source: str, schema: StructType, target: str, state: str,
-    interval_seconds: int = POLL_SECONDS, value: Callable[[DataFrame], DataFrame] = lambda df: df,
+    interval_seconds: float = POLL_SECONDS, value: Callable[[DataFrame], DataFrame] = lambda df: df,
 ) -> StreamingQuery:
-    """Poll a folder and ``refresh`` the target; the stream is only the clock."""
+    """Poll a folder and ``refresh`` the target; the stream is only the clock, its progress is kept in ``state``."""
 
     def poll(batch: DataFrame, batch_id: int) -> None:
-        refresh(spark, source, schema, target, f"{state}/files", value)
+        refresh(spark, source, schema, target, value)
 
     clock = spark.readStream.format("rate").option("rowsPerSecond", 1).load()
     writer = clock.writeStream.foreachBatch(poll).option("checkpointLocation", f"{state}/clock")

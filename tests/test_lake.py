@@ -176,20 +176,20 @@ def test_stream_equals_batch(spark, small, tmp_path):
 
 
 def test_refresh_rewrites_only_on_change(spark, tmp_path):
-    source, target, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+    source, target = (str(tmp_path / n) for n in ("in", "out"))
     df = spark.createDataFrame([(1,)], "x int")
     df.coalesce(1).write.parquet(source)
 
     def poll():
-        return reactive.refresh(spark, source, df.schema, target, state, lambda d: d.withColumn("y", F.lit(2)))
+        return reactive.refresh(spark, source, df.schema, target, lambda d: d.withColumn("y", F.lit(2)))
 
     poll()
-    before = lake.freshness(spark.read.parquet(target)).first()[0]
+    before = lake.freshness(reactive.current(spark, target)).first()[0]
     poll()
-    assert lake.freshness(spark.read.parquet(target)).first()[0] == before
+    assert lake.freshness(reactive.current(spark, target)).first()[0] == before
     spark.createDataFrame([(7,)], "x int").coalesce(1).write.mode("append").parquet(source)
     assert poll()
-    assert values(spark.read.parquet(target), "x", "y") == [(1, 2), (7, 2)]  # the whole source
+    assert values(reactive.current(spark, target), "x", "y") == [(1, 2), (7, 2)]  # the whole source
     name = next(p for p in (tmp_path / "in").iterdir() if p.suffix == ".parquet")
     spark.createDataFrame([(5,)], "x int").coalesce(1).write.parquet(str(tmp_path / "other"))
     fresh = next(p for p in (tmp_path / "other").iterdir() if p.suffix == ".parquet")
@@ -197,7 +197,7 @@ def test_refresh_rewrites_only_on_change(spark, tmp_path):
         side.unlink()
     name.write_bytes(fresh.read_bytes())  # an object rewritten under its own name
     assert poll() and not poll()
-    assert (5, 2) in values(spark.read.parquet(target), "x", "y") and spark.read.parquet(target).count() == 2
+    assert (5, 2) in values(reactive.current(spark, target), "x", "y") and reactive.current(spark, target).count() == 2
 
 
 def test_counts_and_month_jobs(spark, small, tmp_path):
