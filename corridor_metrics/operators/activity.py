@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corridor_metrics.functions.columns import floor_to_unit
@@ -64,25 +64,56 @@ def with_bookends(masks: DataFrame, start: dt.date, end_time: dt.datetime) -> Da
     return masks.unionByName(masks.select("SignalID").distinct().select("SignalID", F.inline(ends)))
 
 
-def _gap_minutes(minutes: Column) -> Column:
-    """Sum of the steps of more than ``GAP_MINUTES`` between ascending minutes."""
-    steps = F.zip_with(F.slice(minutes, F.lit(2), F.size(minutes)), minutes, lambda b, a: b - a)
-    return F.aggregate(F.filter(steps, lambda s: s > GAP_MINUTES), F.lit(0), lambda total, s: total + s)
+def _shifted(mask: Column, bits: int) -> Column:
+    return F.shiftright(mask, -bits) if bits < 0 else F.shiftleft(mask, bits)
 
 
-def _share_up(masks: DataFrame, keys: list[str], name: str, whole_days: bool) -> DataFrame:
-    """Share of the day without long gaps; a group has at most one mask an hour, 24 in all."""
-    hours = masks.groupBy(*keys, "hour").agg(F.bit_or("minutes").alias("minutes"))
-    days = hours.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("hour", "minutes"))).alias("_hours"))
+def _smeared(mask: Column, width: int, down: bool = False) -> Column:
+    """Every set bit and the ``width - 1`` bits after it (or before it)."""
+    done = 1
+    while done < width:
+        step = min(done, width - done)
+        mask = mask.bitwiseOR(_shifted(mask, -step if down else step))
+        done += step
+    return mask
+
+
+def _hour_columns(mask: Column) -> dict[str, Column]:
+    """First and last minute of a mask, and the sum of the long steps between its minutes.
+
+    Of a step of ``g`` minutes, ``g - GAP_MINUTES`` minutes are neither set nor among the ``GAP_MINUTES - 1`` after a set one; the
+    last of them comes right before a set one.
+    """
+    lowest = mask.bitwiseAND(F.negative(mask))
+    upto_last = _smeared(mask, 60, down=True)
+    inside = upto_last.bitwiseAND(F.bitwise_not(lowest - 1))
+    silent = F.bitwise_not(_smeared(mask, GAP_MINUTES)).bitwiseAND(inside)
+    steps = F.bit_count(silent.bitwiseAND(F.shiftright(mask, 1)))
+    return {
+        "_first": F.col("hour") * 60 + F.bit_count(lowest - 1), "_last": F.col("hour") * 60 + F.bit_count(upto_last) - 1,
+        "_inside": F.bit_count(silent) + steps * GAP_MINUTES,
+    }
 
-    def heard(mask: Column) -> Column:
-        return F.filter(F.sequence(F.lit(0), F.lit(59)), lambda m: F.getbit(mask, m) == 1)
 
-    minutes = F.flatten(F.transform("_hours", lambda h: F.transform(heard(h.minutes), lambda m: h.hour * 60 + m)))
+def _long(step: Column) -> Column:
+    return F.when(step > GAP_MINUTES, step).otherwise(F.lit(0))
+
+
+def _share_up(masks: DataFrame, keys: list[str], name: str, whole_days: bool) -> DataFrame:
+    """Share of the day without long steps; a group has at most one mask an hour, 24 in all.
+
+    Steps within an hour are found in the bits, those between hours from the ends of both.
+    """
+    day = Window.partitionBy(*keys).orderBy("hour")
+    hours = masks.groupBy(*keys, "hour").agg(F.bit_or("minutes").alias("_minutes")).withColumns(_hour_columns(F.col("_minutes")))
+    step = F.col("_first") - F.lag("_last").over(day)
+    if whole_days:
+        step = F.coalesce(step, F.col("_first"))
+    gaps = hours.select(*keys, "_last", (F.col("_inside") + _long(step)).alias("_gap"))
+    silent = F.sum("_gap")
     if whole_days:
-        minutes = F.array_sort(F.array_union(minutes, F.array(F.lit(0), F.lit(DAY_MINUTES - 1))))
-    gaps = days.select(*keys, minutes.alias("_minutes"))
-    return gaps.select(*keys, (1 - _gap_minutes(F.col("_minutes")) / F.lit(float(DAY_MINUTES))).alias(name))
+        silent = silent + _long(F.lit(DAY_MINUTES - 1) - F.max("_last"))
+    return gaps.groupBy(*keys).agg((1 - silent / F.lit(float(DAY_MINUTES))).alias(name))
 
 
 def uptime_of(masks: DataFrame, start: dt.date | None = None, end_time: dt.datetime | None = None) -> dict[str, DataFrame]:

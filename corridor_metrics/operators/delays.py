@@ -5,15 +5,16 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corridor_metrics.functions.columns import floor_minutes, micros_between, seconds_between
+from corridor_metrics.functions.columns import floor_minutes, micros_between, naive_as_utc, seconds_between
 from corridor_metrics.functions.measures import ratio
 from corridor_metrics.operators.scale import checked_join
 
 SPLIT_FAILURE_SHARE = 0.8
 RED_SECONDS = 5
+MINUTE = 60_000_000  # microseconds
 
 
 def next_event(events: DataFrame, start_code: int, end_code: int, keys: Sequence[str]) -> DataFrame:
@@ -65,18 +66,51 @@ def ped_delay(
     )
 
 
-def _pieces(df: DataFrame, start: str, end: str, minutes: int) -> DataFrame:
-    """One piece per time slot that an interval touches, cut at the slot."""
-    step = F.expr(f"interval {minutes} minutes")
-    slots = F.sequence(floor_minutes(start, minutes), floor_minutes(end, minutes), step)
-    return df.withColumn("_slot", F.explode(slots)).withColumns(
-        {
-            f"_{start}": F.greatest(F.col(start), F.col("_slot")),
-            f"_{end}": F.least(F.col(end), F.col("_slot") + step),
-        }
+def own_level(start: Column, end: Column, unit: int) -> Column:
+    """The least level whose blocks, ``unit`` microseconds doubled once per level, are as long as an interval."""
+    return F.coalesce(F.greatest(F.ceil(F.log2((end - start) / F.lit(unit))), F.lit(0)), F.lit(0)).cast("int")
+
+
+def _placed(df: DataFrame, start: str, end: str, unit: int, own: int, up: int, other: str) -> DataFrame:
+    """One row per block that an interval touches, at its own level and at those levels above it in ``other``.
+
+    At its own level and above an interval touches two blocks, or three where it ends on an edge. ``_role`` says whom a row may
+    meet: 0 both at their own level, else one at its own level and one above its own.
+    """
+    level = F.col("_own")
+    above = F.transform(F.filter(other, lambda x: x > level), lambda x: F.struct(F.lit(up).alias("_role"), x.alias("_level")))
+    here = F.array(F.struct(F.lit(0).alias("_role"), level.alias("_level")))
+    waiting = F.when(level > 0, F.array(F.struct(F.lit(own).alias("_role"), level.alias("_level")))).otherwise(F.array().cast("array<struct<_role: int, _level: int>>"))
+    size = F.lit(unit) * F.call_function("shiftleft", F.lit(1).cast("long"), F.col("_level"))
+    return (
+        df.select("*", F.inline(F.concat(here, waiting, above)))
+        .withColumn("_size", size)
+        .withColumn("_slot", F.explode(F.sequence(F.floor(F.col(start) / F.col("_size")), F.floor(F.col(end) / F.col("_size")))))
     )
 
 
+def overlaps(
+    left: DataFrame, right: DataFrame, keys: Sequence[str], left_ends: tuple[str, str], right_ends: tuple[str, str], unit: int
+) -> DataFrame:
+    """Pairs of blocks of overlapping intervals with equal keys, and ``shared``, the microseconds both hold within the block.
+
+    Ends are in microseconds. Blocks are dyadic: an interval is placed at the level of its own length, and the shorter of two
+    meets the longer one at the longer one's level. So an interval of any length is in O(log) rows, and only
+    levels that occur among the other side's intervals of the same keys are used. Shares of a pair add up over its blocks.
+    """
+    def levels(df: DataFrame, name: str) -> DataFrame:
+        return df.groupBy(*keys).agg(F.collect_set("_own").alias(name))
+
+    left = left.withColumn("_own", own_level(*map(F.col, left_ends), unit))
+    right = right.withColumn("_own", own_level(*map(F.col, right_ends), unit))
+    a = _placed(checked_join(left, levels(right, "_theirs"), keys), *left_ends, unit, 1, 2, "_theirs").drop("_own", "_theirs", "_size")
+    b = _placed(checked_join(right, levels(left, "_theirs"), keys), *right_ends, unit, 2, 1, "_theirs").drop("_own", "_theirs")
+    met = a.join(b, [*keys, "_role", "_level", "_slot"])
+    first = F.greatest(F.col(left_ends[0]), F.col(right_ends[0]), F.col("_slot") * F.col("_size"))
+    last = F.least(F.col(left_ends[1]), F.col(right_ends[1]), (F.col("_slot") + 1) * F.col("_size"))
+    return met.withColumn("shared", F.greatest(last - first, F.lit(0))).drop("_role", "_level", "_slot", "_size")
+
+
 def split_failures(
     cycle: DataFrame, detections: DataFrame, det_config: DataFrame, interval_minutes: int = 60,
     green_code: int = 1, red_code: int = 10, on_code: int = 82, off_code: int = 81,
@@ -87,8 +121,8 @@ def split_failures(
 
     ``cycle`` names its phase ``CallPhase``. A green runs to the next red of its
     phase; the start of red is its first seconds. Occupancy is the occupied part of
-    a window, averaged over the detectors of the phase. Intervals meet by signal,
-    phase and time slot, where each piece is cut to the slot, so that pieces add up.
+    a window, averaged over the detectors of the phase. Intervals meet in blocks of time of
+    ``slot_minutes`` and its doublings (``overlaps``), so a detector that is on for days is a few rows.
     A detector that is still on at the end of the log is occupied up to ``until``, if that is given.
     Nothing is left out for its length.
     """
@@ -119,14 +153,13 @@ def split_failures(
     # a detector that reports "on" twice is occupied once, from the first report
     first_on = held.groupBy("signalid", "eventparam", F.col("end").alias("de")).agg(F.min("start").alias("ds"))
     occupied = checked_join(first_on, detectors, ["signalid", "eventparam"])
-    meet = _pieces(windows, "ws", "we", slot_minutes).join(
-        _pieces(occupied, "ds", "de", slot_minutes), [*phase, "_slot"]
-    )
-    shared = F.greatest(seconds_between(F.greatest("_ws", "_ds"), F.least("_we", "_de")), F.lit(0.0))
+    micros = {c: F.unix_micros(naive_as_utc(c)) for c in ("ws", "we")}
+    spans = windows.select(*phase, "green", "part", "ws", *[m.alias(f"_{c}") for c, m in micros.items()])
+    held_spans = occupied.select(*phase, *[F.unix_micros(naive_as_utc(c)).alias(f"_{c}") for c in ("ds", "de")])
     used = (
-        meet.withColumn("_s", shared)
+        overlaps(spans, held_spans, phase, ("_ws", "_we"), ("_ds", "_de"), slot_minutes * MINUTE)
         .groupBy(*phase, "green", "part", "ws")
-        .agg(F.sum("_s").alias("busy"))
+        .agg((F.sum("shared") / F.lit(1e6)).alias("busy"))
     )
     whole = checked_join(windows.join(used, [*phase, "green", "part", "ws"], "left"), lanes, phase)
     occupancy = ratio(F.coalesce("busy", F.lit(0.0)), seconds_between("ws", "we") * F.col("lanes"))

@@ -78,34 +78,6 @@ def _ranges(frame: DataFrame, key: str, parts: int | None) -> DataFrame:
     return cut_lineage(frame.repartitionByRange(parts, key).withColumn("_range", F.spark_partition_id()))
 
 
-def previous_in_order(
-    frame: DataFrame, key: str, value: str, name: str, max_rows: int = WINDOW_ROWS, parts: int | None = None
-) -> DataFrame:
-    """Value of the preceding row of a frame with one row per ``key``.
-
-    A frame that fits is one small window. A larger one is cut into ranges: each
-    range looks back inside itself, and its first row takes the last value of the
-    range before, found in a frame with one row per range.
-    """
-    if counted(frame) <= max_rows:
-        return frame.withColumn(name, F.lag(value).over(Window.partitionBy(F.lit(0)).orderBy(key)))
-    ranged = _ranges(frame, key, parts)
-    inside = Window.partitionBy("_range").orderBy(key)
-    edges = (
-        ranged.groupBy("_range")
-        .agg(F.max_by(value, key).alias("_last"))
-        .withColumn("_carry", F.lag("_last").over(Window.partitionBy(F.lit(0)).orderBy("_range")))
-        .select("_range", "_carry")
-    )
-    return (
-        ranged.withColumn("_first", F.row_number().over(inside) == 1)
-        .withColumn(name, F.lag(value).over(inside))
-        .join(F.broadcast(edges), ["_range"], "left")
-        .withColumn(name, F.when(F.col("_first"), F.col("_carry")).otherwise(F.col(name)))
-        .drop("_first", "_carry", "_range")
-    )
-
-
 def row_numbers(
     frame: DataFrame, key: str, name: str, max_rows: int = WINDOW_ROWS, parts: int | None = None
 ) -> DataFrame:
@@ -128,14 +100,33 @@ def row_numbers(
     )
 
 
-def lag_over_frame(df: DataFrame, order: Sequence[str], value: str, name: str, **limits: int) -> DataFrame:
+def lag_over_frame(df: DataFrame, order: Sequence[str], value: str, name: str) -> DataFrame:
     """Value of the preceding row in the total order ``order`` of the whole frame.
 
-    ``order`` must identify a row. Its columns form one key, so that ranges of rows are
-    cut inside the rows of a hot signal as well.
+    ``order`` must identify a row. Rows meet by all its columns but the last, and look back inside that block. Block ends
+    are a smaller frame with the same question, ordered by one column less; it is answered in the same way,
+    up to one row per value of the first column, which is sorted as a whole. So
+    with (period, signal, detector) no task holds more than the detectors of a signal and
+    period, the signals of a period, or the periods. Both sides read the one shuffle of the rows, unless a later
+    step drops columns; building the plan runs no job. An order of one column is sorted as a whole.
     """
-    keyed = df.withColumn("_order", F.struct(*order))
-    return previous_in_order(keyed, "_order", value, name, **limits).drop("_order")
+    if len(order) == 1:
+        return df.withColumn(name, F.lag(value).over(Window.partitionBy(F.lit(0)).orderBy(*order)))
+    outer = order[:-1]
+    rows = df.withColumn("_block", F.struct(*outer)).repartition("_block")
+    inside = Window.partitionBy("_block").orderBy(order[-1])
+    # the whole last row, so that both sides read the same columns and share the shuffle
+    ends = rows.groupBy("_block").agg(F.max_by(F.struct(*df.columns), F.struct(order[-1])).alias("_end"))
+    keys = [f"_outer{n}" for n in range(len(outer))]
+    ends = ends.select(F.col("_block").alias("_of"), F.struct(F.col(f"_end.{value}").alias("v")).alias("_end"), *[F.col(f"_block.{c}").alias(k) for c, k in zip(outer, keys)])
+    before = lag_over_frame(ends, keys, "_end", "_last").select(F.col("_of").alias("_block"), F.col("_last.v").alias("_carried"))
+    return (
+        rows.withColumn("_first", F.row_number().over(inside) == 1)
+        .withColumn(name, F.lag(value).over(inside))
+        .join(before, ["_block"], "left")
+        .withColumn(name, F.when(F.col("_first"), F.col("_carried")).otherwise(F.col(name)))
+        .select(*df.columns, name)
+    )
 
 
 def lag_in_blocks(

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from corridor_metrics.functions.measures import drop_null_keys, ratio
 from corridor_metrics.operators.scale import checked_join
+from corridor_metrics.operators.selection import grouped_percentile
 
 
 def travel_times(readings: DataFrame, segments: DataFrame) -> DataFrame:
@@ -30,20 +31,16 @@ def relative_speed_index(
 ) -> DataFrame:
     """90th percentile of speed over the speed limit of the grouping, for each value of ``by``.
 
-    Speeds are counted per group and value first, so the exact percentile works on
-    the distinct speeds of a group. ``approx`` is for values without a natural step.
+    Speeds are counted per group and value first; the percentile is then selected exactly without a buffer
+    of a group's speeds, so they may be continuous. ``approx`` takes one pass, with an error of ``1 / accuracy`` in rank.
     """
     grouping, keys = list(grouping), [*by, *grouping]
     rows = drop_null_keys(speeds, *keys)
     if approx:
         p90 = rows.groupBy(*keys).agg(F.percentile_approx("speed", 0.9, accuracy).cast("double").alias("speed"))
     else:
-        p90 = (
-            rows.groupBy(*keys, "speed")
-            .agg(F.count("*").alias("_n"))
-            .groupBy(*keys)
-            .agg(F.percentile("speed", 0.9, F.col("_n")).alias("speed"))
-        )
+        counted = rows.groupBy(*keys, "speed").agg(F.count("*").alias("n"))
+        p90 = grouped_percentile(counted, keys, "speed", "n", 0.9, "speed")
     bounds = limits.select(*grouping, "Speed Limit")
     return checked_join(p90, bounds, grouping).withColumn("rsi", ratio(F.col("speed"), F.col("Speed Limit").cast("double")))
 

@@ -1,6 +1,7 @@
 """Counts, flags, volumes and waiting times on hand-made frames."""
 
 import datetime as dt
+import random
 
 import pytest
 from conftest import at, values
@@ -190,3 +191,33 @@ def test_split_failure_needs_both_occupancies(spark):
 def test_month_range():
     assert counts_jobs.month_range(dt.date(2024, 2, 1), dt.date(2024, 2, 10)) == (dt.date(2024, 2, 1), dt.date(2024, 2, 10))
     assert counts_jobs.month_range(dt.date(2024, 2, 1), dt.date(2024, 5, 1)) == (dt.date(2024, 2, 1), dt.date(2024, 2, 29))
+
+
+def test_overlaps_of_intervals_of_any_length(spark):
+    rng = random.Random(7)
+    minute = delays.MINUTE
+
+    def intervals(n, longest):
+        out = []
+        for _ in range(n):
+            start = rng.randrange(0, 3000 * minute)
+            out.append((rng.randrange(2), start, start + rng.choice([0, 1, minute, rng.randrange(minute), rng.randrange(longest * minute), 2 ** rng.randrange(9) * minute])))
+        return list(dict.fromkeys(out))
+
+    left, right = intervals(150, 20), intervals(150, 1500)
+    a = spark.createDataFrame(left, "k int, a long, b long")
+    b = spark.createDataFrame(right, "k int, c long, d long")
+    for x, y, ends in ((a, b, (("a", "b"), ("c", "d"))), (b, a, (("c", "d"), ("a", "b")))):
+        got = delays.overlaps(x, y, ["k"], *ends, minute).groupBy("k", "a", "b", "c", "d").agg(F.sum("shared").alias("s")).where("s > 0")
+        want = sorted((k, s, e, t, f, min(e, f) - max(s, t)) for k, s, e in left for j, t, f in right if j == k and min(e, f) > max(s, t))
+        assert sorted(tuple(r) for r in got.select("k", "a", "b", "c", "d", "s").collect()) == want
+
+
+def test_a_long_interval_is_in_few_rows(spark):
+    minute = delays.MINUTE
+    month = spark.createDataFrame([(1, 17, 17 + 30 * 1440 * minute)], "k int, a long, b long").withColumn("_own", delays.own_level(F.col("a"), F.col("b"), minute))
+    levels = F.array(*[F.lit(i) for i in range(24)])
+    pieces = delays._placed(month.withColumn("_theirs", levels), "a", "b", minute, 1, 2, "_theirs")
+    assert pieces.count() <= 3 * 24 and pieces.where("_role = 0").count() <= 2
+    short = spark.createDataFrame([(1, 17, 17 + 20)], "k int, a long, b long").withColumn("_own", delays.own_level(F.col("a"), F.col("b"), minute))
+    assert delays._placed(short.withColumn("_theirs", F.array(F.lit(0))), "a", "b", minute, 1, 2, "_theirs").count() == 1

@@ -7,7 +7,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from corridor_metrics.operators import rollups as ops
-from corridor_metrics.operators import scale
+from corridor_metrics.operators import scale, selection, travel
 
 CORRIDORS = [
     (1, "RTOP1", "Zone 1", "A", "a1"), (2, "RTOP1", "Zone 1", "A", "a2"), (3, "RTOP2", "Zone 7m", "B", None),
@@ -113,10 +113,30 @@ def test_frame_lag_equals_plain_lag(spark, keys):
     df = spark.createDataFrame(rows, "a int, b int, c int, v double")
     ordered = sorted(rows)
     expected = sorted((r[0], r[1], r[2], p[3] if p else None) for r, p in zip(ordered, [None, *ordered]))
-    for limit in (1000, 0):
-        out = scale.lag_over_frame(df, ["a", "b", "c"], "v", "p", max_rows=limit, parts=3)
-        got = sorted(tuple(r) for r in out.select("a", "b", "c", "p").collect())
-        assert got == expected
+    out = scale.lag_over_frame(df, ["a", "b", "c"], "v", "p")
+    got = sorted(tuple(r) for r in out.select("a", "b", "c", "p").collect())
+    assert got == expected
+
+
+def test_frame_lag_with_nulls_evaluates_its_input_once(spark):
+    scans = spark.sparkContext.accumulator(0)
+
+    def count(x):
+        scans.add(1)
+        return x
+
+    rows = [(a, b, c, None if (a, b, c) == (2, None, 1) else float(i)) for i, (a, b, c) in enumerate((a, b, c) for a in (None, 1, 2) for b in (None, 5) for c in (None, 1))]
+    df = spark.createDataFrame(rows, "a int, b int, c int, w double").withColumn("v", F.udf(count, "double").asNondeterministic()("w"))
+    spark.sparkContext.setJobGroup("frame-lag", "building")
+    try:
+        out = scale.lag_over_frame(df, ["a", "b", "c"], "v", "p")
+        assert not spark.sparkContext.statusTracker().getJobIdsForGroup("frame-lag")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    got = {(r.a, r.b, r.c, r.p) for r in out.collect()}
+    ordered = sorted(rows, key=lambda r: [(x is not None, x or 0) for x in r[:3]])
+    assert got == {(*r[:3], p[3] if p else None) for r, p in zip(ordered, [None, *ordered])}
+    assert scans.value == len(rows)
 
 
 def test_row_numbers_in_ranges(spark):
@@ -156,3 +176,27 @@ def test_subcorridors_move_one_level_down(corridors):
     assert values(subs, "SignalID", "Zone_Group", "Zone", "Corridor") == [
         (1, "Zone 1", "A", "a1"), (2, "Zone 1", "A", "a2"), (5, "Zone 9", "C", "c1"),
     ]
+
+
+def test_percentile_equals_the_built_in_one(spark):
+    import random
+
+    rng = random.Random(3)
+    rows = [("even", rng.gauss(50, 20)) for _ in range(3000)] + [("one", 7.5), ("two", 1.0), ("two", 2.0), ("none", None), ("none", None)]
+    rows += [("same", 3.0)] * 40 + [("steps", float(rng.randrange(9))) for _ in range(500)] + [("far", x) for x in (1e-300, 1.0, 2.0, 3.0, 1e300, None)]
+    rows += [("signs", rng.gauss(0, 1)) for _ in range(301)] + [("near", 1.0 + i * 2.0**-52) for i in range(60)]
+    df = spark.createDataFrame(rows, "k string, v double")
+    counted = df.groupBy("k", "v").agg(F.count("*").alias("n"))
+    for share in (0.0, 0.37, 0.9, 1.0):
+        want = values(df.groupBy("k").agg(F.percentile("v", share).alias("p")), "k", "p")
+        for resolution in (selection.RESOLUTION, 1):
+            assert values(selection.grouped_percentile(counted, ["k"], "v", "n", share, "p", resolution), "k", "p") == want
+
+
+def test_speed_index_of_continuous_speeds(spark):
+    speeds = spark.range(20000).select(F.lit("c").alias("Corridor"), (F.rand(5) * 70).alias("speed"))
+    limits = spark.createDataFrame([("c", 35.0)], "Corridor string, `Speed Limit` double")
+    want = speeds.agg(F.percentile("speed", 0.9)).first()[0] / 35
+    assert values(travel.relative_speed_index(speeds, limits, ["Corridor"]), "rsi") == [(want,)]
+    plan = travel.relative_speed_index(speeds, limits, ["Corridor"])._jdf.queryExecution().toString()
+    assert "percentile(" not in plan and "collect_" not in plan

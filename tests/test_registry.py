@@ -43,7 +43,8 @@ def test_query_matches_sql(spark, con, small, name):
 
 LAZY = ["c10_nearest_location", "c13_config_of_the_same_date", "d10_detector_counts_hourly", "d21_detector_uptime_calendar",
         "e05_adjusted_counts_by_share", "e08_last_modified_with_ties", "e13_group_totals_on_rows", "g01_signal_detail",
-        "g12_detector_uptime_report_signal_weekly", "g21_maintenance_match", "i02_split_failures"]
+        "g12_detector_uptime_report_signal_weekly", "g21_maintenance_match", "i02_split_failures", "e07_frame_order_delta", "d08_relative_speed_index_subcorridor",
+        "d14_comm_uptime_by_signal", "g14_counts_job_filtered", "e02_volume_delta_frame_order"]
 
 
 @pytest.mark.parametrize("name", LAZY)
