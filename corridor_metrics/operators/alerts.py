@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corridor_metrics.functions.columns import alert_name, lane_text
-from corridor_metrics.operators.scale import checked_join
+from corridor_metrics.operators.scale import as_of_join, checked_join
 
 WATCH_DAYS = 90
 PLACE = ["Zone_Group", "Zone", "Corridor"]
@@ -24,6 +24,11 @@ def dated_config(df: DataFrame, config: DataFrame) -> DataFrame:
     return checked_join(df, config, ["SignalID", "Detector", "Date"], "left")
 
 
+def config_as_of(df: DataFrame, config: DataFrame) -> DataFrame:
+    """Each row with the configuration of its detector that was in force on its date: the last one not after it."""
+    return as_of_join(df, config, ["SignalID", "Detector"], "Date", [c for c in config.columns if c not in ("SignalID", "Detector", "Date")])
+
+
 def vehicle_alerts(bad: DataFrame, config: DataFrame, corridors: DataFrame, today: dt.date) -> DataFrame:
     settings = config.select("SignalID", "CallPhase", "Detector", "ApproachDesc", "LaneNumber", "Date")
     recent = watched(bad.select("SignalID", "Detector", "Date"), today)

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from corridor_metrics.functions.columns import crossing_name, labelled, not_before
 from corridor_metrics.functions.measures import drop_null_keys
 from corridor_metrics.operators.filters import marked_contracts, real_signals
-from corridor_metrics.operators.scale import checked_join
+from corridor_metrics.operators.scale import as_of_join, checked_join
 
 # Columns and types of the corridor source.
 CORRIDOR_SCHEMA = T.StructType(
@@ -131,3 +131,21 @@ def latest_det_config(config: DataFrame, as_of: dt.date, date_col: str = "date")
     """All rows of the newest configuration that is not newer than ``as_of``."""
     rows = config.where(F.col(date_col) <= F.lit(as_of))
     return rows.where(F.col(date_col) == rows.agg(F.max(date_col)).scalar())
+
+
+def det_config_dates(days: DataFrame, config: DataFrame, date_col: str = "date") -> DataFrame:
+    """For each of the days, the date of the newest configuration that is not newer (``config_date``); NULL before the first.
+
+    Both sides are reduced to their dates first.
+    """
+    one = F.lit(1).alias("_all")
+    asked = days.select(one, F.col(date_col)).distinct()
+    given = config.select(one, F.col(date_col), F.col(date_col).alias("config_date")).distinct()
+    return as_of_join(asked, given, ["_all"], date_col, ["config_date"]).select(date_col, "config_date")
+
+
+def det_config_of_days(days: DataFrame, config: DataFrame, date_col: str = "date") -> DataFrame:
+    """All rows of the configuration in force on each of the days; ``latest_det_config`` for every date at once."""
+    dates = det_config_dates(days, config, date_col).where(F.col("config_date").isNotNull())
+    rows = config.withColumnRenamed(date_col, "config_date")
+    return checked_join(rows, dates, ["config_date"])

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
-from operator import or_
+from operator import and_, or_
 from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, Window
@@ -153,3 +153,39 @@ def lag_in_blocks(
         .withColumn(name, F.when(F.col("_first"), F.col("_carry")).otherwise(F.col(name)))
         .drop("_first", "_carry")
     )
+
+
+def as_of_join(
+    rows: DataFrame, history: DataFrame, keys: Sequence[str], on: str, values: Sequence[str], unit: str = "month"
+) -> DataFrame:
+    """Each row with the ``values`` of the last row of ``history`` that has its keys and is not later in ``on``, a date or time.
+
+    Every date is answered at once: both sides are put together and the last values are carried forward. This runs per
+    key and ``unit`` of time, and over units on a frame with one row for each, so that no task holds the history
+    of a key. Of history rows of one key and time the greatest values count. Rows without an earlier history row, or
+    with an incomplete key or time, have NULLs.
+    """
+    keys = list(keys)
+    known = drop_null_keys(history, *keys, on).groupBy(*keys, on).agg(F.max(F.struct(*values)).alias("_value"))
+    nothing = F.lit(None).cast(known.schema["_value"].dataType)
+    complete = reduce(and_, [F.col(k).isNotNull() for k in [*keys, on]])
+    asked = rows.where(complete).select(*keys, on, F.lit(1).alias("_side"), F.struct(*rows.columns).alias("_row"), nothing.alias("_value"))
+    given = known.select(*keys, on, F.lit(0).alias("_side"), F.lit(None).cast(asked.schema["_row"].dataType).alias("_row"), "_value")
+    both = asked.unionByName(given).withColumn("_unit", F.date_trunc(unit, F.col(on).cast("timestamp_ntz")))
+    inside = Window.partitionBy(*keys, "_unit").orderBy(on, "_side").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    earlier = Window.partitionBy(*keys).orderBy("_unit").rowsBetween(Window.unboundedPreceding, -1)
+    carried = (
+        both.groupBy(*keys, "_unit")
+        .agg(F.max_by("_value", F.when(F.col("_side") == 0, F.col(on))).alias("_closing"))
+        .withColumn("_carried", F.last("_closing", ignorenulls=True).over(earlier))
+        .drop("_closing")
+    )
+    found = (
+        both.withColumn("_value", F.last("_value", ignorenulls=True).over(inside))
+        .where(F.col("_side") == 1)
+        .join(carried, [*keys, "_unit"], "left")
+        .withColumn("_value", F.coalesce("_value", "_carried"))
+    )
+    out = found.select("_row.*", *[F.col(f"_value.{v}").alias(v) for v in values])
+    missing = rows.where(~complete).select("*", *[F.lit(None).cast(history.schema[v].dataType).alias(v) for v in values])
+    return out.unionByName(missing)

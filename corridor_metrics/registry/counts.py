@@ -375,6 +375,55 @@ def g15b(t):
     return counts_jobs.month_outputs(filtered, filtered, dt.date(2024, 1, 1), RUN)["throughput"]
 
 
+MONTH_ADJUSTED = ADJUSTED.replace(
+    "\nSELECT signalid, timeperiod", """
+, x AS (SELECT signalid, timeperiod""").replace("Ph_Contr, mvol FROM a", "Ph_Contr, mvol FROM a)").replace("---\n", "").format(share="CAST(det AS DOUBLE) / nullif(ph, 0)") + """
+---
+SELECT o.output, signalid AS SignalID, CallPhase, eventparam AS Detector, timeperiod AS Timeperiod, CAST(timeperiod AS DATE) AS Date, vol
+FROM x, (VALUES ('adjusted_counts_1hr'), ('adjusted_counts_15min')) o(output)"""
+
+
+@register("g15_month_job_adjusted_counts", "output,SignalID,CallPhase,Detector,Timeperiod,Date:d,vol:r", MONTH_ADJUSTED, "counts_with_gaps")
+def g15c(t):
+    counts = tv.counts_with_gaps(t)
+    outputs = counts_jobs.month_outputs(counts, counts, dt.date(2024, 1, 1), RUN, "share")
+    hour, quarter = (outputs[k].withColumn("output", F.lit(k)) for k in ("adjusted_counts_1hr", "adjusted_counts_15min"))
+    return hour.unionByName(quarter)
+
+
+@register("g15_month_job_vehicles_15min", "SignalID,Week,DOW,Timeperiod,vph:r",
+          """SELECT SignalID, weekofyear(Timeperiod) AS Week, isodow(Timeperiod) AS DOW, Timeperiod, sum(vol) AS vph
+             FROM report_counts WHERE CallPhase IN (2, 6) GROUP BY ALL""", "report_counts")
+def g15d(t):
+    counts = tv.counts(t)
+    return counts_jobs.month_outputs(counts, counts, dt.date(2024, 1, 1), RUN)["vehicles_15min"]
+
+
+@register("g15_month_job_details_written", "SignalID,date:d,records,first_detector,first_hour,bad,vol_rc:i",
+          "WITH h AS (" + HOURS.format(code=82) + "), " + FLAT.format(src="h").strip()[5:] + ", g AS (" + FLAGS.format(flat=5, top=1200, jump=200) + """),
+          j AS (SELECT signalid AS SignalID, timeperiod AS Timeperiod, eventparam AS Detector, vol, Good_Day FROM g)
+---
+SELECT SignalID, CAST(Timeperiod AS DATE) AS date, count(*) AS records, min(Detector) AS first_detector,
+       arg_min(hour(Timeperiod), Detector * 100 + hour(Timeperiod)) AS first_hour,
+       count(*) FILTER (WHERE NOT Good_Day) AS bad, sum(vol) AS vol_rc FROM j GROUP BY ALL""", "event_log det_config")
+def g15e(t):
+    from dataclasses import replace
+
+    from corridor_metrics.context import scratch_path
+
+    ctx = replace(RUN, root=scratch_path(t.spark, "month"))
+    dense = tv.event_log(t).withColumn("signalid", F.col("signalid") % 5)
+    counts = ops.detector_counts(dense, tv.det_config(t), "hours")
+    filtered = ops.filtered_counts(counts, "1 hour", thresholds=tv.THRESHOLDS)
+    counts_jobs.run_month(counts, filtered, filtered, dt.date(2024, 1, 1), ctx)
+    details, first = t.spark.read.parquet(f"{ctx.root}/signal_details"), F.element_at("data", 1)
+    return details.select(
+        F.col("SignalID").cast("long").alias("SignalID"), "date", F.size("data").cast("long").alias("records"), first["Detector"].alias("first_detector"),
+        first["Hour"].alias("first_hour"), F.size(F.filter("data", lambda r: r["bad_day"])).cast("long").alias("bad"),
+        F.aggregate("data", F.lit(0).cast("long"), lambda a, r: a + F.coalesce(r["vol_rc"], F.lit(0))).alias("vol_rc"),
+    )
+
+
 @register("g16_adjusted_count_staging", ADJUSTED_COLUMNS,
           ADJUSTED.replace("counts_with_gaps", "staged").replace("WITH d AS", """WITH staged AS (SELECT * FROM counts_with_gaps
               WHERE CAST(timeperiod AS DATE) BETWEEN DATE '2024-01-05' AND DATE '2024-01-20'), d AS""")
@@ -393,20 +442,13 @@ def g22(t):
     return ops.signal_batches(tv.report_counts(t), 10_000)
 
 
-@register("i01_next_event_delay", "SignalID,Date:d,ped_delay:r",
-          """WITH s AS (SELECT * FROM event_log WHERE eventcode = 90), e AS (SELECT * FROM event_log WHERE eventcode = 0),
+PED_DELAY = """WITH s AS (SELECT * FROM event_log WHERE eventcode = 90), e AS (SELECT * FROM event_log WHERE eventcode = 0),
              w AS (SELECT s.signalid, s."timestamp" AS b, min(e."timestamp") AS f
                    FROM s JOIN e ON s.signalid = e.signalid AND s.eventparam = e.eventparam AND e."timestamp" >= s."timestamp"
                    GROUP BY s.signalid, s.eventparam, s."timestamp")
 ---
-SELECT signalid AS SignalID, CAST(b AS DATE) AS Date, CAST(sum(epoch_us(f) - epoch_us(b)) AS DOUBLE) / (count(*) * 1e6) AS ped_delay FROM w GROUP BY ALL""",
-          "event_log")
-def i01(t):
-    return delays.ped_delay(tv.event_log(t), start_code=90, end_code=0)
-
-
-@register("i02_split_failures", "SignalID,CallPhase,Timeperiod,cycles,split_failures",
-          """WITH g AS (SELECT c.signalid, c.CallPhase, c."timestamp" AS s, min(r."timestamp") AS e FROM cycle_events c
+SELECT signalid AS SignalID, CAST(b AS DATE) AS Date, CAST(sum(epoch_us(f) - epoch_us(b)) AS DOUBLE) / (count(*) * 1e6) AS ped_delay FROM w GROUP BY ALL"""
+SPLIT_FAILURES = """WITH g AS (SELECT c.signalid, c.CallPhase, c."timestamp" AS s, min(r."timestamp") AS e FROM cycle_events c
                 JOIN cycle_events r ON r.signalid = c.signalid AND r.CallPhase = c.CallPhase AND r."timestamp" >= c."timestamp"
                 WHERE c.eventcode = 1 AND r.eventcode = 0 GROUP BY ALL),
              g2 AS (SELECT * FROM g WHERE e > s),
@@ -427,10 +469,33 @@ def i01(t):
                           max(CASE WHEN part = 'g' THEN busy / ((epoch_us(we) - epoch_us(ws)) * lanes) END) AS og,
                           max(CASE WHEN part = 'r' THEN busy / ((epoch_us(we) - epoch_us(ws)) * lanes) END) AS orr FROM b GROUP BY ALL)
 ---
-SELECT signalid AS SignalID, CallPhase, date_trunc('hour', green) AS Timeperiod, count(*) AS cycles,
-       count(*) FILTER (WHERE og >= 0.3 AND orr >= 0.3) AS split_failures FROM c GROUP BY ALL""",
+SELECT signalid AS SignalID, CallPhase, time_bucket(INTERVAL {minutes} MINUTE, green) AS Timeperiod, count(*) AS cycles,
+       count(*) FILTER (WHERE og >= 0.3 AND orr >= 0.3) AS split_failures FROM c GROUP BY ALL"""
+
+
+@register("i01_next_event_delay", "SignalID,Date:d,ped_delay:r",
+          PED_DELAY,
+          "event_log")
+def i01(t):
+    return delays.ped_delay(tv.event_log(t), start_code=90, end_code=0)
+
+
+@register("i02_split_failures", "SignalID,CallPhase,Timeperiod,cycles,split_failures",
+          SPLIT_FAILURES.format(minutes=60),
           "event_log cycle_events det_config")
 def i02(t):
     return delays.split_failures(
         tv.cycle_events(t), tv.event_log(t), tv.det_config(t), 60, red_code=0, share=0.3, slot_minutes=60,
     )
+
+
+@register("g17_ped_delay_output", "SignalID,Date:d,ped_delay:r", PED_DELAY, "event_log")
+def g17b(t):
+    return counts_jobs.ped_delays(tv.event_log(t), start_code=90, end_code=0)["ped_delay"]
+
+
+@register("g17_split_failures_15min_output", "SignalID,CallPhase,Timeperiod,cycles,split_failures", SPLIT_FAILURES.format(minutes=15),
+          "event_log cycle_events det_config")
+def g17c(t):
+    outputs = counts_jobs.split_failure_outputs(tv.cycle_events(t), tv.event_log(t), tv.det_config(t), red_code=0, share=0.3)
+    return outputs["split_failures_15min"]

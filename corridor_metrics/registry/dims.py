@@ -187,6 +187,27 @@ def c13(t):
     return alerts.dated_config(bad_rows(t), one_config(t))
 
 
+@register("c13_config_in_force", "SignalID,Detector,Date:d,CallPhase,ApproachDesc,LaneNumber",
+          f"WITH {CONFIG}, {ONE}, {BAD}" + """
+---
+SELECT b.*, CallPhase, ApproachDesc, LaneNumber FROM bad b ASOF LEFT JOIN (SELECT * FROM one WHERE day(date) % 4 = 1) o
+ON b.SignalID = o.SignalID AND b.Detector = o.Detector AND b.Date >= o.date""", "counts")
+def c13b(t):
+    return alerts.config_as_of(bad_rows(t), one_config(t).where(F.dayofmonth("Date") % 4 == 1))
+
+
+@register("c14_config_of_every_day", "date:d,config_date:d,lines",
+          "WITH " + CONFIG + """, few AS (SELECT * FROM cfg WHERE day(date) % 7 = 2),
+             days AS (SELECT DISTINCT CAST(ts AS DATE) AS date FROM events),
+             latest AS (SELECT d.date, (SELECT max(s.date) FROM few s WHERE s.date <= d.date) AS config_date FROM days d)
+---
+SELECT l.date, l.config_date, count(*) AS lines FROM latest l JOIN few s ON s.date = l.config_date GROUP BY ALL""")
+def c14b(t):
+    config = dated_config(t)
+    rows = dims.det_config_of_days(config.select("date"), config.where(F.dayofmonth("date") % 7 == 2))
+    return rows.groupBy("date", "config_date").agg(F.count("*").alias("lines"))
+
+
 ALERT = f"""WITH {CONFIG}, {ONE}, {BAD}, j AS (SELECT b.SignalID, b.Detector, b.Date, o.CallPhase, o.ApproachDesc, o.LaneNumber
     FROM recent b LEFT JOIN one o ON b.SignalID = o.SignalID AND b.Detector = o.Detector AND b.Date = o.date)"""
 

@@ -221,12 +221,17 @@ def a17(t):
 
 @register("a18_newest_file_time", "n,newer", "SELECT count(*) AS n, 'second' AS newer FROM orders")
 def a18(t):
-    root, newest = fresh(t), {}
+    """Two copies of a table; the rows are read from both, those of the copy with the newer files stay."""
+    root = fresh(t)
+    copies = []
     for name in ("first", "second"):
         t.orders.select("o_orderkey").write.parquet(f"{root}/{name}")
-        newest[name] = lake.freshness(t.spark.read.parquet(f"{root}/{name}")).first()["last_modified"]
-    later = t.spark.read.parquet(f"{root}/{max(newest, key=newest.get)}")
-    return later.agg(F.count("*").alias("n")).withColumn("newer", F.lit(max(newest, key=newest.get)))
+        stored = t.spark.read.parquet(f"{root}/{name}").select("o_orderkey", "_metadata.file_modification_time")
+        newest = lake.freshness(t.spark.read.parquet(f"{root}/{name}")).withColumn("newer", F.lit(name))
+        copies.append((stored.withColumn("newer", F.lit(name)), newest))
+    times = copies[0][1].unionByName(copies[1][1])
+    last = times.agg(F.max(F.struct("last_modified", "newer")).alias("m")).select("m.newer")
+    return copies[0][0].unionByName(copies[1][0]).join(last, ["newer"]).groupBy("newer").agg(F.count("*").alias("n"))
 
 
 @register("a19_file_manifest", "date:d,extension", "SELECT DISTINCT CAST(ts AS DATE) AS date, '.parquet' AS extension FROM events")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from corridor_metrics.functions import columns as fn
 from corridor_metrics.functions import dates
-from corridor_metrics.operators import alerts, dims, filters, marts
+from corridor_metrics.operators import alerts, dims, filters, marts, scale
 from corridor_metrics.sources import sinks
 
 TODAY = dt.date(2024, 3, 10)
@@ -169,3 +169,38 @@ def test_session_zone_does_not_matter(spark):
         assert df.select(F.unix_micros(fn.naive_as_utc("t"))).first()[0] == 1710037051500000
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_as_of_join_with_gaps_and_ties(spark):
+    import random
+
+    rng = random.Random(5)
+    start = dt.date(2024, 1, 1)
+    key = lambda: rng.choice([1, 1, 1, 2, 3, None])
+    day = lambda: rng.choice([None, *[start + dt.timedelta(days=rng.randrange(400)) for _ in range(12)]])
+    history = [(key(), day(), rng.randrange(5), rng.choice([None, "a", "b"])) for _ in range(120)]
+    rows = [(key(), day(), i) for i in range(200)]
+    got = scale.as_of_join(
+        spark.createDataFrame(rows, "k int, d date, i int"), spark.createDataFrame(history, "k int, d date, v int, w string"), ["k"], "d", ["v", "w"])
+
+    def last(k, d):
+        if k is None or d is None:
+            return None, None
+        known = [(h[1], (h[2], h[3] is not None, h[3] or "")) for h in history if h[0] == k and h[1] and h[1] <= d]
+        if not known:
+            return None, None
+        v, has, w = max(known)[1]
+        return v, w if has else None
+
+    assert values(got, "k", "d", "i", "v", "w") == sorted(((k, d, i, *last(k, d)) for k, d, i in rows), key=repr)
+    assert any(last(k, d)[0] is not None for k, d, _ in rows)
+
+
+def test_config_of_every_day(spark):
+    days = [dt.date(2024, 1, d) for d in range(1, 9)]
+    config = spark.createDataFrame([(days[2], 1), (days[2], 2), (days[5], 3)], "date date, Detector int")
+    asked = spark.createDataFrame([(d,) for d in days] * 2, "date date")
+    assert values(dims.det_config_dates(asked, config), "date", "config_date") == [
+        (d, None if d < days[2] else days[2] if d < days[5] else days[5]) for d in days]
+    for d in days[2:]:
+        assert values(dims.det_config_of_days(asked, config).where(F.col("date") == F.lit(d)), "Detector") == values(dims.latest_det_config(config, d), "Detector")
