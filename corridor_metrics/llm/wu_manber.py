@@ -7,8 +7,11 @@ move for a block: blocks in no pattern skip almost a whole window. Where the shi
 zero, the bucket of the block names the patterns that end with it, and their words are
 compared directly.
 
-The benchmark is read in blocks of bounded size, one pass of the search over the texts for
-each; only one block is in a worker's hands per pass.
+The patterns are dealt over blocks by the hash of window and item and stored in the shared folder, a folder
+for each block, so that the driver never holds them. A task searches its texts in portions: for each
+portion it goes through the blocks one after the other, and holds the tables of one block at a time. Memory thus
+does not grow with the benchmark; the blocks of a large one are read once per portion. A portion begins with
+the block that the one before ended with, so a single block is read once per worker.
 
 Defined results: NULL or wordless texts have no words and no hits; NULL or wordless items
 make no pattern; items of one text count each; NULL item ids are not counted; repeated rows
@@ -18,18 +21,21 @@ give equal rows.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.fs
+import pyarrow.parquet as pq
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corridor_metrics.llm.common import gathered, payload
+from corridor_metrics.context import scratch_path
+from corridor_metrics.llm.common import gathered, payload, text_bytes
 
 WIDTH = 10
-BLOCK_BYTES = 8 << 20  # benchmark text per pass
-CHUNK_BYTES = 4 << 20
+BLOCK_BYTES = 1 << 19  # benchmark text per block; its tables take some 170 times as much
+CHUNK_BYTES = 8 << 20
 
 # ASCII letters in lower case and digits stay, other ASCII becomes a space
 _WORDS = bytes(b if b > 127 or chr(b).isdigit() or chr(b).islower() else b + 32 if chr(b).isupper() else 32 for b in range(256))
@@ -39,18 +45,30 @@ def words_of(text: bytes) -> list[bytes]:
     return text.translate(_WORDS).split()
 
 
+def windows_of(words: list[bytes], width: int) -> list[tuple[bytes, ...]]:
+    """All windows of an item; an item of fewer words is one, an item without words none."""
+    size = min(width, len(words))
+    return [tuple(words[at : at + size]) for at in range(len(words) - size + 1)] if size else []
+
+
 class WindowSearch:
-    """Tables for all windows of some items."""
+    """Tables for some windows, each with the items that hold it."""
 
     def __init__(self, items: list[tuple[str | None, bytes]], width: int = WIDTH):
+        self._build((window, name) for name, text in items for window in windows_of(words_of(text), width))
+
+    @classmethod
+    def of_patterns(cls, patterns: Iterable[tuple[tuple[bytes, ...], str | None]]) -> WindowSearch:
+        search = cls.__new__(cls)
+        search._build(patterns)
+        return search
+
+    def _build(self, patterns: Iterable[tuple[tuple[bytes, ...], str | None]]) -> None:
         owners: dict[tuple[bytes, ...], list[str]] = {}
-        for name, text in items:
-            words = words_of(text)
-            size = min(width, len(words))
-            for at in range(len(words) - size + 1 if size else 0):
-                names = owners.setdefault(tuple(words[at : at + size]), [])
-                if name is not None:
-                    names.append(name)
+        for window, name in patterns:
+            names = owners.setdefault(window, [])
+            if name is not None:
+                names.append(name)
         self.owners = {window: frozenset(names) for window, names in owners.items()}
         self.tables: dict[int, tuple[dict, dict]] = {}
         for window in self.owners:
@@ -85,39 +103,74 @@ class WindowSearch:
         return found
 
 
-def _search(search):
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables: WindowSearch = search.value
-        for batch in gathered(batches, "text", CHUNK_BYTES):
-            counts, hits, items = [], [], []
-            for text, hit, seen in zip(*(batch.column(c).to_pylist() for c in ("text", "hits", "items"))):
-                words = words_of(text)
-                found = tables.find(words)
-                if found:
-                    marked = np.frombuffer(hit, bool).copy() if hit else np.zeros(len(words), bool)
-                    names = set(seen or [])
-                    for at, window in found:
-                        marked[at : at + len(window)] = True
-                        names |= tables.owners[window]
-                    hit, seen = marked.tobytes(), sorted(names)
-                counts.append(len(words))
-                hits.append(hit)
-                items.append(seen)
-            for name, values in (("n_words", pa.array(counts, pa.int64())), ("hits", pa.array(hits, pa.binary())), ("items", pa.array(items, pa.list_(pa.string())))):
-                batch = batch.set_column(batch.schema.get_field_index(name), name, values)
-            yield from batch.to_batches()
+class StoredPatterns:
+    """The blocks of patterns below a folder; the tables of one of them are held."""
 
-    return scan
+    def __init__(self, folder: str, blocks: int):
+        self.folder, self.blocks = folder, blocks
+        self.number, self.held = -1, None
+
+    def __iter__(self) -> Iterator[WindowSearch]:
+        """The tables of each block once; those at hand come first, and are given up before the next are built."""
+        for number in sorted(range(self.blocks), key=lambda k: k != self.number):
+            if number != self.number:
+                self.number, self.held = number, None
+                self.held = self._load(number)
+            yield self.held
+
+    def _load(self, number: int) -> WindowSearch:
+        system, path = pa.fs.FileSystem.from_uri(f"{self.folder}/block={number}")
+        if system.get_file_info(path).type == pa.fs.FileType.NotFound:
+            return WindowSearch.of_patterns(())
+        rows = pq.read_table(path, columns=["window", "item"], filesystem=system, partitioning=None)
+        return WindowSearch.of_patterns((tuple(w.split()), i) for w, i in zip(rows["window"].to_pylist(), rows["item"].to_pylist()))
 
 
-def _blocks(benchmark: DataFrame, item_col: str, text_col: str, block_bytes: int) -> Iterator[list[tuple[str | None, bytes]]]:
-    """Items in blocks of bounded size, by the hash of the item."""
+def store_patterns(benchmark: DataFrame, item_col: str, text_col: str, width: int, block_bytes: int) -> StoredPatterns:
+    """Write every window of every item, with the item, dealt over blocks of about ``block_bytes`` of item text."""
+    spark = benchmark.sparkSession
     items = benchmark.select(F.col(item_col).cast("string").alias("item"), payload(text_col).alias("text"))
-    total = items.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
-    blocks = max(1, -(-total // block_bytes))
-    for k in range(blocks):
-        mine = items if blocks == 1 else items.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == k)
-        yield [(r.item, bytes(r.text)) for r in mine.collect()]
+    blocks = max(1, -(-text_bytes(items, "text") // block_bytes))
+
+    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in gathered(batches, "text", CHUNK_BYTES):
+            for name, text in zip(batch.column("item").to_pylist(), batch.column("text").to_pylist()):
+                found = windows_of(words_of(text), width)
+                for at in range(0, len(found), 10_000):
+                    joined = [b" ".join(w) for w in found[at : at + 10_000]]
+                    yield pa.record_batch([pa.array(joined, pa.binary()), pa.array([name] * len(joined), pa.string())], names=["window", "item"])
+
+    folder = scratch_path(spark, "patterns")
+    patterns = items.mapInArrow(windows, "window binary, item string").distinct()
+    dealt = patterns.withColumn("block", F.pmod(F.xxhash64("window", "item"), F.lit(blocks)))
+    dealt.hint("rebalance", "block").write.partitionBy("block").parquet(folder)
+    return StoredPatterns(folder if ":" in folder.split("/")[0] else f"file://{folder}", blocks)
+
+
+def _search(patterns: StoredPatterns):
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in gathered(batches, "text", CHUNK_BYTES):
+            texts = batch.column("text").to_pylist()
+            counts: list[int] = [0] * len(texts)
+            marks: list[np.ndarray | None] = [None] * len(texts)
+            items: list[set[str] | None] = [None] * len(texts)
+            for tables in patterns:
+                for k, text in enumerate(texts):
+                    words = words_of(text)
+                    counts[k] = len(words)
+                    for at, window in tables.find(words):
+                        if marks[k] is None:
+                            marks[k], items[k] = np.zeros(len(words), bool), set()
+                        marks[k][at : at + len(window)] = True
+                        items[k] |= tables.owners[window]
+            columns = [
+                batch.column("doc_id").combine_chunks(), batch.column("text").combine_chunks(), pa.array(counts, pa.int64()),
+                pa.array([None if m is None else m.tobytes() for m in marks], pa.binary()),
+                pa.array([None if x is None else sorted(x) for x in items], pa.list_(pa.string())),
+            ]
+            yield from pa.table(columns, names=["doc_id", "text", "n_words", "hits", "items"]).to_batches()
+
+    return scan
 
 
 def find_contamination(
@@ -125,15 +178,9 @@ def find_contamination(
     item_text_col: str = "text", width: int = WIDTH, block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
     """doc_id, text, n_words, hits (one byte per word, NULL without hits), items (sorted, NULL without hits)."""
-    schema = "doc_id long, text binary, n_words long, hits binary, items array<string>"
-    out = df.select(
-        F.col(id_col).cast("long").alias("doc_id"), payload(text_col).alias("text"), F.lit(0).cast("long").alias("n_words"),
-        F.lit(None).cast("binary").alias("hits"), F.lit(None).cast("array<string>").alias("items"),
-    )
-    for block in _blocks(benchmark, item_col, item_text_col, block_bytes):
-        tables = df.sparkSession.sparkContext.broadcast(WindowSearch(block, width))
-        out = out.mapInArrow(_search(tables), schema)
-    return out
+    patterns = store_patterns(benchmark, item_col, item_text_col, width, block_bytes)
+    rows = df.select(F.col(id_col).cast("long").alias("doc_id"), payload(text_col).alias("text"))
+    return rows.mapInArrow(_search(patterns), "doc_id long, text binary, n_words long, hits binary, items array<string>")
 
 
 def contamination_report(found: DataFrame) -> DataFrame:
@@ -157,16 +204,14 @@ def contamination_report(found: DataFrame) -> DataFrame:
 
 def contaminated(text, benchmark: DataFrame, item_col: str = "item_id", item_text_col: str = "text", width: int = WIDTH, block_bytes: int = BLOCK_BYTES):
     """Condition on a text column: it holds a window of some item."""
-    spark = benchmark.sparkSession
-    condition = F.lit(False)
-    for block in _blocks(benchmark, item_col, item_text_col, block_bytes):
-        condition = condition | _hit(spark.sparkContext.broadcast(WindowSearch(block, width)))(payload(text))
-    return condition
-
+    patterns = store_patterns(benchmark, item_col, item_text_col, width, block_bytes)
 
-def _hit(search):
     @F.arrow_udf("boolean")
     def hit(texts: pa.Array) -> pa.Array:
-        return pa.array([bool(search.value.find(words_of(t))) for t in texts.to_pylist()], pa.bool_())
+        found = np.zeros(len(texts), bool)
+        for tables in patterns:
+            for k, text in enumerate(texts):
+                found[k] = found[k] or bool(tables.find(words_of(text.as_py())))
+        return pa.array(found)
 
-    return hit
+    return hit(payload(text))

@@ -1,5 +1,6 @@
 """Sharding, decontamination, exact and near duplicates, quality, licences, and the pipeline."""
 
+import gc
 import hashlib
 import random
 import re
@@ -115,6 +116,27 @@ def test_decontamination_edges(spark, edges, nothing):
     assert not any(r[5] for r in listed(wu_manber.contamination_report(wu_manber.find_contamination(edges, bench.where("false")))))
 
 
+def test_one_table_at_a_time(spark, edges):
+    items = [(i, " ".join(f"w{(i * 7 + k) % 400}" for k in range(25))) for i in range(300)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    patterns = wu_manber.store_patterns(bench, "item_id", "text", 10, 500)
+    assert patterns.blocks > 40
+    seen = {}
+    for turn in range(3):
+        numbers = []
+        for tables in patterns:
+            numbers.append(patterns.number)
+            assert [o for o in gc.get_objects() if type(o) is wu_manber.WindowSearch] == [tables]
+            for window, names in tables.owners.items():
+                seen.setdefault(window, set()).update(names)
+        assert sorted(numbers) == list(range(patterns.blocks)) and (turn == 0 or numbers[0] == last)  # noqa: F821
+        last = numbers[-1]  # noqa: F841
+    assert seen == wu_manber.WindowSearch([(str(i), t.encode()) for i, t in items]).owners
+    docs = spark.createDataFrame([(1, items[3][1] + " x " + items[8][1]), (2, "nothing"), (3, items[299][1])], "doc_id long, text string")
+    got = listed(wu_manber.contamination_report(wu_manber.find_contamination(docs, bench, block_bytes=500)))
+    assert got == contamination(pairs(docs), items)
+
+
 def test_search_against_all_positions():
     rng = random.Random(2)
     for _ in range(200):
