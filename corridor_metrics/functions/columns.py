@@ -14,7 +14,7 @@ LOCAL_ZONE = "America/New_York"
 BLACK = "#000000"
 WHITE = "#FFFFFF"
 GRAY = "#D0D0D0"
-DARK_DARK_GRAY = "#494949"
+UNCOLOURED = "#494949"
 PALETTE = [
     "#e41a1c", "#377eb8", "#4daf4a", "#984ea3",
     "#ff7f00", "#ffff33", "#a65628", "#f781bf",
@@ -58,7 +58,7 @@ UNIT_MINUTES = {"hours": 60, "hour": 60, "1 hour": 60, "15min": 15, "15 min": 15
 
 def floor_to_unit(ts: Column | str, unit: str) -> Column:
     if unit not in UNIT_MINUTES:
-        raise ValueError("Invalid units. Use 'hours' or '15min'.")
+        raise ValueError(f"no counting unit {unit!r}; there are {sorted(UNIT_MINUTES)}")
     return floor_minutes(ts, UNIT_MINUTES[unit])
 
 
@@ -254,7 +254,7 @@ def signal_stroke(zone: Column | str, corridor: Column | str, color: Column | st
 
 
 def segment_color(corridor: Column | str, color: Column | str) -> Column:
-    return F.when((_col(corridor) != "None") & _col(color).isNull(), F.lit(DARK_DARK_GRAY)).otherwise(_col(color))
+    return F.when((_col(corridor) != "None") & _col(color).isNull(), F.lit(UNCOLOURED)).otherwise(_col(color))
 
 
 def highlight(corridor: Column | str, chosen: str, color: str) -> Column:

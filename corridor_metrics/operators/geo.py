@@ -15,8 +15,8 @@ from corridor_metrics.operators.scale import checked_join, row_numbers
 
 METRES_PER_DEGREE = 111139
 RADIUS_M = 100
-FAN = 4
-LEVELS = 4
+FAN = 8
+LEVELS = 2
 NEIGHBOURS = [(dx, dy) for dx in (-1, 0, 1) for dy in (-1, 0, 1)]
 
 
@@ -31,19 +31,25 @@ def _cell(c: str, level: int, cell: float) -> Column:
     return F.floor(finest / F.lit(FAN ** (LEVELS - level)))
 
 
-def _occupied(points: DataFrame, side: str, level: int, cell: float) -> DataFrame:
-    """Occupied cells of a level with their number of points, and their parent cells."""
-    cells = points.groupBy(_cell("x", level, cell).alias(f"{side}x"), _cell("y", level, cell).alias(f"{side}y"))
-    return cells.agg(F.count("*").alias(f"{side}n")).withColumns(
-        {f"{side}px": F.floor(F.col(f"{side}x") / FAN), f"{side}py": F.floor(F.col(f"{side}y") / FAN)}
-    )
+def _pyramid(points: DataFrame, side: str, cell: float) -> list[DataFrame]:
+    """Occupied cells of every level with their number of points and their parent cells, the coarsest level first.
+
+    Points are counted once, in the finest cells; coarser cells add up the finer ones.
+    """
+    x, y, n = f"{side}x", f"{side}y", f"{side}n"
+    parent = {f"{side}px": F.floor(F.col(x) / FAN), f"{side}py": F.floor(F.col(y) / FAN)}
+    levels = [points.groupBy(_cell("x", LEVELS, cell).alias(x), _cell("y", LEVELS, cell).alias(y)).agg(F.count("*").alias(n)).withColumns(parent)]
+    for _ in range(LEVELS):
+        finer = levels[0].groupBy(F.col(f"{side}px").alias(x), F.col(f"{side}py").alias(y)).agg(F.sum(n).alias(n))
+        levels.insert(0, finer.withColumns(parent))
+    return levels
 
 
-def _neighbour_cells(signals: DataFrame, locations: DataFrame, cell: float) -> DataFrame:
+def _neighbour_cells(signals: DataFrame, locations: DataFrame) -> DataFrame:
     """Occupied location cells next to each occupied signal cell."""
     near = F.array(*[F.struct((F.col("sx") + dx).alias("lx"), (F.col("sy") + dy).alias("ly")) for dx, dy in NEIGHBOURS])
-    around = _occupied(signals, "s", 0, cell).select("sx", "sy", "sn", F.inline(near))
-    return around.join(_occupied(locations, "l", 0, cell).select("lx", "ly", "ln"), ["lx", "ly"])
+    around = signals.select("sx", "sy", "sn", F.inline(near))
+    return around.join(locations.select("lx", "ly", "ln"), ["lx", "ly"])
 
 
 def _pruned(pairs: DataFrame) -> DataFrame:
@@ -64,16 +70,12 @@ def _pruned(pairs: DataFrame) -> DataFrame:
     )
 
 
-def _refined_cells(near: DataFrame, signals: DataFrame, locations: DataFrame, cell: float) -> DataFrame:
-    """Candidate cell pairs on the finest grid, split and pruned level by level."""
+def _refined_cells(near: DataFrame, signals: list[DataFrame], locations: list[DataFrame]) -> DataFrame:
+    """Candidate cell pairs on the finest grid, split and pruned level by level down both pyramids."""
     pairs = _pruned(near)
     for level in range(1, LEVELS + 1):
         parents = pairs.toDF("spx", "spy", "lpx", "lpy")
-        pairs = _pruned(
-            parents.join(_occupied(signals, "s", level, cell), ["spx", "spy"]).join(
-                _occupied(locations, "l", level, cell), ["lpx", "lpy"]
-            )
-        )
+        pairs = _pruned(parents.join(signals[level], ["spx", "spy"]).join(locations[level], ["lpx", "lpy"]))
     return pairs
 
 
@@ -89,7 +91,7 @@ def nearest_location(
     Points meet through the cells of a grid as wide as the radius. Copies of a
     coordinate count once. Where a cell and its neighbours are so full that pairing
     their points would take more than ``pairs_per_point`` pairs a point, the pairs of
-    cells are first split and pruned down to cells of a fraction of a metre. This is
+    cells are first split and pruned down to cells of a ``FAN ** LEVELS``-th of the radius. This is
     decided for each cell inside the plan.
     """
     cell = radius_m / METRES_PER_DEGREE
@@ -102,7 +104,8 @@ def nearest_location(
     )
     around = F.sum("ln").over(Window.partitionBy("sx", "sy"))
     crowded = F.col("sn") * around > pairs_per_point * (F.col("sn") + around)
-    near = _neighbour_cells(sig, loc, cell).withColumn("_crowded", crowded)
+    sig_cells, loc_cells = _pyramid(sig, "s", cell), _pyramid(loc, "l", cell)
+    near = _neighbour_cells(sig_cells[0], loc_cells[0]).withColumn("_crowded", crowded)
 
     def placed(points: DataFrame, side: str, level: int) -> DataFrame:
         return points.withColumns(
@@ -113,7 +116,7 @@ def nearest_location(
         cells = pairs.select("sx", "sy", "lx", "ly")
         return placed(sig, "s", level).join(cells, ["sx", "sy"]).join(placed(loc, "l", level), ["lx", "ly"])
 
-    refined = _refined_cells(near.where("_crowded"), sig, loc, cell)
+    refined = _refined_cells(near.where("_crowded"), sig_cells, loc_cells)
     met = meet(near.where(~F.col("_crowded")), 0).unionByName(meet(refined, LEVELS))
     met = met.withColumn("_d", _degrees(F.col("slon"), F.col("slat"), F.col("llon"), F.col("llat")))
     best = met.groupBy("slon", "slat").agg(F.min(F.struct("_d", "DB Id")).alias("_b"))
