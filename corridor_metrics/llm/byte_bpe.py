@@ -8,8 +8,9 @@ The transducer reads bytes. Its state holds, for every place where a token may s
 open, the open token's node in the vocabulary trie and the ids decided on the way to that
 place but not yet emitted. Ids that all open places share are emitted, so the delay is
 bounded by the longest token. States are determinised when they are first reached, and kept
-in a bounded table. A short match that leaves the stored states beyond its first bytes hardly
-recurs; it is run through the same transitions depth first, without getting states.
+in a bounded table. A match of up to ``SHORT`` bytes that leaves the stored states beyond its first ``SHARED`` bytes
+does not go on in the transducer: it is encoded by a search for the longest tokens with a test of neighbouring
+tokens, which gives the same ids and stores no states. Most matches that are no token themselves are encoded so.
 
 Texts are split by the pattern of the vocabulary; results of words that recur are remembered.
 
@@ -209,7 +210,7 @@ class BpeTransducer:
         for i, byte in enumerate(piece):
             move = self.moves[state].get(byte)
             if move is None:
-                if short and i >= SHARED:  # too rare a path for a state of its own
+                if short and i >= SHARED:  # not worth states of its own
                     return self._run(piece)
                 size = len(self.states)
                 move = self._step(state, byte)
