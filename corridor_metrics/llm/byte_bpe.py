@@ -7,10 +7,11 @@ and its last token is the only token that ends there and fits behind the result
 The transducer reads bytes. Its state holds, for every place where a token may still be
 open, the open token's node in the vocabulary trie and the ids decided on the way to that
 place but not yet emitted. Ids that all open places share are emitted, so the delay is
-bounded by the longest token. States are determinised when they are first reached, and kept
-in a bounded table. A match of up to ``SHORT`` bytes that leaves the stored states beyond its first ``SHARED`` bytes
-does not go on in the transducer: it is encoded by a search for the longest tokens with a test of neighbouring
-tokens, which gives the same ids and stores no states. Most matches that are no token themselves are encoded so.
+bounded by the longest token. States are determinised when they are first reached, and stored
+with their transitions up to a number of bytes. A match that leaves the stored states while the
+table is full goes on by the same transitions, worked out as it is read and not stored; after
+many of these the table starts again, so that it follows the text. Every match that is no token
+itself, short or long, is read this way.
 
 Texts are split by the pattern of the vocabulary; results of words that recur are remembered.
 
@@ -33,10 +34,10 @@ from pyspark.sql import functions as F
 
 from corridor_metrics.llm.common import gathered, payload
 
-STATES = 100_000  # transducer states kept
-MEMO = 1_000_000  # words, and pairs of tokens, remembered per worker
-SHORT = 64  # matches of up to so many bytes
-SHARED = 3  # get states for so many bytes; matches that leave them later are run without
+STATE_BYTES = 192 << 20  # of stored transducer states, as estimated when they are added
+MEMO_BYTES = 224 << 20  # of remembered words and their ids, in the same way
+WORD = 64  # longer words are not remembered
+PAIRS = 600_000  # pairs of tokens remembered
 CHUNK_BYTES = 2 << 20
 
 ENCODED = "doc_id long, n_tokens long, ids binary"
@@ -52,28 +53,32 @@ class BpeTransducer:
 
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
-        self.children: list[dict[int, int]] = [{}]
+        self.edges: dict[int, int] = {}  # node * 256 + byte: the trie's next node
         self.token_at: list[int] = [-1]
         for token, rank in ranks.items():
             node = 0
             for byte in token:
-                nxt = self.children[node].get(byte)
-                if nxt is None:
-                    nxt = self.children[node][byte] = len(self.children)
-                    self.children.append({})
+                key = node << 8 | byte
+                node = self.edges.get(key, 0)
+                if not node:
+                    node = self.edges[key] = len(self.token_at)
                     self.token_at.append(-1)
-                node = nxt
             self.token_at[node] = rank
+        self.inner = bytearray(len(self.token_at))  # nodes with edges
+        for key in self.edges:
+            self.inner[key >> 8] = 1
         self.bytes_of = {rank: token for token, rank in ranks.items()}
-        self.fits: dict[tuple[int, int], bool] = {}
+        self.span = 1 + max(ranks.values(), default=0)
+        self.fits: dict[int, bool] = {}
         self.halves: dict[int, tuple[int, ...] | None] = {}
-        self.prefix: dict[int, int] = {}
         self._reset()
 
     def _reset(self) -> None:
-        self.ids = {((0, (), -1),): 0}
-        self.states = [((0, (), -1),)]
-        self.moves: list[dict[int, tuple[int, tuple[int, ...]]]] = [{}]
+        start = ((0, (), -1),)
+        self.ids = {start: 0}
+        self.states = [start]
+        self.moves: dict[int, tuple[int, tuple[int, ...]]] = {}  # state * 256 + byte
+        self.size = self.unstored = 0
 
     def _stands(self, token: int) -> bool:
         """Whether a token encodes to itself; remembers the two parts of its last merge."""
@@ -91,19 +96,17 @@ class BpeTransducer:
         return known is not None
 
     def _follows(self, before: int, token: int) -> bool:
-        """Whether ``token`` can stand behind ``before`` (-1: at the start).
+        """Whether ``token`` encodes to itself and can stand behind ``before`` (-1: at the start).
 
         Merges next to the boundary are undone, the latest first. The pair fails if, at any
         point, the pieces that touch would have merged before the merge undone last; equal
         ranks merge from the left.
         """
-        if before < 0:
-            return True
-        known = self.fits.get((before, token))
-        if known is None:
-            if len(self.fits) > MEMO:
-                self.fits.clear()
-            left, right, bound, known = before, token, 1 << 60, True
+        if len(self.fits) > PAIRS:
+            self.fits.clear()
+        known = self._stands(token)
+        if known and before >= 0:
+            left, right, bound = before, token, 1 << 60
             while True:
                 joined = self.ranks.get(self.bytes_of[left] + self.bytes_of[right])
                 if joined is not None and joined < bound:
@@ -117,109 +120,80 @@ class BpeTransducer:
                     bound, right = right + 1, of_right[0]
                 else:
                     break
-            self.fits[before, token] = known
+        self.fits[before * self.span + token] = known
         return known
 
-    def _advance(self, places, byte: int) -> list[tuple[int, tuple[int, ...], int]]:
-        """Open places after one more byte: (trie node, undelivered ids, last id)."""
+    def _advance(self, places, byte: int):
+        """Open places after one more byte, as (trie node, undelivered ids, last id), and the emitted ids.
+
+        The last place is the one behind the token that ends here; the first is the oldest, and
+        nothing is shared if it waits for nothing.
+        """
+        edges, token_at, inner, fits, span = self.edges, self.token_at, self.inner, self.fits, self.span
         live, ended = [], None
-        children, token_at = self.children, self.token_at
         for node, waiting, last in places:
-            nxt = children[node].get(byte)
+            nxt = edges.get(node << 8 | byte)
             if nxt is None:
                 continue
-            token = token_at[nxt]
-            if token >= 0 and ended is None and self._stands(token) and self._follows(last, token):
-                ended = (0, (*waiting, token), token)
-            if children[nxt]:
+            if ended is None:
+                token = token_at[nxt]
+                if token >= 0:
+                    known = fits.get(last * span + token)
+                    if known is None:
+                        known = self._follows(last, token)
+                    if known:
+                        ended = (0, (*waiting, token), token)
+            if inner[nxt]:
                 live.append((nxt, waiting, last))
         live.append(ended)
-        return live
-
-    def _step(self, state: int, byte: int) -> tuple[int, tuple[int, ...]]:
-        """Next state and emitted ids."""
-        live = self._advance(self.states[state], byte)
-        shared = 0
-        shortest = min(len(w) for _, w, _ in live)
-        while shared < shortest and len({w[shared] for _, w, _ in live}) == 1:
+        out = live[0][1]
+        if not out:
+            return live, out
+        shared, shortest = 0, min(len(w) for _, w, _ in live)
+        while shared < shortest and all(w[shared] == out[shared] for _, w, _ in live):
             shared += 1
-        out = live[0][1][:shared]
-        key = tuple((node, w[shared:], last) for node, w, last in live)
-        found = self.ids.get(key)
-        if found is None:
-            if len(self.states) >= STATES:
-                self._reset()
-            found = self.ids.setdefault(key, len(self.states))
-            if found == len(self.states):
-                self.states.append(key)
-                self.moves.append({})
-        return found, out
-
-    def _longest(self, piece: bytes, at: int) -> int:
-        """The longest token that starts at a place."""
-        node, found, children = 0, -1, self.children
-        for byte in piece[at:]:
-            node = children[node].get(byte)
-            if node is None:
-                break
-            if self.token_at[node] >= 0:
-                found = self.token_at[node]
-        return found
-
-    def _shorter(self, token: int) -> int:
-        """The next shorter token that starts a token, or -1."""
-        known = self.prefix.get(token)
-        if known is None:
-            whole = self.bytes_of[token]
-            known = self.prefix[token] = next((self.ranks[whole[:n]] for n in range(len(whole) - 1, 0, -1) if whole[:n] in self.ranks), -1)
-        return known
-
-    def _run(self, piece: bytes) -> list[int]:
-        """The one path through the transducer that reads a whole match, found depth first, long tokens first.
-
-        The path to any place is unique, so a place that leads nowhere is not tried again.
-        """
-        path: list[int] = []
-        at, last, dead = 0, -1, set()
-        token = self._longest(piece, 0)
-        while True:
-            while token >= 0:
-                end = at + len(self.bytes_of[token])
-                if end not in dead and self._stands(token) and self._follows(last, token):
-                    break
-                token = self._shorter(token)
-            if token >= 0:
-                path.append(token)
-                if end == len(piece):
-                    return path
-                at, last, token = end, token, self._longest(piece, end)
-                continue
-            dead.add(at)
-            token = path.pop()
-            at -= len(self.bytes_of[token])
-            last = path[-1] if path else -1
-            token = self._shorter(token)
+        if not shared:
+            return live, ()
+        return [(node, w[shared:], last) for node, w, last in live], out[:shared]
+
+    def _store(self, state: int, byte: int) -> tuple[int, tuple[int, ...]]:
+        """Determinises one transition: the next state and the emitted ids."""
+        live, out = self._advance(self.states[state], byte)
+        key = tuple(live)
+        found = self.ids.setdefault(key, len(self.states))
+        if found == len(self.states):
+            self.states.append(key)
+            self.size += 200 + sum(80 + 8 * len(w) for _, w, _ in key)
+        move = self.moves[state << 8 | byte] = found, out
+        self.size += 200
+        return move
 
     def __call__(self, piece: bytes) -> list[int]:
         """Ids of one pattern match."""
         whole = self.ranks.get(piece)
         if whole is not None:
             return [whole]
-        state, result = 0, []
-        short = len(piece) <= SHORT
-        for i, byte in enumerate(piece):
-            move = self.moves[state].get(byte)
+        state, result, moves, places = 0, [], self.moves, None
+        for at, byte in enumerate(piece):
+            move = moves.get(state << 8 | byte)
             if move is None:
-                if short and i >= SHARED:  # not worth states of its own
-                    return self._run(piece)
-                size = len(self.states)
-                move = self._step(state, byte)
-                if len(self.states) >= size:  # otherwise the table was emptied and the state is gone
-                    self.moves[state][byte] = move
+                if self.size > STATE_BYTES:
+                    places = self.states[state]
+                    break
+                move = self._store(state, byte)
             state, out = move
             if out:
                 result.extend(out)
-        result.extend(self.states[state][-1][1])
+        if places is None:
+            result.extend(self.states[state][-1][1])
+            return result
+        for byte in piece[at:]:  # the table is full
+            places, out = self._advance(places, byte)
+            result.extend(out)
+        result.extend(places[-1][1])
+        self.unstored += len(piece) - at
+        if self.unstored > 16 * len(self.moves):
+            self._reset()
         return result
 
 
@@ -233,20 +207,25 @@ class TextEncoder:
         self.find = regex.compile(pattern).findall
         self.doubled = regex.compile(r"\s\s|^\s|\s$").search
         self.memo: dict[str, bytes] = {}
+        self.size = 0
 
     def _ids(self, words: list[str]) -> bytes:
         memo = self.memo
         known = [memo.get(w) for w in words]
         if None in known:
-            if len(memo) > MEMO:
+            if self.size > MEMO_BYTES:
                 memo.clear()
+                self.size = 0
             for i, value in enumerate(known):
                 if value is None:
                     word = words[i]
                     value = memo.get(word)
                     if value is None:
                         ids = [x for p in self.find(word) for x in self.piece(p.encode())]
-                        value = memo[word] = array("I", ids).tobytes()
+                        value = array("I", ids).tobytes()
+                        if len(word) <= WORD:
+                            memo[word] = value
+                            self.size += 180 + 4 * len(word) + len(value)
                     known[i] = value
         return b"".join(known)
 

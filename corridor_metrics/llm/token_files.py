@@ -36,7 +36,8 @@ from corridor_metrics.llm.common import gathered, payload, spread
 SEQUENCE = 1024
 ROWS = 1024  # sequences per batch
 CHUNK_BYTES = 6 << 20  # text encoded at a time
-MEMO = 1_350_000  # words remembered per worker
+MEMO_BYTES = 208 << 20  # of words remembered per worker and their ids, as estimated when they are added
+ENTRY = 150  # bytes of a remembered word beside its own and those of its ids
 MARK = b"~"  # stands between words that are encoded together
 LINE = 256  # words encoded together
 
@@ -57,6 +58,7 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.memo: dict[bytes, bytes] = {}
+        self.size = 0
         (self.mark,) = self._encode([MARK])[0].ids
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
 
@@ -67,8 +69,9 @@ class WordEncoder:
         """Of distinct words, new ones go to the library many to a line, with a mark between them that has an id of its own."""
         memo = self.memo
         fresh = [w for w in words if w not in memo]
-        if len(memo) + len(fresh) > MEMO:
+        if self.size + sum(map(len, fresh)) + ENTRY * len(fresh) > MEMO_BYTES:
             memo.clear()
+            self.size = 0
             fresh = words
         plain = [w for w in fresh if MARK not in w]
         for at in range(0, len(plain), 32 * LINE):
@@ -79,9 +82,12 @@ class WordEncoder:
                 cuts = np.flatnonzero(ids == self.mark) * ids.itemsize
                 data = ids.tobytes()
                 starts, stops = [0, *(cuts + ids.itemsize).tolist()], [*cuts.tolist(), len(data)]
-                self.memo.update((w, data[a:b]) for w, a, b in zip(line, starts, stops))
+                memo.update((w, data[a:b]) for w, a, b in zip(line, starts, stops))
+                self.size += sum(map(len, line)) + len(data) + ENTRY * len(line)
         marked = [w for w in fresh if MARK in w]
-        self.memo.update((w, np.array(e.ids, self.dtype).tobytes()) for w, e in zip(marked, self._encode(marked)))
+        for word, encoded in zip(marked, self._encode(marked)):
+            memo[word] = np.array(encoded.ids, self.dtype).tobytes()
+            self.size += len(word) + len(memo[word]) + ENTRY
 
     def __call__(self, texts: pa.Array) -> list[np.ndarray]:
         """Ids of each text of a binary column: words are split and numbered by Arrow, and looked up once each."""

@@ -80,13 +80,63 @@ def test_transducer_against_tiktoken():
         assert np.frombuffer(coder(text), "<u4").tolist() == want
 
 
+def test_matches_of_every_length():
+    """Matches of 3 to 200 bytes, from letters of few and of many tokens."""
+    rng = random.Random(8)
+    letters = ["ab", "aeiounthsrl", "abcdefghijklmnopqrstuvwxyz", "éüßñ", "中文字"]
+    texts = ["".join(rng.choice(alphabet) for _ in range(n)) for n in range(1, 201) for alphabet in letters]
+    texts += ["a" * n for n in (31, 64, 65, 199)] + ["=" * n for n in range(3, 201, 7)]
+    coder = byte_bpe.BpeTransducer(byte_bpe.load_ranks(RANKS))
+    for text, want in zip(texts, tiktoken_ids(texts)):
+        assert coder(text.encode()) == want
+
+
+def test_every_match_goes_through_the_transducer(monkeypatch):
+    """Each byte of a match that is no token is a stored transition or one worked out by ``_advance``."""
+    coder = byte_bpe.BpeTransducer(byte_bpe.load_ranks(RANKS))
+    calls = []
+    advance = byte_bpe.BpeTransducer._advance
+    monkeypatch.setattr(byte_bpe.BpeTransducer, "_advance", lambda self, places, byte: calls.append(byte) or advance(self, places, byte))
+    pieces = [w.encode() for w in ("thountea", "therlyly", "thountea", "x" * 70 + "yz", "unbelievablyinterconnectednesses")]
+    for piece in pieces:
+        assert piece not in coder.ranks
+        ids, state, walked = coder(piece), 0, []
+        for byte in piece:
+            state, out = coder.moves[state << 8 | byte]
+            walked.extend(out)
+        assert ids == [*walked, *coder.states[state][-1][1]]
+    assert len(calls) == len(coder.moves) < sum(map(len, pieces))  # each transition is worked out once
+    monkeypatch.setattr(byte_bpe, "STATE_BYTES", -1)
+    coder._reset()
+    for piece in pieces:  # nothing is stored where there is no room
+        calls.clear()
+        coder(piece)
+        assert bytes(calls) == piece and not coder.moves
+
+
+def test_ids_are_emitted_after_bounded_lookahead():
+    coder = byte_bpe.BpeTransducer(byte_bpe.load_ranks(RANKS))
+    places, waits, emitted = coder.states[0], [], 0
+    for byte in b"thountea" * 40:
+        places, out = coder._advance(places, byte)
+        emitted += len(out)
+        waits.append(max(len(w) for _, w, _ in places))
+    assert emitted > 50 and max(waits) <= max(map(len, coder.ranks))
+
+
 def test_transducer_forgets_and_goes_on(monkeypatch):
-    monkeypatch.setattr(byte_bpe, "STATES", 40)
-    monkeypatch.setattr(byte_bpe, "MEMO", 10)
+    monkeypatch.setattr(byte_bpe, "STATE_BYTES", 20_000)
+    monkeypatch.setattr(byte_bpe, "MEMO_BYTES", 2_000)
+    monkeypatch.setattr(byte_bpe, "PAIRS", 50)
     coder = byte_bpe.TextEncoder(RANKS, P.PATTERN)
-    texts = samples(400, 5) + ["unbelievablyinterconnectedness " * 3]
+    resets = []
+    reset = coder.piece._reset
+    monkeypatch.setattr(coder.piece, "_reset", lambda: resets.append(reset()))
+    texts = samples(400, 5) + ["unbelievablyinterconnectedness " * 3, "".join(random.Random(1).choices("aeinst ", k=30_000))]
     for text, want in zip(texts, tiktoken_ids(texts)):
         assert np.frombuffer(coder(text), "<u4").tolist() == want
+        assert coder.piece.size < 24_000
+    assert resets and all(len(w) <= byte_bpe.WORD for w in coder.memo)
 
 
 def test_decoder_waits_for_whole_characters():
