@@ -1,8 +1,9 @@
 """Exact duplicates by composable polynomial fingerprints, confirmed chunk by chunk.
 
 A text's fingerprint is its polynomial value modulo two primes. Chunks are hashed on
-their own and combined by arithmetic shifted by length, so a huge text needs no state but
-the last value. Texts with one fingerprint and length are then compared: their chunks meet
+their own and combined by arithmetic shifted by length. The chunks of a text above ``LONG``
+bytes are rows of their own, dealt over all tasks: each is hashed, shifted by the bytes that
+follow it, and an aggregate adds them up; the value is the one a single task would get. Texts with one fingerprint and length are then compared: their chunks meet
 by fingerprint and chunk number, and the least and the greatest chunk must be equal. This is
 combined in the tasks before the shuffle, so a group of any size is never gathered. Groups
 that fail are split by their SHA-256.
@@ -26,6 +27,8 @@ from corridor_metrics.context import cut_lineage
 from corridor_metrics.llm.common import gathered, payload
 
 CHUNK = 1 << 16
+LONG = 1 << 20  # bytes; the chunks of longer texts are hashed in different tasks
+PORTION = 64  # chunks per Arrow batch
 PRIMES = (2_147_483_647, 2_147_483_629)
 BASES = (1_103_515_245, 1_566_083_941)
 FOLD = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -86,6 +89,58 @@ def _prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+PIECES = "doc_id long, text_sha256 string, n_bytes long, chunk long, data binary"
+SHIFTED = "doc_id long, text_sha256 string, n_bytes long, chunk long, part_a long, part_b long"
+
+
+def _schema(ddl: str) -> pa.Schema:
+    kinds = {"long": pa.int64(), "string": pa.string(), "binary": pa.binary()}
+    return pa.schema([(name, kinds[kind]) for name, kind in (field.split() for field in ddl.split(", "))])
+
+
+def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The folded chunks of texts, a few at a time."""
+    schema = _schema(PIECES)
+    for batch in batches:
+        for i in range(batch.num_rows):
+            doc, text = batch.column("doc_id")[i].as_py(), batch.column("text")[i].as_py()
+            data = text.translate(FOLD)
+            sha, starts = hashlib.sha256(data).hexdigest(), range(0, len(data), CHUNK)
+            for first in range(0, len(starts), PORTION):
+                few = starts[first : first + PORTION]
+                columns = [doc] * len(few), [sha] * len(few), [len(data)] * len(few), [at // CHUNK for at in few], [data[at : at + CHUNK] for at in few]
+                yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, schema.types)], schema=schema)
+
+
+def _shifted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The values of chunks, shifted by the number of bytes behind them."""
+    schema = _schema(SHIFTED)
+    for batch in batches:
+        keys = ("doc_id", "text_sha256", "n_bytes", "chunk")
+        parts = []
+        for size, chunk, data in zip(*(batch.column(c).to_pylist() for c in ("n_bytes", "chunk", "data"))):
+            behind = size - chunk * CHUNK - len(data)
+            parts.append(tuple(v * pow(b, behind, p) % p for v, b, p in zip(Fingerprint.of(data).values, BASES, PRIMES)))
+        sums = [pa.array([x[i] for x in parts], pa.int64()) for i in (0, 1)]
+        yield pa.record_batch([*(batch.column(c) for c in keys), *sums], schema=schema)
+
+
+def long_prints(docs: DataFrame) -> DataFrame:
+    """Fingerprints of texts (doc_id, text) from chunks that are hashed in different tasks.
+
+    Repeated rows have equal chunks, of which one is added and the number kept.
+    """
+    whole = ["doc_id", "text_sha256", "n_bytes"]
+    pieces = docs.mapInArrow(_pieces, PIECES).repartition(*whole, "chunk")
+    chunks = pieces.mapInArrow(_shifted, SHIFTED).groupBy(*whole, "chunk").agg(
+        F.max("part_a").alias("part_a"), F.max("part_b").alias("part_b"), F.count("*").alias("times"),
+    )
+    sums = [(F.sum(c) % p).alias(name) for c, p, name in zip(("part_a", "part_b"), PRIMES, ("print_a", "print_b"))]
+    texts = chunks.groupBy(*whole).agg(*sums, F.max("times").alias("times"))
+    texts = texts.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("times"))))
+    return texts.select("doc_id", "n_bytes", "print_a", "print_b", "text_sha256")
+
+
 def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Chunks of folded texts, with the group and the number of each."""
     for batch in gathered(batches, "text", 4 << 20):
@@ -104,7 +159,8 @@ KEY = ["n_bytes", "print_a", "print_b"]
 
 def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     docs = df.select(F.col(id_col).cast("long").alias("doc_id"), payload(text_col).alias("text"))
-    return docs.mapInArrow(_prints, PRINTS)
+    is_long = F.octet_length("text") > LONG
+    return docs.where(~is_long).mapInArrow(_prints, PRINTS).unionByName(long_prints(docs.where(is_long)))
 
 
 def unequal_groups(df: DataFrame, prints: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -180,6 +180,33 @@ def test_fingerprints_compose():
         assert (joined.values, joined.size) == (whole.values, whole.size)
 
 
+def test_chunks_of_one_text_are_combined_over_tasks(spark):
+    rng = random.Random(4)
+    texts = ["".join(rng.choices("abcXYZ é", k=n)) for n in (1, 65_535, 65_536, 400_000, 1_300_000)]
+    rows = [*enumerate(texts), (3, texts[3]), (3, texts[4]), (None, texts[3])]
+    df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("doc_id", "CAST(text AS BINARY) AS text")
+    got = exact_dedup.long_prints(df)
+    want = []
+    for doc, text in rows:
+        data = fold(text).encode()
+        value = exact_dedup.fingerprint(data)
+        want.append((doc, value.size, *value.values, hashlib.sha256(data).hexdigest()))
+    assert listed(got) == sorted(want, key=repr)
+    pieces = df.where("doc_id = 4").mapInArrow(exact_dedup._pieces, exact_dedup.PIECES).repartition(8, "chunk")
+    assert pieces.selectExpr("spark_partition_id() AS task").distinct().count() > 3
+    assert listed(exact_dedup.fingerprints(df)) == listed(got)
+    assert exact_dedup.long_prints(df.limit(0)).count() == 0
+
+
+def test_long_texts_are_grouped(spark, monkeypatch):
+    monkeypatch.setattr(exact_dedup, "LONG", 10)
+    df = spark.createDataFrame(
+        [(1, "A" * 70_000), (2, "a" * 70_000), (2, "a" * 70_000), (None, "a" * 70_000), (3, "a" * 70_001), (4, "short"), (5, None), (6, "SHORT")],
+        "doc_id long, text string",
+    )
+    assert listed(exact_dedup.duplicate_groups(df)) == equal_groups(pairs(df))
+
+
 def test_equal_fingerprints_are_compared(spark, monkeypatch):
     df = spark.createDataFrame([(1, "aaa"), (2, "AAA"), (3, "bbb"), (4, "ccc")], "doc_id long, text string")
     real = exact_dedup.fingerprints
