@@ -28,7 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corridor_metrics.context import cut_lineage
@@ -163,8 +163,23 @@ def _joined(table: pa.Table, name: str, dtype) -> np.ndarray:
     return np.frombuffer(b"".join(x for x in table.column(name).to_pylist() if x), dtype)
 
 
+DEAL = (2_147_483_647, 1_103_515_245, 69_069, 2_147_483_629)  # two primes and two factors; no sum exceeds 63 bits
+
+
+def _part_of(doc: np.ndarray, crc: np.ndarray, parts: int) -> np.ndarray:
+    """The part of rows, from id and CRC-32, so that ids in steps and rows without an id spread as well."""
+    p, a, b, q = DEAL
+    return (doc % p * a + crc.astype(np.int64) * b) % q % parts
+
+
+def _part_column(parts: int) -> Column:
+    """``_part_of`` as an expression."""
+    p, a, b, q = (F.lit(v).cast("long") for v in DEAL)
+    return (F.pmod(F.pmod(F.coalesce("doc", F.lit(int(NO_ID))), p) * a + F.col("crc") * b, q) % F.lit(parts)).cast("int")
+
+
 def _doc_messages(hits: np.ndarray, asks: np.ndarray, parts: int) -> pa.Table:
-    by_hit, by_ask = _split(hits, hits["doc"] % parts), _split(asks, asks["doc"] % parts)
+    by_hit, by_ask = (_split(m, _part_of(m["doc"], m["crc"], parts)) for m in (hits, asks))
     names = sorted(by_hit.keys() | by_ask.keys())
     return pa.table({
         "part": pa.array(names, pa.int32()),
@@ -380,8 +395,7 @@ def drop_repeats(
         keyed.mapInArrow(_emit_runs(width, parts, hot), RUN_MESSAGE)
         .repartition(parts, "bucket").groupBy("bucket").applyInArrow(_meet(parts), DOC_MESSAGE)
     )
-    spread = F.pmod(F.coalesce("doc", F.lit(int(NO_ID))), F.lit(parts)).cast("int").alias("part")
-    placed = keyed.select(spread, "doc", "crc", "text").repartition(parts, "part")
+    placed = keyed.select(_part_column(parts).alias("part"), "doc", "crc", "text").repartition(parts, "part")
     segments = (
         placed.groupBy("part").cogroup(met.where(F.length("asks") > 0).select("part", "asks").groupBy("part"))
         .applyInArrow(_fetch(width, parts), SEGMENT_MESSAGE)

@@ -105,6 +105,35 @@ def test_common_passages_by_their_own_hash(spark, monkeypatch):
     assert rows_of(suffix_dedup.drop_repeats(df)) == brute(rows)
 
 
+def test_rows_are_dealt_over_all_parts(spark):
+    """Ids in steps of the number of parts, and rows without an id, don't fall into one part."""
+    parts = 13
+    ids = [*range(0, parts * 2000, parts), -5, -(2**62), 2**63 - 1]
+    rows = [*((i, f"text {i}") for i in ids), *((None, f"text {i}") for i in range(1000))]
+    df = spark.createDataFrame(rows, "doc long, text string").withColumn("crc", F.crc32("text"))
+    got = df.select("doc", "crc", suffix_dedup._part_column(parts).alias("part")).collect()
+    doc = np.array([suffix_dedup.NO_ID if r.doc is None else r.doc for r in got], np.int64)
+    crc = np.array([r.crc for r in got], np.uint32)
+    assert suffix_dedup._part_of(doc, crc, parts).tolist() == [r.part for r in got]
+    for some in ([r.part for r in got if r.doc is None], [r.part for r in got if r.doc is not None]):
+        counts = np.bincount(some, minlength=parts)
+        assert counts.min() > 0 and counts.max() < 2 * len(some) / parts
+
+
+def test_ids_in_steps_and_passages_below_hot(spark):
+    """A passage in 0.4 % of the texts, ids that are multiples of the part count, rows without an id."""
+    rng = random.Random(9)
+    words = ["".join(rng.choice("abcdefghijklmnop") for _ in range(7)) for _ in range(3000)]
+    shared = " ".join(rng.choice(words) for _ in range(30))
+    rows = []
+    for i in range(1500):
+        text = " ".join(rng.choice(words) for _ in range(20))
+        rows.append((None if i % 100 == 7 else 13 * i, text + (" " + shared + " end" if i % 250 == 0 else "")))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = rows_of(suffix_dedup.drop_repeats(df))
+    assert got == brute(rows) and sum(r[2] > 0 for r in got) == 5
+
+
 def test_short_document_before_a_long_one(spark):
     """The long text passes the short one in its task, but the short one has the smaller id."""
     rng = random.Random(6)
