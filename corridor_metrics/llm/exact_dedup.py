@@ -20,7 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corridor_metrics.context import cut_lineage
@@ -28,7 +28,6 @@ from corridor_metrics.llm.common import gathered, payload
 
 CHUNK = 1 << 16
 LONG = 1 << 20  # bytes; the chunks of longer texts are hashed in different tasks
-PORTION = 64  # chunks per Arrow batch
 PRIMES = (2_147_483_647, 2_147_483_629)
 BASES = (1_103_515_245, 1_566_083_941)
 FOLD = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -89,50 +88,44 @@ def _prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-PIECES = "doc_id long, text_sha256 string, n_bytes long, chunk long, data binary"
 SHIFTED = "doc_id long, text_sha256 string, n_bytes long, chunk long, part_a long, part_b long"
 
 
-def _schema(ddl: str) -> pa.Schema:
-    kinds = {"long": pa.int64(), "string": pa.string(), "binary": pa.binary()}
-    return pa.schema([(name, kinds[kind]) for name, kind in (field.split() for field in ddl.split(", "))])
-
-
-def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The folded chunks of texts, a few at a time."""
-    schema = _schema(PIECES)
-    for batch in batches:
-        for i in range(batch.num_rows):
-            doc, text = batch.column("doc_id")[i].as_py(), batch.column("text")[i].as_py()
-            data = text.translate(FOLD)
-            sha, starts = hashlib.sha256(data).hexdigest(), range(0, len(data), CHUNK)
-            for first in range(0, len(starts), PORTION):
-                few = starts[first : first + PORTION]
-                columns = [doc] * len(few), [sha] * len(few), [len(data)] * len(few), [at // CHUNK for at in few], [data[at : at + CHUNK] for at in few]
-                yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, schema.types)], schema=schema)
-
-
 def _shifted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The values of chunks, shifted by the number of bytes behind them."""
-    schema = _schema(SHIFTED)
-    for batch in batches:
-        keys = ("doc_id", "text_sha256", "n_bytes", "chunk")
+    """The values of folded chunks, shifted by the number of bytes behind them."""
+    keys = ["doc_id", "text_sha256", "n_bytes", "chunk"]
+    for batch in gathered(batches, "data", 4 << 20):
         parts = []
         for size, chunk, data in zip(*(batch.column(c).to_pylist() for c in ("n_bytes", "chunk", "data"))):
             behind = size - chunk * CHUNK - len(data)
-            parts.append(tuple(v * pow(b, behind, p) % p for v, b, p in zip(Fingerprint.of(data).values, BASES, PRIMES)))
+            values = Fingerprint.of(data.translate(FOLD)).values
+            parts.append([v * pow(b, behind, p) % p for v, b, p in zip(values, BASES, PRIMES)])
         sums = [pa.array([x[i] for x in parts], pa.int64()) for i in (0, 1)]
-        yield pa.record_batch([*(batch.column(c) for c in keys), *sums], schema=schema)
+        yield pa.record_batch([*(batch.column(c).combine_chunks() for c in keys), *sums], names=[*keys, "part_a", "part_b"])
+
+
+def folded_sha(text: str) -> Column:
+    """SHA-256 of a folded text."""
+    return F.sha2(F.translate(F.col(text).cast("string"), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"), 256)
+
+
+def chunk_rows(docs: DataFrame) -> DataFrame:
+    """The chunks of texts (doc_id, text), a row each, dealt by text and number."""
+    whole = ["doc_id", "text_sha256", "n_bytes"]
+    size = F.octet_length("text").cast("long")
+    texts = docs.select("doc_id", folded_sha("text").alias("text_sha256"), size.alias("n_bytes"), "text").where("n_bytes > 0")
+    numbers = F.sequence(F.lit(0).cast("long"), F.expr(f"(n_bytes - 1) div {CHUNK}"))
+    cut = texts.withColumn("chunk", F.explode(numbers)).withColumn("data", F.expr(f"substring(text, CAST(chunk * {CHUNK} + 1 AS INT), {CHUNK})"))
+    return cut.select(*whole, "chunk", "data").repartition(*whole, "chunk")
 
 
 def long_prints(docs: DataFrame) -> DataFrame:
-    """Fingerprints of texts (doc_id, text) from chunks that are hashed in different tasks.
+    """Fingerprints of texts (doc_id, text; none empty) from chunks that are hashed in different tasks.
 
     Repeated rows have equal chunks, of which one is added and the number kept.
     """
     whole = ["doc_id", "text_sha256", "n_bytes"]
-    pieces = docs.mapInArrow(_pieces, PIECES).repartition(*whole, "chunk")
-    chunks = pieces.mapInArrow(_shifted, SHIFTED).groupBy(*whole, "chunk").agg(
+    chunks = chunk_rows(docs).mapInArrow(_shifted, SHIFTED).groupBy(*whole, "chunk").agg(
         F.max("part_a").alias("part_a"), F.max("part_b").alias("part_b"), F.count("*").alias("times"),
     )
     sums = [(F.sum(c) % p).alias(name) for c, p, name in zip(("part_a", "part_b"), PRIMES, ("print_a", "print_b"))]
@@ -174,8 +167,7 @@ def unequal_groups(df: DataFrame, prints: DataFrame, id_col: str = "doc_id", tex
     members = prints.withColumn("text_key", text_key).join(several, KEY, "left_semi")
     members = members.groupBy("doc_id", "text_key", *KEY).agg(F.count("*").alias("n")).drop("n")
     docs = df.select(F.col(id_col).cast("long").alias("doc_id"), payload(text_col).alias("text"))
-    folded = F.translate(F.col("text").cast("string"), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    docs = docs.select("*", F.octet_length("text").cast("long").alias("size"), F.when(F.col("doc_id").isNull(), F.sha2(folded, 256)).alias("sha"))
+    docs = docs.select("*", F.octet_length("text").cast("long").alias("size"), F.when(F.col("doc_id").isNull(), folded_sha("text")).alias("sha"))
     own = docs["doc_id"].eqNullSafe(members["doc_id"]) & (docs["size"] == members["n_bytes"]) & docs["sha"].eqNullSafe(members["text_key"])
     texts = docs.join(members, own)
     chunks = texts.select(*KEY, "text").mapInArrow(_chunks, "n_bytes long, print_a long, print_b long, chunk long, data binary")

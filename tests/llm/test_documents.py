@@ -10,6 +10,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from corridor_metrics.llm import byte_cnn, exact_dedup, licences, ring, simhash, wu_manber
 from corridor_metrics.llm.queries import QUERIES
@@ -192,8 +193,11 @@ def test_chunks_of_one_text_are_combined_over_tasks(spark):
         value = exact_dedup.fingerprint(data)
         want.append((doc, value.size, *value.values, hashlib.sha256(data).hexdigest()))
     assert listed(got) == sorted(want, key=repr)
-    pieces = df.where("doc_id = 4").mapInArrow(exact_dedup._pieces, exact_dedup.PIECES).repartition(8, "chunk")
-    assert pieces.selectExpr("spark_partition_id() AS task").distinct().count() > 3
+    pieces = exact_dedup.chunk_rows(df.where("doc_id = 4"))
+    assert pieces.count() == -(-len(texts[4].encode()) // exact_dedup.CHUNK)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    assert pieces.select(F.spark_partition_id()).distinct().count() > 3
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     assert listed(exact_dedup.fingerprints(df)) == listed(got)
     assert exact_dedup.long_prints(df.limit(0)).count() == 0
 
