@@ -34,10 +34,10 @@ from pyspark.sql import functions as F
 
 from corridor_metrics.llm.common import gathered, payload
 
-STATE_BYTES = 192 << 20  # of stored transducer states, as estimated when they are added
-MEMO_BYTES = 224 << 20  # of remembered words and their ids, in the same way
+STATE_BYTES = 96 << 20  # of stored transducer states, as estimated when they are added
+MEMO_BYTES = 144 << 20  # of remembered words and their ids, in the same way
 WORD = 64  # longer words are not remembered
-PAIRS = 600_000  # pairs of tokens remembered
+PAIRS = 400_000  # pairs of tokens remembered
 CHUNK_BYTES = 2 << 20
 
 ENCODED = "doc_id long, n_tokens long, ids binary"
