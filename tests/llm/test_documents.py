@@ -1,5 +1,6 @@
 """Sharding, decontamination, exact and near duplicates, quality, licences, and the pipeline."""
 
+import bisect
 import gc
 import hashlib
 import random
@@ -54,6 +55,45 @@ def test_shards(spark, edges, nothing, small):
     assert {(p.law, p.grown_shard) for p in placed} == {("rows", None)}
 
 
+def sequential_ring(rows, shards):
+    """One row after the other: its own shard if there is room, later the next one clockwise that has some."""
+    wheel = ring.Ring.build(shards)
+    points, owners = wheel.points.tolist(), wheel.owners.tolist()
+    room = [len(rows) // shards + (s < len(rows) % shards) for s in range(shards)]
+    used, placed, over = [0] * shards, [], []
+    keyed = [(bisect.bisect_left(points, r.position % 2**64) % len(points), r.position, r.doc_id, zlib.crc32(r.text.encode()), len(r.text.encode()) + 16) for r in rows]
+
+    def put(row, shard):
+        placed.append((row[2], row[4], row[3], owners[row[0]], shard, used[shard]))
+        used[shard] += 1
+
+    for row in sorted(keyed):
+        home = owners[row[0]]
+        if used[home] < room[home]:
+            put(row, home)
+        else:
+            over.append(row)
+    for row in over:
+        at = row[0]
+        while used[owners[at]] >= room[owners[at]]:
+            at = (at + 1) % len(points)
+        put(row, owners[at])
+    return sorted(placed)
+
+
+def test_placement_against_a_sequential_ring(spark):
+    """Every row's shard and slot, and how few rows move when a shard is added."""
+    df = spark.range(4000).selectExpr("id AS doc_id", "concat('text ', id % 1000) AS text")
+    rows = df.selectExpr("*", "xxhash64(doc_id, 'ring') AS position").collect()
+    shard = {}
+    for shards in (40, 41):
+        got = sorted(tuple(r) for r in ring.shard_rows(df, shards).collect())
+        assert got == sequential_ring(rows, shards)
+        shard[shards] = {r[0]: r[4] for r in got}
+    moved = [d for d, s in shard[40].items() if shard[41][d] != s]
+    assert len(moved) < 0.15 * len(rows) and sum(shard[41][d] != 40 for d in moved) < 0.12 * len(rows)
+
+
 def test_ring_moves_only_the_overflow(spark):
     df = spark.range(4000).selectExpr("id AS doc_id", "cast(id AS string) AS text")
     placed = ring.shard_rows(df, 10).collect()
