@@ -34,8 +34,8 @@ from pyspark.sql import functions as F
 
 from corridor_metrics.llm.common import gathered, payload
 
-STATE_BYTES = 192 << 20  # of stored transducer states, as estimated when they are added
-MEMO_BYTES = 224 << 20  # of remembered words and their ids, in the same way
+STATE_BYTES = 96 << 20  # of stored transducer states, as estimated when they are added
+MEMO_BYTES = 192 << 20  # of remembered words and their ids, in the same way
 WORD = 64  # longer words are not remembered
 PAIRS = 600_000  # pairs of tokens remembered
 CHUNK_BYTES = 2 << 20
@@ -74,12 +74,42 @@ class BpeTransducer:
         self._reset()
 
     def _reset(self) -> None:
-        start = ((0, (), -1),)
+        start = self._pack([(0, (), -1)])
         self.ids = {start: 0}
-        self.states = [start]
-        self.moves: dict[int, tuple[int, tuple[int, ...]]] = {}  # state * 256 + byte
+        self.packed = [start]  # states
+        self.following: dict[int, int] = {}  # state * 256 + byte: the next state, as ~state where ids are emitted
+        self.emitted: dict[int, bytes] = {}  # by the same key: these ids
         self.size = self.unstored = 0
 
+    @property
+    def states(self) -> list[list[tuple[int, tuple[int, ...], int]]]:
+        """The open places of every stored state, to look at."""
+        return [self._places(state) for state in range(len(self.packed))]
+
+    @property
+    def moves(self) -> dict[int, tuple[int, tuple[int, ...]]]:
+        """The stored transitions, to look at: by state * 256 + byte the next state and the emitted ids."""
+        return {key: (max(to, ~to), tuple(array("I", self.emitted.get(key, b"")))) for key, to in self.following.items()}
+
+    @staticmethod
+    def _pack(places) -> bytes:
+        """A state as 32-bit integers: node, last id, undelivered ids and their number for each place."""
+        return array("i", [x for node, waiting, last in places for x in (node, last, *waiting, len(waiting))]).tobytes()
+
+    def _places(self, state: int) -> list[tuple[int, tuple[int, ...], int]]:
+        values, places = array("i", self.packed[state]), []
+        end = len(values)
+        while end:
+            start = end - 3 - values[end - 1]
+            places.append((values[start], tuple(values[start + 2 : end - 1]), values[start + 1]))
+            end = start
+        return places[::-1]
+
+    def _undelivered(self, state: int) -> array:
+        """Ids that are left when a match ends in this state."""
+        values = array("i", self.packed[state])
+        return values[len(values) - 1 - values[-1] : -1]
+
     def _stands(self, token: int) -> bool:
         """Whether a token encodes to itself; remembers the two parts of its last merge."""
         known = self.halves.get(token)
@@ -156,45 +186,53 @@ class BpeTransducer:
             return live, ()
         return [(node, w[shared:], last) for node, w, last in live], out[:shared]
 
-    def _store(self, state: int, byte: int) -> tuple[int, tuple[int, ...]]:
-        """Determinises one transition: the next state and the emitted ids."""
-        live, out = self._advance(self.states[state], byte)
-        key = tuple(live)
-        found = self.ids.setdefault(key, len(self.states))
-        if found == len(self.states):
-            self.states.append(key)
-            self.size += 200 + sum(80 + 8 * len(w) for _, w, _ in key)
-        move = self.moves[state << 8 | byte] = found, out
-        self.size += 200
-        return move
+    def _store(self, state: int, byte: int) -> int:
+        """Determinises one transition, and gives it as it is stored."""
+        live, out = self._advance(self._places(state), byte)
+        packed = self._pack(live)
+        found = self.ids.setdefault(packed, len(self.packed))
+        if found == len(self.packed):
+            self.packed.append(packed)
+            self.size += 140 + len(packed)
+        key = state << 8 | byte
+        self.size += 100
+        if out:
+            found = ~found
+            self.emitted[key] = array("I", out).tobytes()
+            self.size += 130 + 4 * len(out)
+        self.following[key] = found
+        return found
 
     def __call__(self, piece: bytes) -> list[int]:
         """Ids of one pattern match."""
         whole = self.ranks.get(piece)
         if whole is not None:
             return [whole]
-        state, result, moves, places = 0, [], self.moves, None
+        state, result, moves, places = 0, array("I"), self.following, None
+        emitted = self.emitted
         for at, byte in enumerate(piece):
             move = moves.get(state << 8 | byte)
             if move is None:
                 if self.size > STATE_BYTES:
-                    places = self.states[state]
+                    places = self._places(state)
                     break
                 move = self._store(state, byte)
-            state, out = move
-            if out:
-                result.extend(out)
+            if move < 0:
+                result.frombytes(emitted[state << 8 | byte])
+                state = ~move
+            else:
+                state = move
         if places is None:
-            result.extend(self.states[state][-1][1])
-            return result
+            result.extend(array("I", self._undelivered(state)))
+            return result.tolist()
         for byte in piece[at:]:  # the table is full
             places, out = self._advance(places, byte)
             result.extend(out)
         result.extend(places[-1][1])
         self.unstored += len(piece) - at
-        if self.unstored > 16 * len(self.moves):
+        if self.unstored > 16 * len(self.following):
             self._reset()
-        return result
+        return result.tolist()
 
 
 class TextEncoder:
