@@ -407,9 +407,69 @@ def test_gradients():
             assert abs((up - down) / 2e-5 - gradient[spot]) < 1e-3
 
 
+def test_scores_against_a_plain_forward_pass():
+    settings = byte_cnn.Settings(embedding=3, width=4, stride=2, filters=5, chunk=16, step=12)
+    model = byte_cnn.ByteCNN(settings)
+    rng = np.random.default_rng(3)
+    model.bias[:] = rng.normal(0, 0.3, 5)
+    model.prior[0] = 0.2
+    texts = [b"", b"a", b"sixteen bytes ok", b"seventeen bytes !", b"some words here, more than one chunk of them", bytes(range(256)) * 30]
+
+    def plain(text):
+        starts = [0]
+        while starts[-1] + settings.chunk < len(text):
+            starts.append(starts[-1] + settings.step)
+        pooled = []
+        for start in starts:
+            piece = list(text[start : start + settings.chunk])
+            piece += [byte_cnn.PAD] * (settings.chunk - len(piece))
+            windows = [piece[at : at + settings.width] for at in range(0, settings.chunk - settings.width + 1, settings.stride)]
+            answers = [[sum(x * w for x, w in zip(np.concatenate([model.embed[b] for b in window]), model.weight[:, f])) for window in windows] for f in range(5)]
+            pooled.append([max(0.0, max(a) + model.bias[f]) for f, a in enumerate(answers)])
+        means = [sum(p[f] for p in pooled) / len(pooled) for f in range(5)]
+        most = [max(p[f] for p in pooled) for f in range(5)]
+        return 1 / (1 + np.exp(-(sum(x * w for x, w in zip(means + most, model.out)) + model.prior[0])))
+
+    assert np.allclose(model.scores(texts), [plain(t) for t in texts], atol=1e-5)
+
+
 # licences
 
 
+def test_best_template_against_a_plain_cosine():
+    rng = random.Random(5)
+    templates = licences.all_templates(licences.NOTICES)
+    terms = sorted({t for _, text in templates for t in wu_manber.words_of(text.encode())})
+    total = 500
+    frequency = {t: rng.choice([0, 1, 5, 80, total]) for t in terms}
+    matcher = licences.NoticeMatcher(templates, frequency, total)
+
+    def vector(words):
+        return {t: n * (np.log((1 + total) / (1 + frequency.get(t, 0))) + 1) for t, n in Counter(words).items()}
+
+    def cosine(a, b):
+        return sum(w * b.get(t, 0) for t, w in a.items()) / np.sqrt(sum(w * w for w in a.values()) * sum(w * w for w in b.values()))
+
+    vectors = [(name, vector(wu_manber.words_of(text.encode()))) for name, text in templates]
+    for k in range(120):
+        words = wu_manber.words_of(rng.choice(templates)[1].encode())[: rng.choice([1, 8, 40, 10_000])] if k % 3 else rng.choices(terms, k=rng.randint(1, 30))
+        words = words + rng.choices([b"cars", b"north", b"week"], k=rng.randint(0, 12))
+        own = vector(words)
+        scores = [(cosine(own, v), name) for name, v in vectors]
+        score, name = matcher.best(words)
+        assert abs(score - max(scores)[0]) < 1e-9
+        assert any(n == name and abs(s - score) < 1e-9 for s, n in scores)
+    assert matcher.best([b"cars"]) == (0.0, None)
+
+
+def test_notice_in_a_very_long_text():
+    templates = licences.all_templates(licences.NOTICES)
+    matcher = licences.NoticeMatcher(templates, {t: 1 for _, text in templates for t in wu_manber.words_of(text.encode())}, 9)
+    line = "the counts of the week were taken at the north gate\n" * 20_000
+    score, name = matcher.notice((line + licences.NOTICES["MPL-2.0"] + "\n" + line).encode())
+    assert name == "MPL-2.0" and score > 0.999
+
+
 def test_licences_inherit_from_the_nearest_folder(spark):
     mit, apache = licences.NOTICES["MIT"], licences.NOTICES["Apache-2.0"]
     rows = [
