@@ -52,30 +52,32 @@ def _neighbour_cells(signals: DataFrame, locations: DataFrame) -> DataFrame:
     return around.join(locations.select("lx", "ly", "ln"), ["lx", "ly"])
 
 
-def _pruned(pairs: DataFrame) -> DataFrame:
-    """Drop location cells that cannot hold the nearest point of a signal cell.
-
-    Bounds are in cell widths: a cell is useless when even its nearest corner is
-    farther than the farthest corner of another cell of the same signal cell.
-    """
+def _bounds() -> tuple[Column, Column]:
+    """Squares of the smallest and largest distance between points of a signal and a location cell, in cell widths."""
     gap = [F.abs(F.col("sx") - F.col("lx")), F.abs(F.col("sy") - F.col("ly"))]
     low = sum((F.pow(F.greatest(g - 1, F.lit(0)), F.lit(2)) for g in gap), F.lit(0.0))
     high = sum((F.pow(g + 1, F.lit(2)) for g in gap), F.lit(0.0))
-    best = F.min("_high").over(Window.partitionBy("sx", "sy"))
-    return (
-        pairs.withColumns({"_low": low, "_high": high})
-        .withColumn("_best", best)
-        .where(F.col("_low") <= F.col("_best") + F.lit(1e-6))
-        .select("sx", "sy", "lx", "ly")
-    )
+    return low, high
 
 
 def _refined_cells(near: DataFrame, signals: list[DataFrame], locations: list[DataFrame]) -> DataFrame:
-    """Candidate cell pairs on the finest grid, split and pruned level by level down both pyramids."""
-    pairs = _pruned(near)
+    """Candidate cell pairs on the finest grid, split and pruned level by level down both pyramids.
+
+    Location cells that cannot hold the nearest point of a signal cell are dropped: a cell is useless when even
+    its nearest corner is farther than the farthest corner of another cell of the same signal cell. Split pairs
+    are neither sorted nor stored: they are formed once for the smallest bound of each signal cell, a hash
+    aggregate, and again to be compared with it. Both times read one shuffle of the location cells around a parent cell.
+    """
+    low, high = _bounds()
+    useful = low <= F.col("_best") + F.lit(1e-6)
+    # nine cells around a cell at most
+    pairs = near.withColumn("_best", F.min(high).over(Window.partitionBy("sx", "sy"))).where(useful).select("sx", "sy", "lx", "ly")
     for level in range(1, LEVELS + 1):
         parents = pairs.toDF("spx", "spy", "lpx", "lpy")
-        pairs = _pruned(parents.join(signals[level], ["spx", "spy"]).join(locations[level], ["lpx", "lpy"]))
+        around = parents.join(locations[level], ["lpx", "lpy"]).select("spx", "spy", "lx", "ly")
+        split = around.join(signals[level].select("spx", "spy", "sx", "sy"), ["spx", "spy"])
+        best = split.groupBy("spx", "spy", "sx", "sy").agg(F.min(high).alias("_best"))
+        pairs = around.join(best, ["spx", "spy"]).where(useful).select("sx", "sy", "lx", "ly")
     return pairs
 
 
@@ -113,17 +115,24 @@ def nearest_location(
         ).withColumnsRenamed({"x": f"{side}lon", "y": f"{side}lat"})
 
     def meet(pairs: DataFrame, level: int) -> DataFrame:
+        """The nearest places of the signals in some cells, several where distances are equal.
+
+        Pairs of points are formed twice, like pairs of cells: for the smallest distance, and to find who has it.
+        """
         cells = pairs.select("sx", "sy", "lx", "ly")
-        return placed(sig, "s", level).join(cells, ["sx", "sy"]).join(placed(loc, "l", level), ["lx", "ly"])
+        around = cells.join(placed(loc, "l", level), ["lx", "ly"]).select("sx", "sy", "llon", "llat")
+        distance = _degrees(F.col("slon"), F.col("slat"), F.col("llon"), F.col("llat"))
+        met = around.join(placed(sig, "s", level), ["sx", "sy"])
+        least = met.groupBy("sx", "sy", "slon", "slat").agg(F.min(distance).alias("_d"))
+        least = least.where(F.col("_d") * METRES_PER_DEGREE < radius_m)
+        return around.join(least, ["sx", "sy"]).where(distance == F.col("_d")).select("slon", "slat", "llon", "llat", "_d")
 
     refined = _refined_cells(near.where("_crowded"), sig_cells, loc_cells)
-    met = meet(near.where(~F.col("_crowded")), 0).unionByName(meet(refined, LEVELS))
-    met = met.withColumn("_d", _degrees(F.col("slon"), F.col("slat"), F.col("llon"), F.col("llat")))
-    best = met.groupBy("slon", "slat").agg(F.min(F.struct("_d", "DB Id")).alias("_b"))
-    close = best.select(
-        F.col("slon").alias("Longitude"), F.col("slat").alias("Latitude"),
-        (F.col("_b._d") * METRES_PER_DEGREE).alias("_m"), F.col("_b.DB Id").alias("DB Id"),
-    ).where(F.col("_m") < radius_m)
+    nearest = meet(near.where(~F.col("_crowded")), 0).unionByName(meet(refined, LEVELS))
+    named = nearest.join(loc.withColumnsRenamed({"x": "llon", "y": "llat"}), ["llon", "llat"])
+    smallest = F.when(F.count("*") == F.count("DB Id"), F.min("DB Id")).alias("DB Id")  # NULL is the smallest
+    close = named.groupBy(F.col("slon").alias("Longitude"), F.col("slat").alias("Latitude"), "_d").agg(smallest)
+    close = close.withColumn("_m", F.col("_d") * METRES_PER_DEGREE).drop("_d")
     return checked_join(spots, close, ["Longitude", "Latitude"]).withColumn("m", F.floor("_m").cast("int")).drop("_m")
 
 

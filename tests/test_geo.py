@@ -66,6 +66,36 @@ def test_no_cross_join(spark):
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 
 
+def test_pairs_are_not_sorted(spark):
+    # a minimum over a struct would sort its input, which is every pair of points
+    sig, loc = frames(spark, [("a", 0.0, 0.0)], [(1, 0.0, 0.0)])
+    plan = geo.nearest_location(sig, loc)._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "HashAggregate" in plan
+
+
+def test_split_pairs_of_cells_are_not_sorted(spark):
+    # one window, over the nine neighbours of the coarsest cells, on any path of the plan: none on the levels below
+    kinds = [[spark.createDataFrame([], f"{s}x bigint, {s}y bigint, {s}n bigint, {s}px bigint, {s}py bigint") for _ in range(geo.LEVELS + 1)] for s in "sl"]
+    near = geo._neighbour_cells(kinds[0][0], kinds[1][0])
+    open_windows = []
+    for line in geo._refined_cells(near, *kinds)._jdf.queryExecution().analyzed().toString().splitlines():
+        depth = len(line) - len(line.lstrip(" :+-"))
+        open_windows = [d for d in open_windows if d < depth]
+        if "Window [" in line:
+            assert not open_windows
+            open_windows.append(depth)
+
+
+@pytest.mark.parametrize("pairs", [256, 0])
+def test_exact_ties_take_the_smallest_id(spark, pairs):
+    ring = [(2, 0), (-2, 0), (0, 2), (0, -2)]
+    signals = [(f"s{i}", 0.5, 0.5 + i * 2**-6) for i in range(6)] + [("copy", 0.5, 0.5)]
+    locations = [(100 * (6 - i) + k, 0.5 + a * 2**-14, 0.5 + i * 2**-6 + b * 2**-14) for i in range(6) for k, (a, b) in enumerate(ring)]
+    sig, loc = frames(spark, signals, [(n + 1000, a, b) for n, a, b in locations] + locations)
+    got = values(geo.nearest_location(sig, loc, pairs_per_point=pairs), "SignalID", "DB Id", "m")
+    assert got == [("copy", 600, 13)] + [(f"s{i}", 600 - 100 * i, 13) for i in range(6)]
+
+
 def test_identifier_beats_distance(spark):
     sig = spark.createDataFrame(
         [(1, "p", "q", 0.0, 50 * M), (2, "p", "q", 0.0, 10 * M), (3, "p", "q", 0.0, 5.0)],
