@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -53,19 +55,69 @@ def activity_rule() -> Column:
     return F.when(F.coalesce(F.col("papd"), F.lit(0)) > 0, F.lit(1.0)).otherwise(F.lit(0.0))
 
 
+BUTTON = ["SignalID", "Detector", "CallPhase"]
+
+
+def _month(date: Column | str) -> Column:
+    return F.trunc(date, "month")
+
+
+def _button_months(papd: DataFrame, start: dt.date, end: dt.date, good: Column) -> DataFrame:
+    """One row per button and month of the range, with ``_days``, the list of its days with presses, and the mean of ``good`` over these days.
+
+    A signal's buttons are in one partition, which the calendar does not change. Incomplete keys have no days.
+    """
+    complete = reduce(and_, [F.col(k).isNotNull() for k in BUTTON])
+    known = F.when(complete & F.col("Date").between(F.lit(start), F.lit(end)), F.struct("Date", "papd"))
+    months = (
+        papd.select(*BUTTON, known.alias("_day"))
+        .select(*BUTTON, "_day.*")
+        .withColumns({"_good": good, "_month": _month("Date")})
+        .repartition("SignalID")
+        .groupBy(*BUTTON, "_month")
+        .agg(F.collect_list(F.when(F.col("Date").isNotNull(), F.struct("Date", "papd"))).alias("_days"), F.avg("_good").alias("_mean"))
+    )
+    found = F.collect_list(F.when(F.col("_month").isNotNull(), F.struct("_month", "_days", "_mean")))
+    buttons = months.groupBy(*BUTTON).agg(found.alias("_found"))
+    every = F.sequence(_month(F.lit(start)), F.lit(end), F.expr("interval 1 month"))
+    empty = F.array_except(every, F.transform("_found", lambda m: m["_month"]))
+    nothing = [F.lit(None).cast(months.schema[c].dataType).alias(c) for c in ("_days", "_mean")]
+    both = F.concat("_found", F.transform(empty, lambda m: F.struct(m.alias("_month"), *nothing)))
+    return buttons.select(*BUTTON, F.inline(both))
+
+
+def _with_calendar(months: DataFrame, start: dt.date, end: dt.date) -> DataFrame:
+    """A row per button and day of the range, with its presses or NULL; at most 31 days are looked through for each month."""
+    first, last = F.greatest(F.col("_month"), F.lit(start)), F.least(F.last_day("_month"), F.lit(end))
+    days = F.coalesce("_days", F.array().cast(months.schema["_days"].dataType))
+    silent = F.array_except(F.sequence(first, last), F.transform(days, lambda d: d["Date"]))
+    presses = months.schema["_days"].dataType.elementType["papd"].dataType
+    both = F.concat(days, F.transform(silent, lambda d: F.struct(d.alias("Date"), F.lit(None).cast(presses).alias("papd"))))
+    return months.select(*BUTTON, F.inline(both), "_mean")
+
+
 def ped_uptime(papd: DataFrame, start: dt.date, end: dt.date, rule: Column | None = None) -> DataFrame:
     """Uptime of every ped button on every day of the range; weight ``all`` is 1."""
-    keys = ["SignalID", "Detector", "CallPhase"]
-    grid = papd.select(*keys).distinct().withColumn("Date", F.explode(F.sequence(F.lit(start), F.lit(end))))
-    return grid.join(papd.select(*keys, "Date", "papd"), [*keys, "Date"], "left").withColumns(
-        {"uptime": activity_rule() if rule is None else rule, "all": F.lit(1)}
-    )
+    days = _with_calendar(_button_months(papd, start, end, F.lit(None).cast("double")), start, end).drop("_mean")
+    return days.withColumns({"uptime": activity_rule() if rule is None else rule, "all": F.lit(1)})
+
+
+def repaired_ped_uptime(papd: DataFrame, start: dt.date, end: dt.date, rule: Column | None = None) -> DataFrame:
+    """``repair_ped_volumes`` of ``ped_uptime``, without a shuffle or sort of every button's every day.
+
+    Only days with presses can be good ones, so the means are taken before the calendar is filled in.
+    ``rule`` reads the columns of a button and day, and gives the same value each time.
+    """
+    rule = activity_rule() if rule is None else rule
+    good = F.when(rule == 1, F.col("papd"))
+    days = _with_calendar(_button_months(papd, start, end, good), start, end).withColumns({"uptime": rule, "all": F.lit(1)})
+    return days.withColumn("papd", F.coalesce(good.cast("double"), F.floor("_mean").cast("double"))).drop("_mean")
 
 
 def repair_ped_volumes(pau: DataFrame) -> DataFrame:
     """Replace the volume of days that are not fully up by the floored mean of the month's good days.
 
-    The window spans one button and month, at most 31 rows.
+    The window spans one button and month, at most 31 rows. ``repaired_ped_uptime`` does this for a whole history.
     """
     month = Window.partitionBy("SignalID", "Detector", "CallPhase", F.year("Date"), F.month("Date"))
     good = F.when(F.col("uptime") == 1, F.col("papd"))

@@ -6,14 +6,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corridor_metrics.context import RunContext
+from corridor_metrics.functions.measures import drop_null_keys, weighted_mean
 from corridor_metrics.operators.counts import daily_ped_activations
 from corridor_metrics.operators.filters import low_uptime
 from corridor_metrics.operators.marts import mart_name
 from corridor_metrics.operators.rollups import (
-    corridor_avg_by_day, corridor_uptime, daily_avg, period_avg_by_day, signal_uptime, subcorridors_of,
+    corridor_avg_by_day, corridor_uptime, period_avg, signal_uptime, subcorridors_of, with_delta, with_period,
 )
 from corridor_metrics.operators.scale import checked_join
-from corridor_metrics.operators.uptime import daily_detector_uptime, ped_uptime, repair_ped_volumes
+from corridor_metrics.operators.uptime import daily_detector_uptime, repaired_ped_uptime
 from corridor_metrics.sources.sinks import mart_rows, write_by_date
 from corridor_metrics.sources.versions import prune, publish_tables
 
@@ -40,15 +41,31 @@ def ped_pushbutton_uptime(counts: DataFrame, ctx: RunContext) -> DataFrame:
     """Uptime and repaired daily presses of every ped button since the start of its history."""
     history = counts.where(F.col("Date").between(F.lit(ctx.ped_history_start), F.lit(ctx.end_date)))
     papd = daily_ped_activations(history)
-    return repair_ped_volumes(ped_uptime(papd, ctx.ped_history_start, ctx.end_date))
+    return repaired_ped_uptime(papd, ctx.ped_history_start, ctx.end_date)
+
+
+def ped_signal_days(pau: DataFrame) -> DataFrame:
+    """Ped-button uptime of a signal and day, as a mean of its buttons (``uptime``, ``ones``) and weighted by ``all`` (``weighed``, ``all``)."""
+    return (
+        drop_null_keys(pau.withColumns({"ones": F.lit(1), "weighed": F.col("uptime")}), "SignalID", "Date")
+        .groupBy("SignalID", "Date")
+        .agg(*weighted_mean("uptime", "ones"), *weighted_mean("weighed", "all"))
+    )
 
 
 def ped_pushbutton_marts(pau: DataFrame, corridors: DataFrame) -> Marts:
     """Nine marts of ped-button uptime; the monthly ones weigh by ``all``."""
+    return ped_marts_of_days(ped_signal_days(pau), corridors)
+
+
+def ped_marts_of_days(days: DataFrame, corridors: DataFrame) -> Marts:
+    """The nine marts from the signal-days of ``ped_signal_days``."""
     subs = subcorridors_of(corridors)
-    daily = daily_avg(pau, "uptime")
-    weekly = period_avg_by_day(pau, "uptime", "wk")
-    monthly = period_avg_by_day(pau, "uptime", "mo", "all")
+    plain = days.select("SignalID", "Date", "uptime", "ones")
+    weighed = days.select("SignalID", "Date", F.col("weighed").alias("uptime"), "all")
+    daily = with_delta(plain, ["SignalID"], "Date", "uptime").select("SignalID", "Date", "uptime", "ones", "delta")
+    weekly = signal_uptime(plain, "wk")
+    monthly = period_avg(with_period(weighed, "mo")[0], "uptime", "Month", "all")
     marts = {("sig", "dy"): daily, ("sig", "wk"): weekly, ("sig", "mo"): monthly}
     for level, dim in (("cor", corridors), ("sub", subs)):
         marts[level, "dy"] = corridor_avg_by_day(daily, dim, "uptime", "Date")
@@ -96,10 +113,15 @@ def run_detector_uptime(uptime: DataFrame, corridors: DataFrame, ctx: RunContext
 
 
 def run_ped_pushbutton_uptime(counts: DataFrame, corridors: DataFrame, ctx: RunContext) -> list[str]:
-    """Write ped uptime and bad buttons, then the marts from the written uptime."""
+    """Write ped uptime and bad buttons, then the marts from the written uptime, aggregated to signal-days on disk.
+
+    The days go back far enough for the first saved change of every mart; all buttons have all days.
+    """
     spark = counts.sparkSession
     path = f"{ctx.root}/pa_uptime"
     ped_pushbutton_uptime(counts, ctx).write.mode("overwrite").parquet(path)
     pau = spark.read.parquet(path)
     write_by_date(low_uptime(pau, ctx.calcs_start), ctx.root, "bad_ped_detectors")
-    return save_marts(ped_pushbutton_marts(pau, corridors), corridors, ctx, "pau")
+    stage = f"{ctx.root}/stage_ped_uptime"
+    ped_signal_days(pau.where(F.col("Date") >= F.lit(ctx.history_start))).write.mode("overwrite").parquet(stage)
+    return save_marts(ped_marts_of_days(spark.read.parquet(stage), corridors), corridors, ctx, "pau")

@@ -65,6 +65,58 @@ def test_ped_repair_uses_good_days_of_the_month(spark):
     assert out[dt.date(2024, 2, 2)] == (100.0, 0.0)
 
 
+PRESSES = [(1, 1, 2, dt.date(2024, m, d), v) for m, d, v in ((1, 5, 3), (1, 6, 8), (1, 6, 9), (2, 1, 100), (2, 2, 0), (3, 9, 7))] + [
+    (1, 2, 2, dt.date(2023, 12, 30), 4), (2, 1, 4, dt.date(2024, 2, 20), None), (2, 1, None, dt.date(2024, 1, 7), 5), (3, 1, 2, None, 5),
+]
+
+
+def test_ped_calendar_keeps_odd_rows(spark):
+    papd = spark.createDataFrame(PRESSES, "SignalID int, Detector int, CallPhase int, Date date, papd bigint")
+    start, end = dt.date(2024, 1, 4), dt.date(2024, 2, 20)
+    pau = uptime.ped_uptime(papd, start, end)
+    keys = ["SignalID", "Detector", "CallPhase"]
+    # the same from a join with the calendar
+    grid = papd.select(*keys).distinct().withColumn("Date", F.explode(F.sequence(F.lit(start), F.lit(end))))
+    joined = grid.join(papd, [*keys, "Date"], "left").withColumns({"uptime": uptime.activity_rule(), "all": F.lit(1)})
+    assert pau.columns == joined.columns and pau.dtypes == joined.dtypes
+    assert values(pau, *pau.columns) == values(joined, *pau.columns)
+    repaired, apart = uptime.repaired_ped_uptime(papd, start, end), uptime.repair_ped_volumes(joined)
+    assert repaired.dtypes == apart.dtypes and values(repaired, *pau.columns) == values(apart, *pau.columns)
+    assert (1, 1, 2, dt.date(2024, 1, 4), 6.0, 0.0, 1) in values(repaired, *pau.columns)
+    strict = F.when(F.col("papd") > 5, F.lit(1.0)).otherwise(F.lit(0.5))
+    assert values(uptime.repaired_ped_uptime(papd, start, end, strict), *pau.columns) == values(
+        uptime.repair_ped_volumes(uptime.ped_uptime(papd, start, end, strict)), *pau.columns
+    )
+
+
+def test_every_day_of_a_button_is_neither_shuffled_nor_sorted(spark):
+    counts = spark.createDataFrame([(1, 1, 2, DAY, 5)], "SignalID int, Detector int, CallPhase int, Date date, vol bigint")
+    ctx = RunContext(DAY, dt.date(2024, 3, 15), dt.date(2024, 3, 16))
+    plan = uptime_reports.ped_pushbutton_uptime(counts, ctx)._jdf.queryExecution().executedPlan().toString()
+    lines = plan.splitlines()
+    filled = max(i for i, line in enumerate(lines) if "Generate" in line)
+    assert not [line for line in lines[:filled] if any(x in line for x in ("Exchange", "Sort", "Window", "Join"))]
+
+
+def test_saved_ped_marts_are_those_of_the_whole_history(spark, tmp_path):
+    rows = [(s, 1, 2, dt.date(2023, 12, 1) + dt.timedelta(days=(7 * i + s) % 90), 1 + i % 3) for s in (1, 2, 3) for i in range(20)]
+    counts = spark.createDataFrame(rows, "SignalID bigint, Detector int, CallPhase int, Date date, vol bigint")
+    corridors = spark.createDataFrame(
+        [(s, "g", "z", f"A{s % 2}", f"a{s}") for s in (1, 2)],
+        "SignalID bigint, Zone_Group string, Zone string, Corridor string, Subcorridor string",
+    )
+    ctx = RunContext(dt.date(2024, 2, 1), dt.date(2024, 2, 27), dt.date(2024, 2, 28), root=str(tmp_path), wk_calcs_start_date=dt.date(2024, 1, 24))
+    paths = uptime_reports.run_ped_pushbutton_uptime(counts, corridors, ctx)
+    whole = uptime_reports.ped_pushbutton_marts(spark.read.parquet(f"{tmp_path}/pa_uptime"), corridors)
+    for (level, per), mart in whole.items():
+        (path,) = [p for p in paths if f"/{level}_{per}_pau/" in p]
+        start = dt.date(2024, 1, 22) if per == "wk" else dt.date(2024, 2, 1)
+        name = {"dy": "Date", "wk": "Week", "mo": "Month"}[per]
+        expected = mart.where(F.col(name) >= F.lit(start)).withColumnRenamed("Week", "Date")
+        saved = spark.read.parquet(path)
+        assert values(saved, *expected.columns) == values(expected, *expected.columns) != []
+
+
 def test_ped_history_reaches_back_six_months():
     ctx = RunContext(DAY, dt.date(2024, 3, 15), dt.date(2024, 3, 16))
     assert ctx.ped_history_start == dt.date(2023, 9, 1)
