@@ -7,6 +7,7 @@ import pytest
 from conftest import values
 from pyspark.sql import functions as F
 
+import __spark_entry__ as entry
 from corridor_metrics.functions import columns as fn
 from corridor_metrics.operators import geo
 
@@ -73,6 +74,12 @@ def test_pairs_are_not_sorted(spark):
     assert "SortAggregate" not in plan and "HashAggregate" in plan
 
 
+@pytest.mark.parametrize("name", ["e12_best_match_per_location"])
+def test_queries_of_matches_sort_no_pairs(spark, small, name):
+    plan = entry.queries()[name](spark, small)._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan
+
+
 def test_split_pairs_of_cells_are_not_sorted(spark):
     # one window, over the nine neighbours of the coarsest cells, on any path of the plan: none on the levels below
     kinds = [[spark.createDataFrame([], f"{s}x bigint, {s}y bigint, {s}n bigint, {s}px bigint, {s}py bigint") for _ in range(geo.LEVELS + 1)] for s in "sl"]
