@@ -74,7 +74,7 @@ def test_pairs_are_not_sorted(spark):
     assert "SortAggregate" not in plan and "HashAggregate" in plan
 
 
-@pytest.mark.parametrize("name", ["e12_best_match_per_location"])
+@pytest.mark.parametrize("name", ["e12_best_match_per_location", "g21_maintenance_match"])
 def test_queries_of_matches_sort_no_pairs(spark, small, name):
     plan = entry.queries()[name](spark, small)._jdf.queryExecution().executedPlan().toString()
     assert "SortAggregate" not in plan
